@@ -172,3 +172,224 @@ CASE extract(isodow FROM DATE '{start}') WHEN 1 THEN DATE '{start}' + 6 WHEN 5 T
 FROM win""",
         "period_history",
     )
+
+
+DETAIL_TABLES = [
+    "period_history", "calendar", "header", "header_state", "horse_line", "fourd_number", "pool_line", "sweep_line",
+    "sweep_number", "sports_line", "draw", "terminal", "location", "product", "validation_type", "validated",
+    "validated_state", "cancelled", "cancelled_state", "payment", "instant_payment", "cart", "offline_header",
+    "offline_voucher", "offline_charity", "offline_spa", "offline_topup", "offline_festive", "funding", "recovery",
+    "adjustment", "lookup", "tax_rate", "location_tax",
+]
+
+_STATUS = """CASE WHEN h.isexchangeticket THEN CASE WHEN coalesce(h.isbetrejectedbytrader, false) OR h.iscancelled THEN 5 ELSE 6 END
+  WHEN coalesce(h.isbetrejectedbytrader, false) THEN CASE WHEN h.iscancelled THEN 4 ELSE 3 END
+  WHEN h.iscancelled THEN 2 ELSE 1 END"""
+_MATCH = "('M AN', 'M 2', 'M 3', 'M 4')"
+
+
+def details_cte(
+    win: str = "win", out: str = "details", start: str = START, pre: str = "td"
+) -> str:
+    """Transaction measures written branch by branch."""
+    p = pre
+    dow = "extract(isodow FROM DATE '" + start + "')"
+    fund_lo = f"CASE {dow} WHEN 1 THEN DATE '{start}' + 4 WHEN 5 THEN DATE '{start}' + 3 END"
+    fund_hi = f"CASE {dow} WHEN 1 THEN DATE '{start}' + 6 WHEN 5 THEN DATE '{start}' + 6 END"
+
+    def cal(host: int) -> str:
+        return (
+            f"LEFT JOIN (SELECT DISTINCT * FROM calendar WHERE host = {host}) k ON b.createddate "
+            "BETWEEN k.previousperioddatetimeutc AND k.perioddatetimeutc"
+        )
+
+    def offline(part: str, amount: str, count: str, cond: str) -> str:
+        return (
+            f"SELECT o.terdisplayid, sum({amount}) AS a, sum({count}) AS n FROM offline_header o JOIN offline_{part} x "
+            f"ON x.headerid = o.transactionheaderid JOIN {win} w ON o.transactiontime >= w.non_lo "
+            f"AND o.transactiontime < w.non_hi WHERE {cond} GROUP BY 1"
+        )
+
+    times = "x.totalamount * x.repeatedticket", "x.repeatedticket"
+    oo_col = " UNION ALL ".join([
+        offline("voucher", "x.amount", "1", "x.isactive AND x.transactiontype = 1"),
+        offline("charity", *times, "true"), offline("spa", *times, "x.transactiontype = 1"),
+        offline("topup", *times, "x.transactiontype = 1"), offline("festive", *times, "true"),
+    ])
+    oo_rfd = " UNION ALL ".join([
+        offline("voucher", "x.amount", "1", "x.isactive AND x.transactiontype IN (2, 3)"),
+        offline("spa", *times, "x.transactiontype = 2"), offline("topup", *times, "x.transactiontype = 2"),
+    ])
+    instant = (
+        f"FROM instant_payment i JOIN cart c ON c.cartid = i.cartid JOIN {win} w ON i.updateddatetime >= w.lot_lo "
+        "AND i.updateddatetime < w.lot_hi WHERE "
+    )
+    pnr = "i.paymenttypeid = 'PNRIC' AND i.transactionstatus IN ('01', '03', '04') GROUP BY 1"
+    pnq = "i.paymenttypeid = 'PNQR' AND i.transactionstatus = '01' GROUP BY 1"
+
+    def every(name: str, flag: str, body: str) -> str:
+        return (
+            f"SELECT t.terdisplayid, '{name}' AS prodname, '{flag}' AS flag, CAST(q.a AS DECIMAL(24,6)) AS amount, q.n AS n "
+            f"FROM terminal t LEFT JOIN ({body}) q ON q.terdisplayid = t.terdisplayid"
+        )
+
+    cards = (
+        f"SELECT y.terdisplayid, sum(y.paidamount) AS a, count(DISTINCT y.paymentdetailid) AS n FROM payment y JOIN {win} w "
+        "ON y.createddate >= w.unon_lo AND y.createddate < w.unon_hi WHERE y.paymenttypeid IN "
+    )
+    adjust = (
+        "SELECT t.terdisplayid, sum(coalesce(j.adjustmentamount, 0)) AS a, count(j.adjustinvoiceid) AS n FROM adjustment j "
+        "JOIN location l ON l.locid = j.locid JOIN terminal t ON t.locid = l.locid JOIN lookup k ON "
+        "k.configname = 'RTMS_AdjustmentCode' AND k.fld1value = CAST(j.adjustmentcode AS VARCHAR) "
+        f"JOIN {win} w ON j.createddatetime >= w.non_lo AND j.createddatetime < w.non_hi WHERE j.approvalstatus = 1 AND "
+    )
+    can = f"""SELECT c.terdisplayid, sum(c.cancelledamout) AS a, count(c.tranheaderid) AS n FROM {p}_h h
+      JOIN cancelled c ON c.tranheaderid = h.tranheaderid"""
+    return f"""
+{p}_h AS (SELECT h.*, {_STATUS} AS status FROM header h),
+{p}_p AS (SELECT h.* FROM {p}_h h JOIN header_state s ON s.tranheaderid = h.tranheaderid AND s.betstatetypeid = 'PB06'),
+{p}_mt AS (SELECT DISTINCT tranheaderid FROM pool_line WHERE bettypeid IN {_MATCH}),
+{p}_tl AS (SELECT t.terdisplayid, t.locid, l.loctypeid FROM terminal t JOIN location l ON l.locid = t.locid),
+{p}_pr AS (SELECT DISTINCT CASE prodid WHEN 5 THEN 'SPORTS' ELSE trim(prodname) END AS prodname FROM product
+  WHERE prodid BETWEEN 1 AND 5 UNION ALL SELECT 'TOTO MATCH'),
+{p}_horse AS (SELECT b.*, CASE b.bettypeid WHEN 'W-P' THEN 0.5 ELSE 1.0 END AS f FROM horse_line b
+  JOIN {win} w ON b.createddate >= w.uhor_lo AND b.createddate < w.uhor_hi),
+{p}_pool AS (SELECT b.* FROM pool_line b JOIN {win} w ON b.createddate >= w.ulot_lo AND b.createddate < w.ulot_hi
+  WHERE coalesce(b.groupunitsequence, 1) = 1),
+{p}_sal AS (
+  SELECT terdisplayid, 'HORSE RACING' AS prodname, trunc(sum(a)) * 0.01 AS d, sum(n) AS n, actualdate FROM (
+    SELECT h.terdisplayid, k.actualdate, b.bettypeid, sum(coalesce(b.salescommamount, 0) * b.f) AS a,
+    count(DISTINCT h.ticketserialnumber) AS n FROM {p}_p h JOIN {p}_horse b ON b.tranheaderid = h.tranheaderid {cal(1)}
+    WHERE h.prodid = 1 AND h.status = 1 GROUP BY 1, 2, 3) GROUP BY terdisplayid, actualdate
+  UNION ALL SELECT h.terdisplayid, '4D Lottery', trunc(sum(coalesce(b.salescommamountbig, 0) + coalesce(b.salescommamountsmall, 0))) * 0.01,
+    count(DISTINCT h.ticketserialnumber), k.actualdate FROM {p}_p h JOIN fourd_number b ON b.tranheaderid = h.tranheaderid
+    JOIN draw d ON d.tranheaderid = h.tranheaderid JOIN {win} w ON b.createddate >= w.ulot_lo AND b.createddate < w.ulot_hi
+    {cal(2)} WHERE h.prodid = 2 AND h.status = 1 GROUP BY h.terdisplayid, k.actualdate
+  UNION ALL SELECT h.terdisplayid, 'TOTO', trunc(sum(b.salescommamount)) * 0.01, count(DISTINCT h.ticketserialnumber),
+    k.actualdate FROM {p}_p h JOIN {p}_pool b ON b.tranheaderid = h.tranheaderid {cal(2)}
+    WHERE h.prodid = 3 AND h.status = 1 AND b.bettypeid NOT IN {_MATCH} GROUP BY h.terdisplayid, k.actualdate
+  UNION ALL SELECT h.terdisplayid, 'TOTO MATCH', (trunc(sum(b.salescommamount))
+    - trunc(sum(CASE WHEN b.bettypeid NOT IN {_MATCH} THEN b.salescommamount ELSE 0 END))) * 0.01,
+    count(DISTINCT h.ticketserialnumber), k.actualdate FROM {p}_p h JOIN {p}_pool b ON b.tranheaderid = h.tranheaderid {cal(2)}
+    WHERE h.prodid = 3 AND h.status = 1 GROUP BY h.terdisplayid, k.actualdate
+  UNION ALL SELECT h.terdisplayid, 'SINGAPORE SWEEP', trunc(sum(coalesce(b.salescommamount, 0))) * 0.01,
+    count(DISTINCT h.ticketserialnumber), k.actualdate FROM {p}_p h JOIN sweep_number b ON b.tranheaderid = h.tranheaderid
+    AND NOT b.issoldout JOIN {win} w ON b.createddate >= w.ulot_lo AND b.createddate < w.ulot_hi {cal(2)}
+    WHERE h.prodid = 4 GROUP BY h.terdisplayid, k.actualdate
+  UNION ALL SELECT c.terdisplayid, 'SINGAPORE SWEEP', trunc(-sum(coalesce(b.salescommamount, 0))) * 0.01,
+    -count(DISTINCT c.ticketserialnumber), k.actualdate FROM cancelled c
+    JOIN cancelled_state s ON s.tranheaderid = c.tranheaderid AND s.betstatetypeid = 'CB06'
+    JOIN {win} w ON c.cancelleddate BETWEEN w.lot_lo AND w.lot_hi
+    JOIN sweep_number b ON b.tranheaderid = c.tranheaderid AND NOT b.issoldout AND b.terdisplayid = c.terdisplayid
+    AND b.createddate >= w.ulot_lo - INTERVAL 45 DAYS AND b.createddate < w.ulot_hi {cal(2)}
+    WHERE c.prodid = 4 GROUP BY c.terdisplayid, k.actualdate
+  UNION ALL SELECT terdisplayid, 'SPORTS', trunc(sum(coalesce(salescommamount, 0))) * 0.01, sum(n), actualdate FROM (
+    SELECT b.terdisplayid, b.salescommamount, b.betamount, b.accumulatorid, b.tranheaderid, k.actualdate,
+    count(DISTINCT h.ticketserialnumber) AS n FROM {p}_p h JOIN sports_line b ON b.tranheaderid = h.tranheaderid
+    JOIN {win} w ON b.createddate >= w.uspo_lo AND b.createddate < w.uspo_hi {cal(3)}
+    WHERE h.prodid IN (5, 6) AND h.status = 1 GROUP BY 1, 2, 3, 4, 5, 6) GROUP BY terdisplayid, actualdate),
+{p}_cells AS (SELECT s.terdisplayid, s.prodname, CAST(-s.d AS DECIMAL(22,2)) AS amount, CAST(s.n AS INT) AS n, s.actualdate
+  FROM {p}_sal s WHERE s.terdisplayid IN (SELECT terdisplayid FROM {p}_tl)),
+{p}_gst1 AS (
+  SELECT c.terdisplayid, c.prodname, c.actualdate, round(sum(c.amount) * r.gstrate * 0.01, 2) AS amount, sum(c.n) AS n
+    FROM {p}_cells c JOIN tax_rate r ON c.actualdate >= r.effectivefrom AND (r.enddate IS NULL OR c.actualdate <= r.enddate)
+    WHERE c.prodname <> 'TOTO MATCH' GROUP BY 1, 2, 3, r.gstrate
+  UNION ALL SELECT c.terdisplayid, 'TOTO MATCH', c.actualdate, round(sum(c.amount) * r.gstrate * 0.01, 2)
+    - round(sum(CASE c.prodname WHEN 'TOTO' THEN c.amount * r.gstrate * 0.01 ELSE 0 END), 2),
+    sum(CASE c.prodname WHEN 'TOTO MATCH' THEN c.n ELSE 0 END) FROM {p}_cells c
+    JOIN tax_rate r ON c.actualdate >= r.effectivefrom AND (r.enddate IS NULL OR c.actualdate <= r.enddate)
+    WHERE c.prodname IN ('TOTO', 'TOTO MATCH') GROUP BY 1, 2, 3, r.gstrate),
+{p}_gst AS (SELECT DISTINCT g.terdisplayid, g.prodname, CASE WHEN x.isgst THEN g.amount ELSE 0 END AS amount, g.n, g.actualdate
+  FROM {p}_gst1 g JOIN terminal t ON t.terdisplayid = g.terdisplayid JOIN location_tax x ON x.locid = t.locid
+  AND g.actualdate BETWEEN x.startdate AND x.enddate AND x.isdeleted = false),
+{p}_salgst AS (
+  SELECT t.terdisplayid, n.prodname, 'SAL' AS flag, CAST(coalesce(sum(c.amount), 0) AS DECIMAL(22,2)) AS amount,
+    coalesce(sum(c.n), 0) AS n FROM {p}_tl t
+    CROSS JOIN (VALUES ('HORSE RACING'), ('4D Lottery'), ('TOTO'), ('TOTO MATCH'), ('SINGAPORE SWEEP'), ('SPORTS')) n(prodname)
+    LEFT JOIN {p}_cells c ON c.terdisplayid = t.terdisplayid AND c.prodname = n.prodname GROUP BY 1, 2
+  UNION ALL SELECT t.terdisplayid, n.prodname, 'GST', CAST(coalesce(sum(g.amount), 0) AS DECIMAL(22,2)), coalesce(sum(g.n), 0)
+    FROM terminal t CROSS JOIN {p}_pr n LEFT JOIN {p}_gst g ON g.terdisplayid = t.terdisplayid AND g.prodname = n.prodname
+    GROUP BY 1, 2),
+{p}_val AS (SELECT v.terdisplayid, CASE WHEN v.prodid IN (5, 6) THEN 'SPORTS' WHEN v.prodid = 3 AND m.tranheaderid IS NOT NULL
+  THEN 'TOTO MATCH' ELSE trim(p.prodname) END AS pn, v.winningamount, v.rebateamount, v.refundamount
+  FROM validated v JOIN product p ON p.prodid = v.prodid
+  JOIN validated_state s ON s.tranheaderid = v.tranheaderid AND s.betstatetypeid = 'VB06'
+  JOIN (SELECT [1] AS ps, uhor_lo AS lo, uhor_hi AS hi FROM {win} UNION ALL SELECT [2, 3, 4], ulot_lo, ulot_hi FROM {win}
+    UNION ALL SELECT [5, 6], uspo_lo, uspo_hi FROM {win}) w ON list_contains(w.ps, v.prodid)
+  AND v.createdvalidationdate >= w.lo AND v.createdvalidationdate < w.hi
+  AND s.captureddate BETWEEN CAST(w.lo AS DATE) - 1 AND CAST(w.hi AS DATE) + 1
+  LEFT JOIN {p}_mt m ON m.tranheaderid = v.tranheaderid),
+{p}_pay AS (SELECT terdisplayid, k || '-' || pn AS prodname, sum(a) AS a, count(a) AS n FROM (
+  SELECT terdisplayid, pn, 'VALIDATED' AS k, winningamount AS a FROM {p}_val
+  UNION ALL SELECT terdisplayid, pn, 'LOSING BET REBATE', rebateamount FROM {p}_val
+  UNION ALL SELECT terdisplayid, pn, 'REFUNDED', refundamount FROM {p}_val) WHERE a <> 0 GROUP BY 1, 2),
+{p}_can AS (
+  SELECT 'HORSE RACING' AS prodname, q.* FROM ({can} JOIN cancelled_state s ON s.tranheaderid = h.tranheaderid
+    AND s.betstatetypeid = 'CB06' JOIN {win} w ON c.cancelleddate >= w.hor_lo AND c.cancelleddate < w.hor_hi
+    WHERE h.prodid = 1 GROUP BY 1) q
+  UNION ALL SELECT CASE WHEN z.prodid = 3 AND z.m THEN 'TOTO MATCH' ELSE z.pn END, z.terdisplayid, sum(z.a), sum(z.n) FROM (
+    SELECT c.terdisplayid, h.prodid, trim(y.prodname) AS pn, h.tranheaderid IN (SELECT tranheaderid FROM {p}_mt) AS m,
+    c.cancelledamout AS a, 1 AS n FROM {p}_h h JOIN cancelled c ON c.tranheaderid = h.tranheaderid
+    JOIN product y ON y.prodid = h.prodid JOIN {win} w ON c.cancelleddate >= w.lot_lo AND c.cancelleddate < w.lot_hi
+    WHERE h.prodid IN (2, 3) AND h.status = 2) z GROUP BY 1, 2
+  UNION ALL SELECT trim(y.prodname), c.terdisplayid, sum(coalesce(c.cancelledamout, 0)), count(c.tranheaderid) FROM cancelled c
+    JOIN cancelled_state s ON s.tranheaderid = c.tranheaderid AND s.betstatetypeid = 'CB06' JOIN product y ON y.prodid = c.prodid
+    JOIN {win} w ON c.cancelleddate BETWEEN w.lot_lo AND w.lot_hi WHERE c.prodid = 4 GROUP BY 1, 2
+  UNION ALL SELECT 'SPORTS', q.* FROM ({can} JOIN cancelled_state s ON s.tranheaderid = h.tranheaderid
+    AND s.betstatetypeid = 'CB06' JOIN {win} w ON c.cancelleddate >= w.spo_lo AND c.cancelleddate < w.spo_hi
+    WHERE h.prodid IN (5, 6) AND h.status IN (1, 2) GROUP BY 1) q),
+{p}_cnt AS (SELECT terdisplayid, prodname, sum(n) AS n FROM (
+  SELECT c.terdisplayid, CASE WHEN b.bettypeid IN {_MATCH} THEN 'TOTO MATCH' ELSE 'TOTO' END AS prodname,
+    count(DISTINCT CASE WHEN b.groupunitsequence IS NULL THEN h.ticketserialnumber END)
+    + count(DISTINCT CASE WHEN b.groupunitsequence IS NOT NULL THEN b.grouphostid END) AS n
+    FROM cancelled c JOIN cancelled_state s ON s.tranheaderid = c.tranheaderid AND s.betstatetypeid = 'CB06'
+    JOIN {win} w ON c.cancelleddate >= w.lot_lo AND c.cancelleddate < w.lot_hi JOIN header h ON h.tranheaderid = c.tranheaderid
+    JOIN pool_line b ON b.tranheaderid = h.tranheaderid GROUP BY 1, 2) GROUP BY 1, 2),
+{p}_rows AS (
+  {every('HORSE RACING', 'COL', f"SELECT terdisplayid, sum(a) AS a, sum(n) AS n FROM (SELECT b.terdisplayid, b.bettypeid, sum(coalesce(b.betpriceamount, 0) * b.f) AS a, count(DISTINCT b.tranheaderid) AS n FROM header_state s JOIN {p}_horse b ON b.tranheaderid = s.tranheaderid WHERE s.betstatetypeid = 'PB06' GROUP BY 1, 2) GROUP BY 1")}
+  UNION ALL {every('4D Lottery', 'COL', f"SELECT h.terdisplayid, sum(coalesce(b.bigbetacceptedwager, 0) + coalesce(b.smallbetacceptedwager, 0)) AS a, count(DISTINCT h.ticketserialnumber) AS n FROM {p}_p h JOIN fourd_number b ON b.tranheaderid = h.tranheaderid JOIN draw d ON d.tranheaderid = h.tranheaderid JOIN {win} w ON b.createddate >= w.ulot_lo AND b.createddate < w.ulot_hi WHERE h.prodid = 2 AND h.status IN (1, 2) GROUP BY 1")}
+  UNION ALL {every('TOTO', 'COL', f"SELECT terdisplayid, sum(a) AS a, sum(n) AS n FROM (SELECT h.terdisplayid, b.grouphostid, b.betpriceamount, sum(b.betpriceamount) AS a, count(DISTINCT h.ticketserialnumber) AS n FROM {p}_p h JOIN {p}_pool b ON b.tranheaderid = h.tranheaderid WHERE h.prodid = 3 AND h.status IN (1, 2) AND b.bettypeid NOT IN {_MATCH} GROUP BY 1, 2, 3) GROUP BY 1")}
+  UNION ALL {every('TOTO MATCH', 'COL', f"SELECT terdisplayid, sum(a) AS a, sum(n) AS n FROM (SELECT h.terdisplayid, b.grouphostid, b.betpriceamount, sum(b.betpriceamount) AS a, count(DISTINCT h.ticketserialnumber) AS n FROM {p}_p h JOIN {p}_pool b ON b.tranheaderid = h.tranheaderid WHERE h.prodid = 3 AND h.status IN (1, 2) AND b.bettypeid IN {_MATCH} GROUP BY 1, 2, 3) GROUP BY 1")}
+  UNION ALL {every('SINGAPORE SWEEP', 'COL', f"SELECT h.terdisplayid, sum(coalesce(b.betpriceamount, 0)) AS a, count(DISTINCT h.tickettransactionid) AS n FROM header h JOIN header_state s ON s.tranheaderid = h.tranheaderid JOIN sweep_line e ON e.tranheaderid = h.tranheaderid JOIN sweep_number b ON b.tranlineitemid = e.tranlineitemid AND NOT b.issoldout JOIN terminal t ON t.terdisplayid = h.terdisplayid JOIN location l ON l.locid = t.locid JOIN {win} w ON b.createddate >= w.ulot_lo AND b.createddate < w.ulot_hi WHERE h.prodid = 4 AND ((s.betstatetypeid = 'PB06' AND (e.isprinted IS NOT NULL OR l.sweepindicator IS NULL)) OR (s.betstatetypeid = 'PB03' AND e.isprinted IS NULL AND l.sweepindicator IS NOT NULL)) GROUP BY 1")}
+  UNION ALL {every('SPORTS', 'COL', f"SELECT terdisplayid, sum(betamount) AS a, count(DISTINCT tranheaderid) AS n FROM (SELECT DISTINCT b.terdisplayid, b.betamount, b.accumulatorid, b.tranheaderid FROM {p}_p h JOIN sports_line b ON b.tranheaderid = h.tranheaderid JOIN {win} w ON b.createddate >= w.uspo_lo AND b.createddate < w.uspo_hi WHERE h.prodid IN (5, 6) AND h.status IN (1, 2)) GROUP BY 1")}
+  UNION ALL SELECT t.terdisplayid, v.validationname || '-' || n.prodname, 'PAY', CAST(q.a AS DECIMAL(24,6)), q.n FROM terminal t CROSS JOIN {p}_pr n
+    CROSS JOIN validation_type v LEFT JOIN {p}_pay q ON q.terdisplayid = t.terdisplayid
+    AND q.prodname = v.validationname || '-' || n.prodname
+  UNION ALL SELECT t.terdisplayid, 'LOSING BET REBATE-HORSE RACING', 'PAY', CAST(round(q.a, 2) AS DECIMAL(24,6)), q.n FROM {p}_tl t LEFT JOIN (
+    SELECT terdisplayid, sum(a) AS a, sum(n) AS n FROM (SELECT b.terdisplayid, b.bettypeid, sum(coalesce(b.boardrebateamount, 0) * b.f) AS a,
+    count(DISTINCT b.tranheaderid) AS n FROM header_state s JOIN {p}_horse b ON b.tranheaderid = s.tranheaderid
+    WHERE s.betstatetypeid = 'PB06' GROUP BY 1, 2) GROUP BY 1) q ON q.terdisplayid = t.terdisplayid
+  UNION ALL SELECT t.terdisplayid, n.prodname, 'CAN', CAST(q.a AS DECIMAL(24,6)), coalesce(k.n, q.n) FROM terminal t CROSS JOIN {p}_pr n
+    LEFT JOIN {p}_can q ON q.terdisplayid = t.terdisplayid AND q.prodname = n.prodname
+    LEFT JOIN {p}_cnt k ON k.terdisplayid = t.terdisplayid AND k.prodname = n.prodname
+  UNION ALL {every('NETS', 'CAS', cards + "('NC', 'NN') GROUP BY 1")}
+  UNION ALL {every('CASHCARD/Flashpay', 'CAS', cards + "('NCC', 'NFP') GROUP BY 1")}
+  UNION ALL {every('Paynow [+trans fee]', 'CAS', f"SELECT c.terdisplayid, sum(i.transactionfee - i.netamount) AS a, count(DISTINCT i.paymentdetailid) AS n {instant} {pnr}")}
+  UNION ALL {every('PaynowQR [+trans fee]', 'CAS', f"SELECT c.terdisplayid, sum(i.transactionfee + i.netamount) AS a, count(DISTINCT i.paymentdetailid) AS n {instant} {pnq}")}
+  UNION ALL {every('Paynow', 'CAS', f"SELECT c.terdisplayid, sum(i.transactionfee) AS a, count(DISTINCT i.paymentdetailid) AS n {instant} {pnr}")}
+  UNION ALL {every('PaynowQR', 'CAS', f"SELECT c.terdisplayid, sum(i.transactionfee) AS a, count(DISTINCT i.paymentdetailid) AS n {instant} {pnq}")}
+  UNION ALL {every('Offline Orders', 'COL', oo_col)}
+  UNION ALL {every('Offline Orders', 'RFD', oo_rfd)}
+  UNION ALL {every('Gate Admission', 'COL', offline("topup", *times, "x.transactiontype = 1"))}
+  UNION ALL {every('Funding and Recovery', 'FUN', f"SELECT t.terdisplayid, sum(coalesce(f.fundingamount, 0)) AS a, 0 AS n FROM funding f JOIN location l ON l.locid = f.locid AND l.loctypeid IN (2, 4) JOIN terminal t ON t.locid = l.locid WHERE CAST(f.fundperiodstart AS DATE) = {fund_lo} AND CAST(f.fundperiodend AS DATE) = {fund_hi} GROUP BY 1")}
+  UNION ALL {every('Funding and Recovery', 'REC', f"SELECT t.terdisplayid, sum(coalesce(f.fundingamount, 0)) AS a, 0 AS n FROM funding f JOIN recovery r ON r.fundingid = f.fundingid JOIN location l ON l.locid = f.locid AND l.loctypeid IN (2, 4) JOIN terminal t ON t.locid = l.locid WHERE CAST(r.recperiodstart AS DATE) = {fund_lo} AND CAST(r.recperiodend AS DATE) = {fund_hi} GROUP BY 1")}
+  UNION ALL {every('Online Adjustment', 'FUN', adjust + "left(k.fld2value, 1) = 'C' GROUP BY 1")}
+  UNION ALL {every('Online Adjustment', 'REC', adjust + "left(k.fld2value, 1) = 'D' GROUP BY 1")}),
+{p}_all AS (
+  SELECT terdisplayid, prodname, flag, CAST(round(coalesce(amount, 0)) * 0.01 * CASE WHEN flag IN ('CAN', 'PAY', 'RFD', 'FUN') THEN -1 ELSE 1 END
+    AS DECIMAL(22,2)) AS amount, CAST(coalesce(n, 0) AS INT) AS n FROM {p}_rows
+  UNION ALL SELECT s.terdisplayid, s.prodname, s.flag, s.amount, CAST(coalesce(CASE WHEN s.flag = 'SAL' THEN k.n END, s.n) AS INT)
+    FROM {p}_salgst s LEFT JOIN (SELECT terdisplayid, prodname, sum(coalesce(CASE flag WHEN 'COL' THEN n ELSE -n END, 0)) AS n
+    FROM {p}_rows WHERE flag IN ('COL', 'CAN') AND prodname IN ('TOTO', 'TOTO MATCH') GROUP BY 1, 2) k
+    ON k.terdisplayid = s.terdisplayid AND k.prodname = s.prodname),
+{out} AS (SELECT a.terdisplayid, regexp_replace(a.prodname, '^(REFUNDED|LOSING BET REBATE|VALIDATED)-', '') AS prodname,
+  CASE WHEN starts_with(a.prodname, 'REFUNDED-') THEN 'RFD' WHEN starts_with(a.prodname, 'LOSING BET REBATE-') THEN 'RBT' ELSE a.flag END AS flag,
+  a.amount, CASE WHEN a.flag = 'SAL' AND l.loctypeid = 1 THEN 0 ELSE a.n END AS ticketcount, CAST(NULL AS DATE) AS actualdate,
+  CASE WHEN a.prodname IN ('Offline Orders', 'Gate Admission') THEN 'OO'
+    WHEN a.prodname IN ('NETS', 'CASHCARD/Flashpay', 'Paynow [+trans fee]', 'PaynowQR [+trans fee]') THEN 'CL'
+    WHEN a.prodname IN ('Paynow', 'PaynowQR') THEN 'TF' ELSE 'CH' END AS transtype
+  FROM {p}_all a LEFT JOIN {p}_tl l ON l.terdisplayid = a.terdisplayid WHERE NOT starts_with(a.prodname, 'EXPIRED-'))"""
+
+
+def transaction_details() -> str:
+    return oracle(f"{windows()}, {details_cte()} SELECT * FROM details", *DETAIL_TABLES)
