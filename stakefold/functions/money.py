@@ -75,9 +75,12 @@ def signed(flag: Column, negative: list[str], x: Column) -> Column:
 
 
 def tax_exclusive(x: Column, rate: Column, kind: str = "decimal(32,11)") -> Column:
-    """Base amount of a tax-inclusive one; ``rate`` is a fraction (0.09)."""
-    base = x.cast("decimal(24,4)") * F.lit(Decimal("100"))
-    share = (F.lit(Decimal("100")) + rate.cast("decimal(9,6)") * F.lit(Decimal("100"))).cast("decimal(12,6)")
+    """Base amount of a tax-inclusive one; ``rate`` is a fraction (0.09).
+
+    The operand widths are chosen so that Spark keeps 14 digits of the quotient.
+    """
+    base = (x.cast("decimal(18,4)") * F.lit(Decimal("100"))).cast("decimal(22,4)")
+    share = (F.lit(Decimal("100")) + rate.cast("decimal(6,4)") * F.lit(Decimal("100"))).cast("decimal(9,6)")
     return F.try_divide(base, share).cast(kind)
 
 

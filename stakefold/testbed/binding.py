@@ -16,6 +16,10 @@ from dataclasses import dataclass
 BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
+# columns the test tables have nothing for
+ABSENT = {"location": ("accountnumber", "branchid", "bankid", "retid")}
+
+
 @dataclass(frozen=True)
 class Dialect:
     ts: str

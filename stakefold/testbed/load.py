@@ -3,36 +3,38 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..sources.schemas import table_schema
 from ..sources.tables import Tables
 from . import binding
 
+_open: dict[tuple[str, str, str], DataFrame] = {}
 
-def base_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in binding.BASE}
+
+def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A test table; the handle (not the data) is kept per session, so its footer is read once."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _open:
+        _open[key] = spark.read.parquet(f"{folder}/{name}.parquet")
+    return _open[key]
 
 
 def domain_tables(spark: SparkSession, folder: str) -> Tables:
     """Domain tables over the Parquet files of ``folder``, conformed to the declared schemas."""
-    base = base_tables(spark, folder)
     sql = binding.tables(binding.SPARK)
 
     def load(name: str) -> DataFrame:
         text = sql[name]
         used = {}
         for b in binding.BASE:
-            if f" {b} " in f" {' '.join(text.split())} ".replace(")", " ) "):
+            if f"FROM {b}" in text:
                 text = text.replace(f"FROM {b}", f"FROM {{{b}}}")
-                used[b] = base[b]
-        derived = spark.sql(text, **used) if used else spark.sql(text)
-        have = set(derived.columns)
-        return derived.select(
-            *[
-                (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in table_schema(name).fields
-            ]
+                used[b] = base_table(spark, folder, b)
+        missing = set(binding.ABSENT.get(name, ()))
+        fields = ", ".join(
+            f"CAST({'NULL' if f.name in missing else f.name} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in table_schema(name).fields
         )
+        return spark.sql(f"SELECT {fields} FROM ({text})", **used)
 
     return Tables(spark, load)

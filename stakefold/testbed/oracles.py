@@ -393,3 +393,160 @@ def details_cte(
 
 def transaction_details() -> str:
     return oracle(f"{windows()}, {details_cte()} SELECT * FROM details", *DETAIL_TABLES)
+
+
+INVOICE_TABLES = list(dict.fromkeys([*DETAIL_TABLES, *AMOUNT_TABLES, *SWEEP_TABLES, "chain", "commission", "ledger_product", "invoice_period"]))
+
+
+def invoice(start: str, end: str, rate_day: str, by_terminal: bool) -> str:
+    """Both invoices: lines as one long union, then netting, roll-up and mapping."""
+    k = "i.terdisplayid, i.locdisplayid" if by_terminal else "i.locdisplayid, i.chdisplayid"
+    kc = k.replace("i.", "")
+    pay_lo, pay_hi = ("w.unon_lo", "w.unon_hi") if by_terminal else ("w.ulot_lo", "w.ulot_hi")
+    day = "" if by_terminal else ", CAST(h.createddate AS DATE)"
+    fixed_from = "iv_place" if by_terminal else "iv_loc"
+    ends = "<=" if by_terminal else "<"
+    credit = "'2','3','7','108','110','112','4','61'" + ("" if by_terminal else ",'6','571','-3'")
+    debit = "'1'" + ("" if by_terminal else ",'572','-2'")
+
+    def lines(prod: str, kind: str, n: str, a: str, sub: str, body: str) -> str:
+        return (
+            f"SELECT {k}, CAST({prod} AS INT) AS prodid, {kind} AS sales_type, CAST({n} AS INT) AS totalcount, "
+            f"CAST({a} AS DECIMAL(32,11)) AS amount, {sub} AS sub_prod FROM {body} GROUP BY ALL"
+        )
+
+    det = "details a JOIN iv_place i ON i.terdisplayid = a.terdisplayid"
+    named = f"{det} JOIN iv_prod p ON p.prodname = a.prodname WHERE p.prodid BETWEEN 1 AND 5 AND "
+    parts = [
+        lines("p.prodid", "'1'", "sum(a.ticketcount)", "sum(a.amount * 100)", "a.prodname", named + "a.flag = 'COL' AND a.transtype <> 'OO'"),
+        lines("CASE a.prodname WHEN 'Gate Admission' THEN 99 ELSE 31 END", "'1'", "sum(a.ticketcount)", "sum(a.amount * 100)",
+              "''", f"{det} WHERE a.flag = 'COL' AND a.transtype = 'OO'"),
+        lines("p.prodid", "CASE a.flag WHEN 'CAN' THEN '2' WHEN 'PAY' THEN '3' WHEN 'RBT' THEN '4' WHEN 'GST' THEN '6' ELSE '7' END",
+              "sum(a.ticketcount)", "-sum(a.amount * 100)", "a.prodname", named + "a.flag IN ('CAN', 'PAY', 'RBT', 'GST', 'SAL')"),
+        lines("p.prodid", "'61'", "sum(a.ticketcount)", "-sum(a.amount * 100)", "a.prodname", named + "a.flag = 'RFD' AND a.transtype <> 'OO'"),
+        lines("31", "'61'", "sum(a.ticketcount)", "-sum(a.amount * 100)", "''", f"{det} WHERE a.flag = 'RFD' AND a.transtype = 'OO'"),
+        lines("3", "'16'", "count(DISTINCT v.tranheaderid)", "sum(v.winningamount)", f"CASE WHEN b.bettypeid IN {_MATCH} THEN 'TOTO MATCH' ELSE 'TOTO' END",
+              "validated v JOIN win w ON v.createdvalidationdate >= w.ulot_lo AND v.createdvalidationdate < w.ulot_hi "
+              "JOIN validated_state s ON s.tranheaderid = v.tranheaderid AND s.betstatetypeid = 'VB06' "
+              "JOIN (SELECT DISTINCT tranheaderid, grouphostid, groupunitsequence, bettypeid FROM pool_line WHERE groupunitsequence IS NOT NULL) b "
+              "ON b.tranheaderid = v.tranheaderid JOIN iv_place i ON i.terdisplayid = v.terdisplayid WHERE v.winningamount <> 0"),
+        lines("3", "'52'", "sum(y.n)", "sum(y.wager)", "'TOTO'", "iv_house y JOIN iv_place i ON i.terdisplayid = y.terdisplayid"),
+        lines("3", "'25'", "sum(y.n - y.c)", "sum(trunc(y.sales))", "'TOTO'", "iv_house y JOIN iv_place i ON i.terdisplayid = y.terdisplayid"),
+        lines("3", "'69'", "sum(y.n)", "sum(y.wager)", "y.sub", "iv_group y JOIN iv_place i ON i.terdisplayid = y.terdisplayid"),
+        lines("3", "'60'", "sum(y.n - y.c)", "sum(trunc(y.sales))", "y.sub", "iv_group y JOIN iv_place i ON i.terdisplayid = y.terdisplayid"),
+        lines("3", "'59'", "count(DISTINCT c.ticketserialnumber)", "sum(coalesce(c.cancelledamout, 0))", "'TOTO'",
+              f"iv_can c JOIN win w ON c.cancelleddate >= w.lot_lo AND c.cancelleddate {ends} w.lot_hi JOIN iv_it e ON "
+              "e.ticketserialnumber = c.ticketserialnumber AND e.itotoindicator JOIN iv_place i ON i.terdisplayid = c.terdisplayid WHERE c.prodid = 3"),
+        lines("3", "'70'", "count(DISTINCT e.grouphostid)", "sum(coalesce(c.cancelledamout, 0))", "e.sub",
+              f"iv_can c JOIN win w ON c.cancelleddate >= w.lot_lo AND c.cancelleddate {ends} w.lot_hi JOIN iv_gt e ON "
+              "e.ticketserialnumber = c.ticketserialnumber JOIN iv_place i ON i.terdisplayid = c.terdisplayid WHERE c.prodid = 3"),
+        lines("0", "CASE y.label WHEN 'NETS' THEN '108' WHEN 'Flashpay' THEN '110' ELSE '112' END", "sum(y.n)", "sum(y.a)", "''",
+              "iv_cash y JOIN iv_place i ON i.terdisplayid = y.terdisplayid"),
+        f"SELECT {k}, p.prodid, '40', 0, CAST(r.gstrate AS DECIMAL(32,11)), p.prodname FROM {fixed_from} i CROSS JOIN "
+        "(SELECT * FROM iv_prod WHERE prodid IN (2, 3, 4)) p CROSS JOIN iv_rate r WHERE i.isgst",
+        f"SELECT DISTINCT {k}, c.prodid, '105', 0, CAST(c.salescommission AS DECIMAL(32,11)), c.sub FROM {fixed_from} i CROSS JOIN iv_conf c WHERE i.isgst",
+        f"SELECT DISTINCT {k}, c.prodid, '119', 0, CAST(c.salesfactor AS DECIMAL(32,11)), c.sub FROM {fixed_from} i CROSS JOIN iv_conf c"
+        + ("" if by_terminal else " WHERE i.chdisplayid IS NOT NULL"),
+    ]
+    base = list(parts)
+    general = lines("y.prodid", "'116'", "sum(y.n)", "sum(trunc(y.a))", "y.sub", "iv_sold y JOIN iv_place i ON i.terdisplayid = y.terdisplayid")
+    if by_terminal:
+        kept = f"SELECT * FROM (SELECT y.*, 1 AS one FROM ({general}) y) z WHERE NOT EXISTS (SELECT 1 FROM sweeps s WHERE s.terdisplayid = z.terdisplayid AND s.prodid = z.prodid)"
+        fresh = (
+            "SELECT i.terdisplayid, i.locdisplayid, s.prodid, '116', CAST(s.totalcount AS INT), CAST(s.amount * 100 AS DECIMAL(32,11)), '' "
+            f"FROM sweeps s JOIN iv_place i ON i.terdisplayid = s.terdisplayid WHERE s.actualdate = DATE '{start}'"
+        )
+        gate_den = "(100 + CAST(r.gstrate AS INT))"
+        gate = (
+            f"SELECT {k}, q.prodid, '116', q.totalcount, CAST(CAST((2 * CAST(q.amount * 100 AS HUGEINT) * 100000000000 + {gate_den}) // (2 * {gate_den}) "
+            "AS DECIMAL(38,0)) * 0.00000000001 AS DECIMAL(32,11)), '' FROM (SELECT * FROM iv_det WHERE prodid = 99) i JOIN iv_det q "
+            "ON q.terdisplayid = i.terdisplayid AND q.prodid = 99 CROSS JOIN iv_rate r"
+        )
+        extra = ""
+    else:
+        kept = f"SELECT * FROM (SELECT y.*, 1 AS one FROM ({general}) y) z WHERE NOT EXISTS (SELECT 1 FROM iv_sw s WHERE s.locdisplayid = z.locdisplayid AND s.prodid = z.prodid)"
+        fresh = "SELECT locdisplayid, chdisplayid, prodid, '116', n, a, '' FROM iv_sw"
+        gate = ""
+        fund = (
+            "(SELECT i.locid, i.locdisplayid, i.chdisplayid, a.prodname, a.flag, max(a.amount) AS d, max(a.ticketcount) AS n FROM details a "
+            "JOIN iv_place i ON i.terdisplayid = a.terdisplayid WHERE a.flag IN ('FUN', 'REC') AND (a.prodname = 'Online Adjustment' "
+            "OR (a.prodname = 'Funding and Recovery' AND i.loctypeid IN (2, 4))) GROUP BY ALL) i"
+        )
+        extra = " UNION ALL " + lines(
+            "0", "CASE WHEN i.prodname = 'Online Adjustment' THEN CASE i.flag WHEN 'REC' THEN '-2' ELSE '-3' END ELSE CASE i.flag WHEN 'REC' THEN '572' ELSE '571' END END",
+            "sum(CASE i.prodname WHEN 'Online Adjustment' THEN i.n ELSE 0 END)", "sum(i.d * 100 * CASE i.flag WHEN 'FUN' THEN -1 ELSE 1 END)", "''", fund,
+        )
+    kept = kept.replace("SELECT * FROM (SELECT y.*, 1 AS one", f"SELECT {kc}, prodid, sales_type, totalcount, amount, sub_prod FROM (SELECT y.*")
+    gone = (
+        "SELECT DISTINCT c.ticketserialnumber, c.terdisplayid, c.prodid, CASE WHEN c.prodid <> 3 THEN '' WHEN c.tranheaderid IN "
+        "(SELECT tranheaderid FROM td_mt) THEN 'TOTO MATCH' ELSE 'TOTO' END AS sub FROM amounts a JOIN iv_can c ON c.ticketserialnumber = a.ticketserialnumber WHERE c.prodid IN (2, 3, 4)"
+        if by_terminal else
+        "SELECT DISTINCT h.ticketserialnumber, h.terdisplayid, h.prodid, h.sub FROM amounts a JOIN iv_can c ON c.ticketserialnumber = a.ticketserialnumber "
+        "JOIN iv_hdr h ON h.ticketserialnumber = a.ticketserialnumber WHERE h.prodid IN (2, 3, 4)"
+    )
+
+    def synd(cond: str, sub: str) -> str:
+        """House or player syndicate sums per terminal (and day), with the specification's fan-out."""
+        return f"""(SELECT h.terdisplayid{day} AS d, f.sub, count(DISTINCT f.tk) AS n, count(DISTINCT g.tk) AS c, sum(coalesce(f.wager, 0)) AS wager,
+    sum(coalesce(f.sales, 0)) AS sales FROM header h JOIN win w ON h.createddate BETWEEN w.ulot_lo AND w.ulot_hi
+    JOIN (SELECT a.ticketserialnumber AS tk, a.wager, CASE WHEN x.ticketserialnumber IS NULL THEN a.sales ELSE 0 END AS sales, {sub} AS sub
+      FROM iv_it e JOIN amounts a ON a.ticketserialnumber = e.ticketserialnumber
+      LEFT JOIN iv_can x ON x.ticketserialnumber = a.ticketserialnumber WHERE {cond}) f ON f.tk = h.ticketserialnumber
+    LEFT JOIN (SELECT a.ticketserialnumber AS tk FROM iv_it e JOIN amounts a ON a.ticketserialnumber = e.ticketserialnumber
+      JOIN iv_can x ON x.ticketserialnumber = a.ticketserialnumber WHERE {cond}) g ON g.tk = h.ticketserialnumber
+    WHERE h.prodid = 3 GROUP BY ALL)""".replace(" AS d, f.sub", ", f.sub" if by_terminal else " AS d, f.sub")
+
+    body = f"""{windows(start, end)}, {amounts_cte()}, {sweep_cte()}, {details_cte(start=start)},
+iv_loc AS (SELECT l.*, c.chdisplayid FROM location l LEFT JOIN chain c ON c.chid = l.chid),
+iv_place AS (SELECT t.terdisplayid, l.* FROM terminal t JOIN iv_loc l ON l.locid = t.locid),
+iv_prod AS (SELECT prodid, CASE prodid WHEN 5 THEN 'SPORTS' ELSE trim(prodname) END AS prodname FROM product WHERE prodid <> 6
+  UNION ALL SELECT 3, 'TOTO MATCH'),
+iv_rate AS (SELECT gstrate FROM tax_rate WHERE DATE '{rate_day}' >= effectivefrom AND (enddate IS NULL OR DATE '{rate_day}' <= enddate)),
+iv_conf AS (SELECT c.*, s.sub FROM commission c JOIN (VALUES (2, ''), (4, ''), (3, 'TOTO'), (3, 'TOTO MATCH')) s(prodid, sub)
+  ON s.prodid = c.prodid WHERE c.commissiontype = 1 AND NOT c.isdeleted),
+iv_can AS (SELECT c.* FROM cancelled c JOIN cancelled_state s ON s.tranheaderid = c.tranheaderid AND s.betstatetypeid = 'CB06'
+  JOIN win w ON c.cancelleddate BETWEEN w.lot_lo AND w.lot_hi),
+iv_pl AS (SELECT h.ticketserialnumber, b.*, b.bettypeid IN {_MATCH} AS m FROM header h JOIN win w ON h.createddate BETWEEN w.ulot_lo AND w.ulot_hi
+  JOIN pool_line b ON b.tranheaderid = h.tranheaderid),
+iv_it AS (SELECT DISTINCT ticketserialnumber, itotoindicator, groupunitsequence, m FROM iv_pl WHERE groupunitsequence = 1 OR itotoindicator),
+iv_gt AS (SELECT DISTINCT ticketserialnumber, grouphostid, groupunitsequence, CASE WHEN m THEN 'TOTO MATCH' ELSE 'TOTO' END AS sub
+  FROM iv_pl WHERE groupunitsequence IS NOT NULL),
+iv_group AS {synd("e.groupunitsequence = 1", "CASE WHEN e.m THEN 'TOTO MATCH' ELSE 'TOTO' END")},
+iv_house AS {synd("e.itotoindicator", "'TOTO'")},
+iv_cash AS (SELECT y.terdisplayid, CASE y.paymenttypeid WHEN 'NCC' THEN 'CASHCARD' WHEN 'NFP' THEN 'Flashpay' ELSE 'NETS' END AS label,
+  {"" if by_terminal else "y.paymenttypeid AS ty, "}sum(coalesce(y.paidamount, 0)) AS a, count(DISTINCT y.paymentdetailid) AS n
+  FROM payment y JOIN win w ON y.createddate >= {pay_lo} AND y.createddate < {pay_hi}
+  WHERE y.paymenttypeid IN ('NC', 'NN', 'NCC', 'NFP') GROUP BY ALL),
+iv_hdr AS (SELECT h.*, CASE WHEN h.prodid <> 3 THEN '' WHEN h.tranheaderid IN (SELECT tranheaderid FROM td_mt) THEN 'TOTO MATCH' ELSE 'TOTO' END AS sub
+  FROM header h),
+iv_gone AS ({gone}),
+iv_tk AS (SELECT h.ticketserialnumber, h.terdisplayid, h.prodid, h.sub{"" if by_terminal else ", h.createddate"}, sum(a.sales + a.secondsales) AS a
+  FROM amounts a JOIN iv_hdr h ON h.ticketserialnumber = a.ticketserialnumber JOIN win w ON
+  (h.prodid IN (2, 3, 4) AND h.createddate BETWEEN w.ulot_lo AND w.ulot_hi) OR (h.prodid IN (5, 6) AND h.createddate BETWEEN w.uspo_lo AND w.uspo_hi)
+  OR (h.prodid = 1 AND h.createddate BETWEEN w.uhor_lo AND w.uhor_hi) WHERE h.iscancelled = false GROUP BY ALL),
+iv_sold AS (SELECT x.terdisplayid, CASE x.prodid WHEN 6 THEN 5 ELSE x.prodid END AS prodid, x.sub{"" if by_terminal else ", CAST(x.createddate AS DATE) AS d"},
+  sum(1 - CASE WHEN g.ticketserialnumber IS NULL THEN 0 ELSE 1 END) AS n, sum(coalesce(x.a, 0)) AS a FROM iv_tk x
+  LEFT JOIN iv_gone g ON g.ticketserialnumber = x.ticketserialnumber AND g.terdisplayid = x.terdisplayid
+  AND g.prodid = CASE x.prodid WHEN 6 THEN 5 ELSE x.prodid END AND g.sub = x.sub GROUP BY ALL),
+iv_sw AS (SELECT i.locdisplayid, i.chdisplayid, s.prodid, CAST(sum(s.totalcount) AS INT) AS n, CAST(sum(s.amount * 100) AS DECIMAL(32,11)) AS a
+  FROM sweeps s JOIN iv_place i ON i.terdisplayid = s.terdisplayid GROUP BY ALL),
+iv_det AS ({parts[1]}),
+iv_one AS ({" UNION ALL ".join(f"SELECT * FROM ({b})" for b in base)} UNION ALL {kept} UNION ALL {fresh}{" UNION ALL " + gate if gate else ""}{extra}),
+iv_net AS (SELECT {kc}, 0 AS prodid, '727' AS sales_type, 0 AS totalcount, CAST(coalesce(sum(CASE WHEN sales_type IN ({debit}) THEN amount END), 0)
+  - coalesce(sum(CASE WHEN sales_type IN ({credit}) THEN amount END), 0) AS DECIMAL(32,11)) AS amount, '' AS sub_prod
+  FROM iv_one WHERE prodid NOT IN (31, 99) AND sales_type IN ({debit},{credit}) GROUP BY ALL),
+iv_two AS (SELECT * FROM iv_one WHERE sales_type NOT IN ('-2', '-3') UNION ALL SELECT * FROM iv_net
+  UNION ALL SELECT {kc}, prodid, sales_type, CAST(sum(totalcount) AS INT), CAST(sum(amount) AS DECIMAL(32,11)), '' FROM iv_one
+    WHERE sub_prod IN ('TOTO', 'TOTO MATCH') AND sales_type NOT IN ('40', '119', '105') GROUP BY ALL
+  UNION ALL SELECT {kc}, prodid, sales_type, totalcount, amount, '' FROM iv_one WHERE sub_prod = 'TOTO MATCH' AND sales_type IN ('40', '119', '105')),
+iv_out AS (SELECT DISTINCT {kc}, CAST(coalesce(CASE WHEN l.prodid IS NULL THEN q.prodid WHEN q.prodid = 3 AND q.sub_prod = 'TOTO' THEN 71
+  WHEN q.prodid = 3 AND q.sub_prod = 'TOTO MATCH' THEN 66 ELSE CAST(l.sapprodid AS INT) END, 0) AS INT) AS prodid, q.sales_type, q.totalcount, q.amount
+  FROM iv_two q LEFT JOIN ledger_product l ON l.prodid = q.prodid WHERE q.totalcount <> 0 OR q.amount <> 0)
+"""
+    if by_terminal:
+        body += f"SELECT terdisplayid, DATE '{start}' AS transactiondate, prodid, locdisplayid, sales_type, totalcount, amount FROM iv_out"
+    else:
+        body += f"""SELECT o.locdisplayid, p.invoiceperiodid AS agentinvoice_invid, o.chdisplayid AS agentinvoice_finidn,
+  o.prodid AS agentinvoice_productid, o.sales_type, o.totalcount, o.amount FROM iv_out o
+  JOIN invoice_period p ON p.startdate = DATE '{start}' AND p.enddate = DATE '{end}' WHERE coalesce(o.chdisplayid, '') <> ''"""
+    return oracle(body, *INVOICE_TABLES)
