@@ -550,3 +550,73 @@ iv_out AS (SELECT DISTINCT {kc}, CAST(coalesce(CASE WHEN l.prodid IS NULL THEN q
   o.prodid AS agentinvoice_productid, o.sales_type, o.totalcount, o.amount FROM iv_out o
   JOIN invoice_period p ON p.startdate = DATE '{start}' AND p.enddate = DATE '{end}' WHERE coalesce(o.chdisplayid, '') <> ''"""
     return oracle(body, *INVOICE_TABLES)
+
+
+HOURS_TABLES = [
+    "calendar", "session", "terminal", "location", "header", "header_state", "pool_line", "sweep_number", "sweep_line",
+    "cancelled", "cancelled_state", "validated", "validated_state", "horse_line", "offline_voucher", "offline_header",
+    "offline_charity", "offline_spa", "offline_topup", "offline_festive", "operating_hours",
+]
+
+
+def operating_hours(day: str) -> str:
+    def flags(at: str, start: str, end: str, n: str = "1", miss: str = "NULL") -> str:
+        return (
+            f"CASE WHEN {at} >= s.{start} AND {at} <= s.{start} + INTERVAL 1 HOUR THEN {n} ELSE {miss} END AS f, "
+            f"CASE WHEN {at} >= s.{end} - INTERVAL 1 HOUR AND {at} <= s.{end} THEN {n} ELSE {miss} END AS l"
+        )
+
+    def offline(part: str) -> str:
+        return (
+            f"SELECT s.terdisplayid, NULL, {flags('x.createddate', 'ust', 'uen', 'x.repeatedticket', '0')} FROM ss s "
+            f"JOIN offline_{part} x ON x.terdisplayid = s.terdisplayid JOIN pd p ON x.createddate BETWEEN p.ulo AND p.uhi"
+        )
+
+    return oracle(
+        f"""
+pd AS (SELECT *, lo - INTERVAL 8 HOURS AS ulo, hi - INTERVAL 8 HOURS AS uhi FROM (SELECT previousperioddatetime AS lo,
+  perioddatetime AS hi FROM calendar WHERE actualdate = DATE '{day}' ORDER BY 1 DESC, 2 DESC LIMIT 1)),
+ss AS (SELECT *, st - INTERVAL 8 HOURS AS ust, en - INTERVAL 8 HOURS AS uen FROM (SELECT e.terdisplayid, min(e.sessionstartdatetime) AS st,
+  max(e.sessionenddatetime) AS en, l.sweepindicator AS ind FROM session e JOIN terminal t ON t.terdisplayid = e.terdisplayid
+  JOIN location l ON l.locid = t.locid JOIN pd p ON e.sessionstartdatetime BETWEEN p.lo AND p.hi GROUP BY 1, 4)),
+ct AS (
+  SELECT terdisplayid, d, f, l FROM (SELECT DISTINCT h.terdisplayid, h.createddate AS d, {flags('h.createddate', 'ust', 'uen')}, h.tranheaderid
+    FROM ss s JOIN header h ON h.terdisplayid = s.terdisplayid JOIN pd p ON h.createddate BETWEEN p.ulo AND p.uhi
+    JOIN header_state z ON z.tranheaderid = h.tranheaderid AND z.betstatetypeid = 'PB06'
+    LEFT JOIN pool_line b ON b.tranheaderid = h.tranheaderid LEFT JOIN sweep_number n ON n.tranheaderid = h.tranheaderid
+    LEFT JOIN sweep_line q ON q.tranlineitemid = n.tranlineitemid
+    WHERE NOT h.isexchangeticket AND h.isbetrejectedbytrader = false AND coalesce(b.groupunitsequence, 1) = 1
+    AND NOT coalesce(n.issoldout, false) AND (s.ind IS NULL OR q.isprinted IS NOT NULL))
+  UNION ALL SELECT terdisplayid, d, f, l FROM (SELECT DISTINCT h.terdisplayid, h.createddate AS d, {flags('h.createddate', 'ust', 'uen')}, h.tranheaderid
+    FROM ss s JOIN header h ON h.terdisplayid = s.terdisplayid JOIN pd p ON h.createddate BETWEEN p.ulo AND p.uhi
+    JOIN header_state z ON z.tranheaderid = h.tranheaderid AND z.betstatetypeid = 'PB03'
+    JOIN sweep_line q ON q.tranheaderid = h.tranheaderid JOIN sweep_number n ON n.tranlineitemid = q.tranlineitemid AND NOT n.issoldout
+    WHERE h.isbetrejectedbytrader = false AND s.ind IS NOT NULL AND q.isprinted IS NULL)
+  UNION ALL SELECT terdisplayid, NULL, f, l FROM (SELECT DISTINCT s.terdisplayid, c.cancelleddate, {flags('c.cancelleddate', 'st', 'en')}, h.tranheaderid
+    FROM ss s JOIN cancelled c ON c.terdisplayid = s.terdisplayid JOIN pd p ON c.cancelleddate BETWEEN p.lo AND p.hi
+    JOIN cancelled_state z ON z.tranheaderid = c.tranheaderid AND z.betstatetypeid = 'CB06' JOIN header h ON h.tranheaderid = c.tranheaderid
+    LEFT JOIN pool_line b ON b.tranheaderid = c.tranheaderid WHERE h.isbetrejectedbytrader = false
+    AND (b.groupunitsequence IS NULL OR c.cancelledamout <> 0))
+  UNION ALL SELECT v.terdisplayid, NULL, v.f, v.l FROM (SELECT s.terdisplayid, v.winningamount, v.rebateamount, v.refundamount,
+    {flags('v.validationdate', 'st', 'en')} FROM ss s JOIN validated v ON v.terdisplayid = s.terdisplayid
+    JOIN validated_state z ON z.tranheaderid = v.tranheaderid AND z.betstatetypeid = 'VB06'
+    JOIN pd p ON v.validationdate BETWEEN p.lo AND p.hi) v, LATERAL (VALUES (v.winningamount), (v.rebateamount), (v.refundamount)) u(x)
+    WHERE coalesce(u.x, 0) <> 0
+  UNION ALL SELECT terdisplayid, NULL, f, l FROM (SELECT DISTINCT s.terdisplayid, b.tranheaderid, b.createddate, {flags('b.createddate', 'ust', 'uen')}
+    FROM ss s JOIN horse_line b ON b.terdisplayid = s.terdisplayid JOIN pd p ON b.createddate BETWEEN p.ulo AND p.uhi
+    JOIN header_state z ON z.tranheaderid = b.tranheaderid AND z.betstatetypeid = 'PB06' WHERE b.boardrebateamount > 0)
+  UNION ALL SELECT s.terdisplayid, NULL, {flags('o.transactiontime', 'st', 'en')} FROM ss s JOIN offline_voucher x ON x.terdisplayid = s.terdisplayid
+    JOIN offline_header o ON o.transactionheaderid = x.headerid JOIN pd p ON o.transactiontime BETWEEN p.lo AND p.hi WHERE x.isactive
+  UNION ALL {" UNION ALL ".join(offline(p) for p in ("charity", "spa", "topup", "festive"))}),
+cc AS (SELECT terdisplayid, min(d) AS fd, max(d) AS ld, sum(f) AS f, sum(l) AS l FROM ct GROUP BY 1)
+SELECT l.locname AS locationname, l.locdisplayid AS locationid, t.terdisplayid AS terminalid, o.opentime,
+  strftime(s.st, '%d.%m.%Y') AS signondate, strftime(s.st, '%H:%M:%S') AS signontime,
+  strftime(c.fd + INTERVAL 8 HOURS, '%H:%M:%S') AS firstsaletime, CAST(coalesce(c.f, 0) AS INT) AS firsthourcount, o.closetime,
+  strftime(s.en, '%d.%m.%Y') AS signoffdate, strftime(s.en, '%H:%M:%S') AS signofftime,
+  strftime(c.ld + INTERVAL 8 HOURS, '%H:%M:%S') AS lastsaletime, CAST(coalesce(c.l, 0) AS INT) AS lasthourcount
+FROM terminal t LEFT JOIN operating_hours o ON o.locid = t.locid AND NOT o.isdeleted
+  AND o.dayno = (SELECT extract(dow FROM CAST(lo AS DATE) - 1) + 1 FROM pd)
+LEFT JOIN location l ON l.locid = t.locid AND NOT l.isdeleted LEFT JOIN ss s ON s.terdisplayid = t.terdisplayid
+LEFT JOIN cc c ON c.terdisplayid = t.terdisplayid WHERE NOT t.isdeleted""",
+        *HOURS_TABLES,
+    )
