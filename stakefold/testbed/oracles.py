@@ -620,3 +620,162 @@ LEFT JOIN location l ON l.locid = t.locid AND NOT l.isdeleted LEFT JOIN ss s ON
 LEFT JOIN cc c ON c.terdisplayid = t.terdisplayid WHERE NOT t.isdeleted""",
         *HOURS_TABLES,
     )
+
+
+def shop_ledger(day: str, day_text: str, next_day: str, period: str, rate: int) -> str:
+    """Ledger lines of an invoice day, each total spelled out."""
+
+    def cells(src: str, extra: str = "") -> str:
+        return (
+            "SELECT i.locid, i.locdisplayid, i.locname, i.loctypeid AS lt, i.isibg, i.isgst, q.prodname AS pn, q.flag, q.transtype AS ty, "
+            "CASE WHEN q.flag IN ('FUN', 'REC') THEN max(q.amount) ELSE sum(q.amount) END * 100 AS x FROM "
+            f"(SELECT terdisplayid, prodname, flag, amount, transtype FROM {src}{extra}) q JOIN iv_place i ON i.terdisplayid = q.terdisplayid GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9"
+        )
+
+    net = (
+        " UNION ALL SELECT terdisplayid, CASE WHEN starts_with(prodname, 'PaynowQR') THEN 'PaynowQR' ELSE 'Paynow' END, 'CAS', "
+        "sum(CASE WHEN transtype = 'TF' THEN -amount ELSE amount END), 'CL' FROM details WHERE flag = 'CAS' AND amount <> 0 "
+        "AND starts_with(prodname, 'Paynow') GROUP BY 1, 2"
+    )
+
+    def s(cond: str, src: str = "lc") -> str:
+        return f"(SELECT coalesce(sum(x), 0) FROM {src} WHERE {cond})"
+
+    ret, br = "lt IN (2, 4)", "lt = 1"
+    rows: list[tuple] = []
+
+    def post(code, grp, doc, key, acct, text, gl, tax, base, cc, amount, product="", cust="''"):
+        rows.append((code, grp, doc, key, acct, text, gl, tax, base, cc, amount, product, cust))
+
+    den = 100 + rate
+
+    def base_of(x: str) -> str:  # round(x * 100 / den, 2) on exact integers, x has two digits
+        return (
+            f"(CAST((2 * CAST({x} * 100 AS HUGEINT) * 100 + sign({x}) * {den}) AS HUGEINT) // {2 * den}) * 0.01"
+        )
+
+    code = 21
+    acct = {("PaynowQR", ret): "24100060", ("Paynow", ret): "24100062", ("PaynowQR", br): "24100061", ("Paynow", br): "24100063"}
+    for n, ((pn, at), a) in enumerate(acct.items()):
+        fee = s(f"flag = 'CAS' AND pn = '{pn}' AND ty = 'TF' AND {at}")
+        text = f"PAYNOW QR TXN {day_text} - UBT E-PYT BANK FEE" if pn == "PaynowQR" else f"PAYNOW TXN {day_text} - UBT PZ CLAIM BANK FEE"
+        post(f"MCOL{code}", 10 + n, "Y5", "'01'", a, text, "12100000", "", "NULL", "", fee)
+        post(f"MCOL{code + 1}", 10 + n, "Y5", "'50'", "", text, "41090007", "", "NULL", "2001200000", base_of(fee))
+        post(f"MCOL{code + 2}", 10 + n, "Y5", "'50'", "", text, "22000000", "S3", base_of(fee), "", f"{fee} - {base_of(fee)}")
+        code += 3
+    for n, ((pn, at), a) in enumerate(acct.items()):
+        sign = "" if pn == "PaynowQR" else "-"
+        x = sign + s(f"flag = 'CAS' AND pn = '{pn}' AND ty = 'CL' AND {at}")
+        text = f"GAMING INVOICE ON {day_text} {'RET' if at == ret else 'BR'}-{'PAYNOW QR' if pn == 'PaynowQR' else 'PAYNOW'}"
+        k1, k2 = ("'11'", "'01'") if pn == "PaynowQR" else ("'01'", "'11'")
+        post(f"MCOL{code}", 50 + n, "Y8", k1, "21100091" if at == ret else "23100000", text, "12100001" if at == ret else "12100003", "", "NULL", "", x)
+        post(f"MCOL{code + 1}", 50 + n, "Y8", k2, "21100091" if at == ret else a, text, "12100000", "", "NULL", "", x)
+        code += 2
+
+    def area(g, product, names, pnames, prods, cash, gl_s, gl_t, gl_p, gl_b, sports):
+        mine = f"pn IN ({names}) AND "
+        on = "ty <> 'OO'"
+
+        def tk(col, at):
+            return f"(SELECT coalesce(sum({col}), 0) FROM tk WHERE prod IN ({prods}) AND {at})"
+
+        def signed(x, pos, neg):
+            return f"CASE WHEN {x} > 0 THEN '{pos}' ELSE '{neg}' END"
+
+        for at, c0, own, gl0, off in ((ret, 1, "21100091", "12100001", 1), (br, 16, "23100000", gl_b, 2)):
+            who = "RETAILERS" if at == ret else "BRANCHES"
+            flags = "('CAN', 'PAY', 'RBT', 'SAL')" if at == ret else "('CAN', 'PAY', 'RBT')"
+            inv = s(f"{mine}{at} AND ((flag IN ('COL', 'RFD') AND {on}) OR flag IN {flags})")
+            post(f"MCOL{c0}", g + off, "Y8", signed(inv, "01", "11"), own, f"INVOICE FOR {who}", gl0, "", "NULL", "", f"abs({inv})", product)
+            post(f"MCOL{c0 + 1}", g + off, "Y8", "'50'", "", f"SALES IN ADV FOR {who}", gl_s, "", "NULL", "", tk("s", at), product)
+            tax = f"{tk('w', at)} - {tk('s', at)}"
+            post(f"MCOL{c0 + 2}", g + off, "Y8", "'50'", "", f"GOOD & SERVICES TAX FOR {who}", gl_t, "XA" if sports else "",
+                 tk("w", at) if sports else "NULL", "", tax, product)
+            pay, rfd, rbt = (s(f"{mine}{at} AND flag = '{f}' AND {on}") for f in ("PAY", "RFD", "RBT"))
+            if sports and at == ret:
+                post("MCOL5", g + 1, "Y8", "'40'", "", "PRIZES PAID BY RETAILERS", gl_p, "", "NULL", "", f"-{pay}", product)
+            if sports:
+                post("MCOL6" if at == ret else "MCOL20", g + off, "Y8", "'40'", "", f"REDEMPTION COLLECTION-{who}", "21816001", "", "NULL", "", f"-{rfd}", product)
+            else:
+                post("MCOL5" if at == ret else "MCOL19", g + off, "Y8", "'40'", "", f"PRIZES PAID BY {who}", gl_p, "", "NULL", "", f"-{pay} - {rfd}", product)
+                post("MCOL6" if at == ret else "MCOL20", g + off, "Y8", "'40'", "", f"REBATE FOR {who}", "21100211", "", "NULL", "", f"-{rbt}", product)
+        gate = s(f"pn = 'Gate Admission' AND flag = 'COL' AND {br}")
+        if not sports:
+            post("MCOL21", g + 3, "Y8", signed(gate, "01", "11"), "23100000", "INVOICE FOR BRANCHES", "12100003", "", "NULL", "", f"abs({gate})", product)
+        col = s(f"{mine}{br} AND flag = 'COL' AND {on}")
+        out = s(f"{mine}{br} AND ((flag = 'RFD' AND {on}) OR flag IN ('PAY', 'CAN'{'' if sports else ', ' + chr(39) + 'RBT' + chr(39)}))")
+        inst = {p: s(f"flag = 'CAS' AND pn = '{p}' AND ty = 'CL' AND {br}") for p in ("Paynow", "PaynowQR")}
+        cin = f"({col} - {inst['PaynowQR']})" if sports else f"({col} + {gate})"
+        cout = f"(-{out} + {inst['Paynow']})" if sports else f"(-{out})"
+        for c, grp, key, a, text, gl, x in (
+            ("MDEP1", 4, signed(cin, "40", "15"), "", "RECEIPTS", "10010001", cin),
+            ("MDEP2", 4, signed(cin, "15", "40"), "23100000", "RECEIPTS", "12100003", cin),
+            ("MDEP3", 5, signed(cout, "01", "50"), "23100000", "PAYMENTS", "12100003", cout),
+            ("MDEP4", 5, signed(cout, "50", "01"), "", "PAYMENTS", "10010001", cout),
+        ):
+            post(c, g + grp, "YA", key, a, f"{cash}CASH {text}", gl, "", "NULL", "", f"abs({x})", product)
+        pm = f"pn IN ({pnames}) AND {ret} AND "
+        gst, sal = s(pm + "flag = 'GST'", "lp"), s(pm + "flag = 'SAL' AND isgst", "lp")
+        text = "INPUT TAX ON SALES COMMISSION TO RETAILERS"
+        post("MTAX1", g + 6, "Y5", "'11'", "21100091", text, "12100001", "", "NULL", "", f"-{gst}", product)
+        post("MTAX2", g + 6, "Y5", "'40'", "", text, "22005000", "P3", f"-{sal}", "", f"-{gst}", product)
+        which = "sp" if sports else "ho"
+        neg = f"(SELECT coalesce(-sum(net), 0) FROM nt WHERE area = '{which}' AND isibg AND net < 0)"
+        pos = f"(SELECT coalesce(sum(net), 0) FROM nt WHERE area = '{which}' AND isibg AND net > 0)"
+        post("MDEP5", g + 7, "YA", "'01'", "21100091", "IBG PAYMENTS", "12100001", "", "NULL", "", neg, product)
+        post("MDEP6", g + 7, "YA", "'50'", "", "IBG PAYMENTS", "11003010", "", "NULL", "", neg, product)
+        post("MDEP7", g + 8, "YA", "'40'", "", "IBG RECEIPTS", "11003060", "", "NULL", "", pos, product)
+        post("MDEP8", g + 8, "YA", "'15'", "21100091", "IBG RECEIPTS", "12100001", "", "NULL", "", pos, product)
+
+    area(100, "SPORTS", "'SPORTS', 'Offline Orders'", "'SPORTS', 'Offline Orders'", "5, 6", "", "21814004", "22000011", "5020218150", "12100001", True)
+    area(200, "HORSE RACING", "'HORSE RACING', 'Gate Admission'", "'HORSE RACING'", "1", "HR ", "21814009", "22000013", "21815016", "12100003", False)
+    static = " UNION ALL ".join(
+        f"SELECT '{c}' AS code, {g} AS grp, CAST(1 AS BIGINT) AS n, '{d}' AS doc, {k} AS pk, '{a}' AS acct, '{t}' AS txt, '{gl}' AS gl, '{tax}' AS tax, "
+        f"CAST({b} AS DECIMAL(22,2)) AS base, '{cc}' AS cc, CAST({x} AS DECIMAL(22,2)) AS x, '{p}' AS product, {cu} AS cust"
+        for c, g, d, k, a, t, gl, tax, b, cc, x, p, cu in rows
+    )
+
+    def comm(g, names):
+        return (
+            f"SELECT 'MCOL4', {g}, 1, 'Y8', '40', '', 'SALES COMMISSION FOR RETAILERS', '50200010', '', NULL, '', CAST(-sum(x) AS DECIMAL(22,2)), pn, "
+            f"locdisplayid FROM lc WHERE lt IN (2, 4) AND flag = 'SAL' AND pn IN ({names}) AND x <> 0 GROUP BY pn, locdisplayid"
+        )
+
+    gates = "(SELECT locdisplayid, sum(x) AS x FROM lc WHERE lt = 1 AND flag = 'COL' AND pn = 'Gate Admission' GROUP BY 1)"
+    gtext = f"'GATEADMISSION {day_text}-RET NO-' || locdisplayid"
+
+    def manual(g, which, product):
+        return f"""SELECT CASE WHEN net >= 0 THEN CASE c WHEN 1 THEN 'MPYT1' ELSE 'MPYT2' END ELSE CASE c WHEN 1 THEN 'MPYT3' ELSE 'MPYT4' END END,
+  {g}, seq, 'Y6', CASE WHEN (net >= 0) = (c = 1) THEN '11' ELSE '01' END, CASE c WHEN 1 THEN '21100091' ELSE locdisplayid END,
+  left('MANUAL PAYMENT ENDED {day_text}-' || CASE c WHEN 1 THEN 'NON IBG RETAILERS' ELSE locname END, 50), '12100001', '', NULL, '',
+  CAST(abs(net) AS DECIMAL(22,2)), '{product}', '' FROM (SELECT *, row_number() OVER (ORDER BY locid, locname) AS seq FROM nt WHERE area = '{which}' AND isibg = false)
+  CROSS JOIN (VALUES (1), (2)) v(c) WHERE net <> 0"""
+
+    tabs = list(dict.fromkeys([*DETAIL_TABLES, *AMOUNT_TABLES, "chain"]))
+    return oracle(
+        f"""{windows(day, day)}, {windows(period, day, 'winp')}, {amounts_cte()}, {details_cte(start=day)},
+{details_cte('winp', 'detailsp', period, 'tp')},
+iv_place AS (SELECT t.terdisplayid, l.* FROM terminal t JOIN location l ON l.locid = t.locid),
+lc AS ({cells('details', net)}), lp AS ({cells('detailsp')}),
+tk AS (SELECT h.terdisplayid, CASE h.prodid WHEN 1 THEN 1 ELSE 5 END AS prod, i.loctypeid AS lt,
+  trunc(sum(CASE WHEN h.iscancelled THEN 0 ELSE coalesce(a.wager, 0) END)) AS w, trunc(sum(CASE WHEN h.iscancelled THEN 0 ELSE coalesce(a.sales, 0) END)) AS s
+  FROM amounts a JOIN header h ON h.ticketserialnumber = a.ticketserialnumber JOIN iv_place i ON i.terdisplayid = h.terdisplayid
+  WHERE h.prodid IN (1, 5, 6) GROUP BY 1, 2, 3),
+nt AS (SELECT v.area, q.locid, q.locdisplayid, q.locname, q.isibg, coalesce(sum(CASE WHEN list_contains(v.names, q.pn) AND
+  ((q.flag IN ('COL', 'CAN', 'PAY', 'RFD', 'RBT') AND q.ty <> 'OO') OR q.flag IN ('SAL', 'GST')) THEN q.x END), 0) AS net
+  FROM lp q CROSS JOIN (VALUES ('sp', ['SPORTS', 'Offline Orders']), ('ho', ['HORSE RACING'])) v(area, names) WHERE q.lt IN (2, 4) GROUP BY 1, 2, 3, 4, 5),
+ln AS (SELECT * FROM ({static}) WHERE x <> 0
+  UNION ALL {comm(101, "'SPORTS', 'Offline Orders'")} UNION ALL {comm(201, "'HORSE RACING', 'Gate Admission'")}
+  UNION ALL SELECT 'MCOL23', 203, 1, 'Y8', '50', '', {gtext}, '22000000', 'S3', CAST({base_of('x')} AS DECIMAL(22,2)), '',
+    CAST(x - {base_of('x')} AS DECIMAL(22,2)), 'HORSE RACING', '' FROM {gates} WHERE x - {base_of('x')} <> 0
+  UNION ALL SELECT 'MCOL22', 203, 1, 'Y8', '50', '', {gtext}, '41090020', '', NULL, '', CAST({base_of('x')} AS DECIMAL(22,2)), 'HORSE RACING', locdisplayid
+    FROM {gates} WHERE {base_of('x')} <> 0
+  UNION ALL {manual(109, 'sp', 'SPORTS')} UNION ALL {manual(209, 'ho', 'HORSE RACING')}),
+st AS (SELECT grp, coalesce(sum(max(n)) OVER (ORDER BY grp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM ln GROUP BY grp)
+SELECT repeat('0', 12) AS idmmbusinessday, DATE '{day}' AS businessdate, repeat('0', 12) AS itemid,
+  lpad(CAST(CAST(s.ahead + l.n AS BIGINT) AS VARCHAR), 12, '0') AS transactionid, DATE '{next_day}' AS documentdate, l.code AS linecode,
+  l.doc AS sapdoctype, l.pk AS sappostingkey, l.acct AS sapcontrolacctcode, l.txt AS linetext, l.gl AS glnumber, l.tax AS saptaxcode,
+  CAST(coalesce(trunc(l.base), 0) AS BIGINT) AS saptaxbaseamount, l.cc AS cccode, '' AS sapassignment, 'SGD' AS currencycode, l.x AS amount,
+  l.product, '' AS drawnumber, l.cust AS customer FROM ln l JOIN st s ON s.grp = l.grp""",
+        *tabs,
+    )
