@@ -779,3 +779,215 @@ SELECT repeat('0', 12) AS idmmbusinessday, DATE '{day}' AS businessdate, repeat(
   l.product, '' AS drawnumber, l.cust AS customer FROM ln l JOIN st s ON s.grp = l.grp""",
         *tabs,
     )
+
+
+INTERVAL_TABLES = [
+    "period_history", "header", "header_state", "validated", "validated_state", "cancelled", "cancelled_state",
+    "horse_line", "fourd_line", "fourd_number", "pool_line", "pool_number", "sweep_line", "sweep_number", "sports_line",
+    "sports_number", "draw", "sport_event", "sport_type", "sport_class", "sport_category", "sport_league", "terminal",
+    "location",
+]
+
+
+def interval_transactions(start: str, end: str) -> str:
+    day = start[:10]
+    inside = "CASE WHEN k.tot IN (1, 4, 6) THEN {c} BETWEEN iv.ulo AND iv.uhi ELSE k.tot IN (3, 5) END"
+
+    def scope(alias: str) -> str:
+        return inside.format(c=f"{alias}.createddate")
+
+    entry = "CASE upper({c}) WHEN 'MANUAL' THEN 0 WHEN 'BETSLIP' THEN 2 WHEN 'EDIT' THEN 10 WHEN 'EBETSLIP' THEN 16 END"
+    attrs = "k.tk, k.hd, k.entry, k.dev, k.prod, k.rej, k.exch, k.ter"
+    side = (
+        "CASE WHEN coalesce(n.bigbetacceptedwager, 0) > 0 THEN CASE WHEN coalesce(n.smallbetacceptedwager, 0) > 0 THEN 2 ELSE 0 END "
+        "WHEN coalesce(n.smallbetacceptedwager, 0) > 0 THEN 1 END"
+    )
+    step = "CASE b.permutation WHEN 24 THEN 0 WHEN 12 THEN 1 WHEN 4 THEN 2 WHEN 6 THEN 3 END"
+    roll = "CASE WHEN instr(n.selectedbetnumber, 'R') BETWEEN 1 AND 3 THEN instr(n.selectedbetnumber, 'R') - 1 ELSE 3 END"
+    four = (
+        f"CASE b.bettypeid WHEN 'ORD' THEN {side} * 5 WHEN 'SYS' THEN 1 + {side} * 5 + {step} "
+        f"WHEN 'IBET' THEN 27 + {side} * 4 + {step} WHEN 'ROLL' THEN 15 + {side} * 4 + {roll} END"
+    )
+    pool_code = (
+        "CASE b.bettypeid WHEN 'ORD' THEN '0' WHEN 'SYSR' THEN '1' WHEN 'SYS7' THEN '2' WHEN 'SYS8' THEN '3' WHEN 'SYS9' THEN '4' "
+        "WHEN 'SYS10' THEN '5' WHEN 'SYS11' THEN '6' WHEN 'SYS12' THEN '7' WHEN 'M 4' THEN '16' WHEN 'M 3' THEN '17' WHEN 'M 2' THEN '18' WHEN 'M AN' THEN '19' END"
+    )
+    simple = (
+        "CASE b.bettypeid WHEN 'SYSR' THEN 44 WHEN 'SYS7' THEN 7 WHEN 'SYS8' THEN 28 WHEN 'SYS9' THEN 84 WHEN 'SYS10' THEN 210 "
+        "WHEN 'SYS11' THEN 462 WHEN 'SYS12' THEN 924 ELSE 1 END"
+    )
+    staked = "coalesce(n.bigbetacceptedwager, 0) + coalesce(n.smallbetacceptedwager, 0) > 0"
+    sweep_rule = (
+        "((s.betstatetypeid = 'PB06' AND (b.isprinted IS NOT NULL OR l.sweepindicator IS NULL)) OR "
+        "(s.betstatetypeid = 'PB03' AND b.isprinted IS NULL AND l.sweepindicator IS NOT NULL))"
+    )
+    sweep_from = (
+        "FROM tk k CROSS JOIN iv JOIN sweep_line b ON b.tranheaderid = k.hd JOIN sweep_number n ON n.tranlineitemid = b.tranlineitemid AND NOT n.issoldout "
+        "JOIN header_state s ON s.tranheaderid = k.hd JOIN terminal t ON t.terdisplayid = k.ter JOIN location l ON l.locid = t.locid "
+        f"WHERE k.prod = 4 AND {sweep_rule} AND {scope('n')}"
+    )
+
+    def biz(h: str) -> str:
+        return (
+            f"CASE WHEN t.at < w.{h}_lo THEN CAST(w.{h}_lo AS DATE) - 1 WHEN t.at > w.{h}_hi THEN CAST(w.{h}_lo AS DATE) + 1 "
+            f"ELSE CAST(w.{h}_lo AS DATE) END"
+        )
+
+    code = "CASE t.prod WHEN 1 THEN 7 WHEN 2 THEN 9 WHEN 3 THEN 23 WHEN 4 THEN 11 ELSE 20 END"
+    ret = "CASE WHEN t.ty = 3 THEN a.ret ELSE 0 END"
+    mode = "CASE WHEN t.ty = 3 AND coalesce(a.ret, 0) > 0 THEN 'CA' ELSE '' END"
+    money = (
+        "CAST(coalesce(a.w1, 0) AS DECIMAL(22,2)), CAST(coalesce(a.w2, 0) AS DECIMAL(22,2)), CAST(coalesce(a.s1, 0) AS DECIMAL(22,11)), "
+        "CAST(coalesce(a.s2, 0) AS DECIMAL(22,11)), CAST(coalesce(a.c1, 0) AS DECIMAL(22,11)), CAST(coalesce(a.c2, 0) AS DECIMAL(22,11)), "
+        "CAST(coalesce(a.g1, 0) AS DECIMAL(22,11)), CAST(coalesce(a.g2, 0) AS DECIMAL(22,11))"
+    )
+    names = (
+        "uuid, tranheaderid, transactiontype, productid, bettypeid, selection, businessdate, transactiontimestamp, terminalid, userid, locationid, "
+        "boardseqnumber, entrymethod, numboards, numdraws, drawid, ebetslipinfo_mobnbr, numsimplebets, qpflag, nummarks, bulkid, itoto_numparts, "
+        "itoto_totalparts, grptoto_numparts, eventid, leaguecode, liveindicator, eventname, market, odds, matchkickoff, wager1, wager2, sales1, sales2, "
+        "salescomm1, salescomm2, gst1, gst2, returnamount, winningamount, paymentmode, cartid, betlinerebateamount"
+    )
+    m2 = "DECIMAL(22,2)"
+    return oracle(
+        f"""{windows(day, day)},
+iv AS (SELECT TIMESTAMP '{start}' AS lo, TIMESTAMP '{end}' AS hi, TIMESTAMP '{start}' - INTERVAL 8 HOURS AS ulo, TIMESTAMP '{end}' - INTERVAL 8 HOURS AS uhi),
+ev AS (SELECT h.ticketserialnumber AS tk, h.tranheaderid AS hd, h.entrymethodid AS entry, h.deviceid AS dev, h.prodid AS prod, h.isbetrejectedbytrader AS rej,
+    h.isexchangeticket AS exch, h.terdisplayid AS ter, h.createddate AS cr, h.requestid AS req, h.userdisplayid AS usr, h.cartid AS cart, 1 AS kind
+    FROM header h JOIN iv ON h.createddate BETWEEN iv.ulo AND iv.uhi JOIN header_state s ON s.tranheaderid = h.tranheaderid AND s.betstatetypeid = 'PB06'
+  UNION SELECT v.ticketserialnumber, v.tranheaderid, h.entrymethodid, h.deviceid, h.prodid, h.isbetrejectedbytrader, h.isexchangeticket, h.terdisplayid,
+    h.createddate, h.requestid, v.userdisplayid, v.cartid, 3 FROM validated v JOIN iv ON v.createdvalidationdate BETWEEN iv.ulo AND iv.uhi
+    JOIN header h ON h.ticketserialnumber = v.ticketserialnumber JOIN validated_state s ON s.tranheaderid = v.tranheaderid AND s.betstatetypeid = 'VB06'
+    WHERE v.validationtypeid IN ('VALD', 'RFND')
+  UNION SELECT c.ticketserialnumber, c.tranheaderid, h.entrymethodid, h.deviceid, h.prodid, h.isbetrejectedbytrader, h.isexchangeticket, h.terdisplayid,
+    h.createddate, h.requestid, c.userdisplayid, c.cartid, 5 FROM cancelled c JOIN iv ON c.cancelleddate BETWEEN iv.lo AND iv.hi
+    JOIN header h ON h.ticketserialnumber = c.ticketserialnumber AND h.isbetrejectedbytrader = false
+    JOIN cancelled_state s ON s.tranheaderid = h.tranheaderid AND s.betstatetypeid = 'CB06'),
+tk AS (SELECT tk, hd, entry, dev, prod, rej, exch, ter, sum(kind) AS tot FROM ev GROUP BY ALL),
+bt AS (SELECT k.tk, b.tranlineitemid AS li, CAST({four} AS VARCHAR) AS code FROM tk k CROSS JOIN iv JOIN fourd_line b ON b.tranheaderid = k.hd
+    JOIN fourd_number n ON n.tranlineitemid = b.tranlineitemid WHERE k.prod = 2 AND {staked} AND {scope('n')}
+  UNION ALL SELECT k.tk, b.tranlineitemid, {pool_code} FROM tk k CROSS JOIN iv JOIN pool_line b ON b.tranheaderid = k.hd WHERE k.prod = 3 AND {scope('b')}
+  UNION ALL SELECT k.tk, n.tranlineitemid, '0' FROM tk k CROSS JOIN iv JOIN sweep_number n ON n.tranheaderid = k.hd AND NOT n.issoldout WHERE k.prod = 4 AND {scope('n')}
+  UNION ALL SELECT tk, li, CASE WHEN cat = 2 THEN 'S' ELSE CASE acc WHEN 'ACC4' THEN '4F' WHEN 'DBL' THEN 'D' WHEN 'SGL' THEN 'S' WHEN 'TBL' THEN 'T' END END FROM (
+    SELECT DISTINCT k.tk, n.tranlineitemid AS li, g.categoryid AS cat, b.accumulatorid AS acc FROM tk k JOIN sports_line b ON b.tranheaderid = k.hd
+    JOIN sports_number n ON n.tranlineitemid = b.tranlineitemid JOIN sport_event e ON e.eventid = n.eventid JOIN sport_type y ON y.typeid = e.typeid
+    JOIN sport_class c ON c.classid = y.classid JOIN sport_category g ON g.categoryid = c.categoryid
+    WHERE g.categoryid = 1 OR (g.categoryid = 2 AND k.prod IN (5, 6)))),
+hd AS (SELECT tk, entry, sum(x) AS reb FROM (SELECT k.tk, k.hd, k.entry, CASE b.bettypeid WHEN 'W-P' THEN max(coalesce(b.boardrebateamount, 0))
+    ELSE sum(coalesce(b.boardrebateamount, 0)) END AS x FROM tk k CROSS JOIN iv JOIN horse_line b ON b.tranheaderid = k.hd
+    WHERE k.prod = 1 AND {scope('b')} GROUP BY k.tk, k.hd, b.bettypeid, b.boardrebateamount, k.entry) GROUP BY 1, 2),
+nb AS (SELECT k.tk, count(n.tranlineitemid) AS n, NULL AS bulk FROM tk k CROSS JOIN iv JOIN fourd_number n ON n.tranheaderid = k.hd
+    WHERE k.prod = 2 AND {staked} AND {scope('n')} GROUP BY 1
+  UNION ALL SELECT k.tk, count(b.tranlineitemid), NULL FROM tk k CROSS JOIN iv JOIN pool_line b ON b.tranheaderid = k.hd WHERE k.prod = 3 AND {scope('b')} GROUP BY 1
+  UNION ALL SELECT k.tk, count(n.tranlineitemid), b.bulkid FROM tk k CROSS JOIN iv JOIN sweep_line b ON b.tranheaderid = k.hd
+    JOIN sweep_number n ON n.tranlineitemid = b.tranlineitemid AND NOT n.issoldout WHERE k.prod = 4 AND {scope('n')} GROUP BY 1, 3),
+nd AS (SELECT k.tk, count(*) AS n, string_agg(CAST(d.hostdrawdatesid AS VARCHAR), ',' ORDER BY d.hostdrawdatesid) AS ids FROM tk k
+    JOIN draw d ON d.tranheaderid = k.hd WHERE k.prod IN (2, 3, 4) GROUP BY 1),
+sq AS (SELECT n.tranlineitemid AS li, max(n.sequence) AS seq FROM pool_number n GROUP BY 1),
+gp AS (SELECT grouphostid, max(groupunitsequence) AS units FROM pool_line WHERE grouphostid IN (SELECT b.grouphostid FROM tk k JOIN pool_line b ON b.tranheaderid = k.hd
+    WHERE k.prod = 3 AND b.grouphostid <> '00000000-0000-0000-0000-000000000000' AND b.groupunitsequence IS NOT NULL) GROUP BY 1),
+lb AS (SELECT {attrs}, k.tot, b.tranlineitemid AS li, CASE WHEN coalesce(b.permutation, 0) = 0 THEN 1 ELSE b.permutation END AS simp,
+    CAST(b.quickpickindicator AS INT) AS qp, 4 AS marks, NULL AS p1, NULL AS p2, NULL AS p3 FROM tk k CROSS JOIN iv JOIN fourd_line b ON b.tranheaderid = k.hd
+    JOIN fourd_number n ON n.tranlineitemid = b.tranlineitemid WHERE k.prod = 2 AND {staked} AND {scope('n')}
+  UNION ALL SELECT {attrs}, k.tot, b.tranlineitemid, {simple}, CAST(b.quickpickindicator AS INT), q.seq, CAST(b.units AS VARCHAR),
+    CAST(b.syndicatepartsallowed AS VARCHAR), CAST(g.units AS VARCHAR) FROM tk k CROSS JOIN iv JOIN pool_line b ON b.tranheaderid = k.hd
+    JOIN sq q ON q.li = b.tranlineitemid LEFT JOIN gp g ON g.grouphostid = b.grouphostid WHERE k.prod = 3 AND {scope('b')}
+  UNION ALL SELECT {attrs}, k.tot, b.tranlineitemid, 1, CAST(b.quickpickindicator AS INT), length(CAST(b.userselectednumber AS VARCHAR)), NULL, NULL, NULL
+    FROM tk k CROSS JOIN iv JOIN sweep_line b ON b.tranheaderid = k.hd JOIN sweep_number n ON n.tranlineitemid = b.tranlineitemid AND NOT n.issoldout
+    WHERE k.prod = 4 AND {scope('n')}),
+ld AS (SELECT l.*, nb.n AS boards, nb.bulk, nd.n AS draws, nd.ids, row_number() OVER (PARTITION BY l.tk, l.tot IN (1, 4, 6)
+    ORDER BY l.li, l.hd, nb.bulk NULLS FIRST, l.entry, l.dev, l.tot) AS board FROM lb l JOIN nb ON nb.tk = l.tk JOIN nd ON nd.tk = l.tk),
+li AS (SELECT DISTINCT tk, live FROM (SELECT k.tk, row_number() OVER (PARTITION BY n.tranheaderid ORDER BY n.tranlineitemid) AS r,
+    CASE WHEN e.hasbetinrun AND n.createddate BETWEEN e.starttime AND e.suspendtime THEN 'Y' ELSE 'N' END AS live FROM tk k
+    JOIN sports_number n ON n.tranheaderid = k.hd JOIN sport_event e ON e.eventid = n.eventid WHERE k.prod IN (5, 6)) WHERE r = 1),
+sd AS (SELECT DISTINCT k.tk, n.tranlineitemid AS li, k.entry, n.eventid, g.leaguecode, l.live, n.eventname, n.bettypename, n.selectionname, n.selectionodds,
+    strftime(e.starttime, '%Y%m%d %H%M%S') AS ko, bt.code FROM tk k JOIN sports_number n ON n.tranheaderid = k.hd JOIN sport_event e ON e.eventid = n.eventid
+    JOIN sport_type y ON y.typeid = e.typeid JOIN sport_league g ON replace(g.name, '|', '') = replace(y.name, '|', '') JOIN li l ON l.tk = k.tk
+    JOIN bt ON bt.li = n.tranlineitemid WHERE k.prod IN (5, 6)),
+tl AS (SELECT t.terdisplayid, l.locdisplayid FROM terminal t LEFT JOIN location l ON l.locid = t.locid),
+ve AS (SELECT v.*, p.* FROM validated v JOIN iv ON v.createdvalidationdate BETWEEN iv.ulo AND iv.uhi JOIN ev p ON p.tk = v.ticketserialnumber AND p.kind = 3),
+tr AS (SELECT p.entry, p.prod, p.rej, p.tk, p.req AS uuid, 1 AS ty, p.cr + INTERVAL 8 HOURS AS at, p.ter, p.usr, l.locdisplayid AS loc, p.cart, p.hd
+    FROM ev p JOIN tl l ON l.terdisplayid = p.ter WHERE p.kind = 1
+  UNION ALL SELECT v.entry, v.prod, v.rej, v.ticketserialnumber, CASE WHEN v.prod IN (2, 3, 4) THEN v.requestid ELSE v.req END, 3, v.validationdate, v.terdisplayid,
+    v.userdisplayid, l.locdisplayid, v.cartid, v.tranheaderid FROM ve v JOIN tl l ON l.terdisplayid = v.ter
+    WHERE (v.prod = 1 AND (coalesce(v.winningamount, 0) > 0 OR coalesce(v.rebatereclaim, 0) > 0))
+    OR (v.prod <> 1 AND coalesce(v.winningamount, 0) > 0 AND v.validationtypeid = 'VALD')
+  UNION ALL SELECT v.entry, v.prod, v.rej, v.ticketserialnumber, v.req, 61, v.validationdate, v.terdisplayid, v.userdisplayid, l.locdisplayid, v.cartid, v.tranheaderid
+    FROM ve v JOIN tl l ON l.terdisplayid = v.ter WHERE v.prod IN (5, 6) AND v.validationtypeid = 'RFND'
+  UNION ALL SELECT p.entry, p.prod, p.rej, c.ticketserialnumber, CASE WHEN p.prod IN (2, 3, 4) THEN c.requestid ELSE p.req END, 2, c.cancelleddate, c.terdisplayid,
+    c.userdisplayid, l.locdisplayid, c.cartid, c.tranheaderid FROM cancelled c JOIN iv ON c.cancelleddate BETWEEN iv.lo AND iv.hi
+    JOIN ev p ON p.tk = c.ticketserialnumber AND p.kind = 5 JOIN tl l ON l.terdisplayid = p.ter),
+rw AS (SELECT 1 AS prod, tk, NULL AS li, sum(x) AS w1, 0 AS w2 FROM (SELECT k.tk, k.hd, CASE b.bettypeid WHEN 'W-P' THEN max(coalesce(b.betpriceamount, 0))
+    ELSE sum(coalesce(b.betpriceamount, 0)) END AS x FROM tk k CROSS JOIN iv JOIN horse_line b ON b.tranheaderid = k.hd WHERE k.prod = 1 AND {scope('b')}
+    GROUP BY k.tk, k.hd, b.bettypeid, b.betpriceamount) GROUP BY tk
+  UNION ALL SELECT 2, k.tk, n.tranlineitemid, sum(coalesce(n.bigbetacceptedwager, 0)), sum(coalesce(n.smallbetacceptedwager, 0)) FROM tk k CROSS JOIN iv
+    JOIN fourd_number n ON n.tranheaderid = k.hd JOIN draw d ON d.tranheaderid = n.tranheaderid WHERE k.prod = 2 AND NOT k.exch AND {scope('n')} GROUP BY 2, 3
+  UNION ALL SELECT 3, k.tk, b.tranlineitemid, sum(coalesce(b.betpriceamount, 0)), 0 FROM tk k CROSS JOIN iv JOIN pool_line b ON b.tranheaderid = k.hd
+    WHERE k.prod = 3 AND NOT k.exch AND {scope('b')} GROUP BY 2, 3
+  UNION ALL SELECT 4, k.tk, n.tranlineitemid, sum(coalesce(n.betpriceamount, 0)), 0 {sweep_from} GROUP BY 2, 3
+  UNION ALL SELECT prod, tk, NULL, sum(coalesce(betamount, 0)), 0 FROM (SELECT DISTINCT k.prod, k.hd, b.sourcesystemtransactionid, b.issinglebet, b.accumulatorid,
+    b.betamount, k.tk FROM tk k JOIN sports_line b ON b.tranheaderid = k.hd WHERE k.prod IN (5, 6) AND k.rej = false) GROUP BY 1, 2),
+sc AS (SELECT tk, li, sum(s1) AS s1, sum(s2) AS s2, sum(c1) AS c1, sum(c2) AS c2 FROM (
+    SELECT k.tk, b.tranlineitemid AS li, sum(coalesce(b.salesfactoramount, 0)) AS s1, 0 AS s2, sum(coalesce(b.salescommamount, 0)) AS c1, 0 AS c2 FROM tk k CROSS JOIN iv
+      JOIN pool_line b ON b.tranheaderid = k.hd WHERE k.prod = 3 AND NOT k.exch AND {scope('b')} GROUP BY 1, 2
+    UNION ALL SELECT tk, NULL, sum(s), 0, sum(c), 0 FROM (SELECT k.tk, k.hd, CASE b.bettypeid WHEN 'W-P' THEN max(coalesce(b.salesfactoramount, 0)) ELSE
+      sum(coalesce(b.salesfactoramount, 0)) END AS s, CASE b.bettypeid WHEN 'W-P' THEN max(coalesce(b.salescommamount, 0)) ELSE sum(coalesce(b.salescommamount, 0)) END AS c
+      FROM tk k CROSS JOIN iv JOIN horse_line b ON b.tranheaderid = k.hd JOIN terminal t ON t.terdisplayid = k.ter WHERE k.prod = 1 AND {scope('b')}
+      GROUP BY k.tk, k.hd, CAST(b.createddate AS DATE), b.bettypeid, b.salescommamount, b.salesfactoramount) GROUP BY tk
+    UNION ALL SELECT k.tk, n.tranlineitemid, sum(coalesce(n.salesfactoramountbig, 0)), sum(coalesce(n.salesfactoramountsmall, 0)), sum(coalesce(n.salescommamountbig, 0)),
+      sum(coalesce(n.salescommamountsmall, 0)) FROM tk k CROSS JOIN iv JOIN fourd_number n ON n.tranheaderid = k.hd JOIN draw d ON d.tranheaderid = k.hd
+      WHERE k.prod = 2 AND NOT k.exch AND {scope('n')} GROUP BY 1, 2
+    UNION ALL SELECT k.tk, n.tranlineitemid, sum(coalesce(n.salesfactoramount, 0)), 0, sum(coalesce(n.salescommamount, 0)), 0 {sweep_from} GROUP BY 1, 2
+    UNION ALL SELECT tk, NULL, sum(coalesce(salesfactoramount, 0)), 0, sum(coalesce(salescommamount, 0)), 0 FROM (SELECT DISTINCT k.prod, k.hd,
+      b.sourcesystemtransactionid, b.issinglebet, b.accumulatorid, b.salescommamount, k.tk, CAST(b.createddate AS DATE) AS d, b.salesfactoramount
+      FROM tk k JOIN sports_line b ON b.tranheaderid = k.hd WHERE k.prod IN (5, 6) AND k.rej = false) GROUP BY 1) GROUP BY 1, 2),
+gs AS (SELECT w.tk, w.li, round(w.w1 - s.s1, 2) AS g1, round(w.w2 - s.s2, 2) AS g2 FROM rw w JOIN tk k ON k.tk = w.tk JOIN sc s ON s.tk = w.tk AND s.li = w.li
+    WHERE w.prod IN (2, 3, 4)
+  UNION ALL SELECT w.tk, w.li, round(w.w1 - s.s1, 2), round(w.w2 - s.s2, 2) FROM rw w JOIN tk k ON k.tk = w.tk JOIN sc s ON s.tk = w.tk WHERE w.prod IN (1, 5, 6)),
+rv AS (SELECT tk, win AS ret, refundamount AS rf, rebatereclaim AS rc, CASE WHEN coalesce(win, 0) > 0 THEN
+    CAST(CAST(sign(num) AS INT) * ((2 * abs(num) + n) // (2 * n)) * 0.01 AS {m2}) ELSE 0 END AS win FROM (
+    SELECT v.ticketserialnumber AS tk, v.winningamount AS win, v.refundamount, v.rebatereclaim, count(*) AS n,
+    CAST((v.winningamount * count(*) - CAST(sum(w.w1) AS DECIMAL(24,2)) - CAST(sum(w.w2) AS DECIMAL(24,2))) * 100 AS HUGEINT) AS num
+    FROM rw w JOIN validated v ON v.ticketserialnumber = w.tk
+    JOIN validated_state s ON s.tranheaderid = v.tranheaderid AND s.betstatetypeid = 'VB06' WHERE v.validationtypeid IN ('VALD', 'RFND') GROUP BY 1, 2, 3, 4)),
+xe AS (SELECT v.ticketserialnumber AS tk, b.tranlineitemid AS li, v.winningamount AS win, v.refundamount AS rf, v.rebatereclaim AS rc FROM validated v
+    JOIN (SELECT 2 AS p, tranheaderid, tranlineitemid FROM fourd_line UNION ALL SELECT 3, tranheaderid, tranlineitemid FROM pool_line
+      UNION ALL SELECT 4, tranheaderid, tranlineitemid FROM sweep_line) b ON b.tranheaderid = v.tranheaderid AND b.p = v.prodid
+    JOIN validated_state s ON s.tranheaderid = v.tranheaderid AND s.betstatetypeid = 'VB06' JOIN tk k ON k.hd = v.tranheaderid AND k.exch),
+am AS (SELECT w.tk, w.li, sum(w.w1) AS w1, sum(w.w2) AS w2, sum(s.s1) AS s1, sum(s.s2) AS s2, sum(s.c1) AS c1, sum(s.c2) AS c2, sum(g.g1) AS g1, sum(g.g2) AS g2,
+    max(v.ret) AS ret, max(v.win) AS win, max(v.rf) AS rf, max(v.rc) AS rc FROM rw w LEFT JOIN sc s ON s.tk = w.tk AND s.li = w.li
+    LEFT JOIN gs g ON g.tk = w.tk AND g.li = w.li LEFT JOIN rv v ON v.tk = w.tk WHERE w.prod IN (2, 3, 4) GROUP BY 1, 2
+  UNION ALL SELECT w.tk, NULL, sum(w.w1), sum(w.w2), sum(s.s1), sum(s.s2), sum(s.c1), sum(s.c2), sum(g.g1), sum(g.g2), max(v.ret), max(v.win), max(v.rf), max(v.rc)
+    FROM rw w LEFT JOIN sc s ON s.tk = w.tk LEFT JOIN gs g ON g.tk = w.tk LEFT JOIN rv v ON v.tk = w.tk WHERE w.prod IN (1, 5, 6) GROUP BY 1
+  UNION ALL SELECT tk, li, 0, 0, 0, 0, 0, 0, 0, 0, win, win, rf, rc FROM xe),
+se AS (SELECT k.tk, NULL AS li, string_agg(b.betlineannotation, ',' ORDER BY b.betlineannotation DESC) AS txt FROM tk k CROSS JOIN iv JOIN horse_line b ON b.tranheaderid = k.hd
+    WHERE k.prod = 1 AND {scope('b')} GROUP BY k.tk, k.hd
+  UNION ALL SELECT k.tk, n.tranlineitemid, left(n.selectedbetnumber, 10) FROM tk k CROSS JOIN iv JOIN fourd_number n ON n.tranheaderid = k.hd WHERE k.prod = 2 AND {scope('n')}
+  UNION ALL SELECT k.tk, b.tranlineitemid, string_agg(CAST(p.singlebetnumber AS VARCHAR), ' ' ORDER BY p.singlebetnumber DESC) FROM tk k CROSS JOIN iv
+    JOIN pool_line b ON b.tranheaderid = k.hd JOIN pool_number p ON p.tranlineitemid = b.tranlineitemid WHERE k.prod = 3 AND {scope('b')} GROUP BY 1, 2
+  UNION ALL SELECT k.tk, n.tranlineitemid, string_agg(left(n.selectednumber, 10), ' ' ORDER BY n.selectednumber DESC) FROM tk k CROSS JOIN iv
+    JOIN sweep_number n ON n.tranheaderid = k.hd WHERE k.prod = 4 AND {scope('n')} GROUP BY 1, 2),
+fin({names}) AS (
+  SELECT t.uuid, t.hd, t.ty, {code}, b.code, x.txt, {biz('lot')}, date_trunc('second', t.at), t.ter, t.usr, t.loc,
+    t.uuid || ' - ' || right('00' || coalesce(CAST(l.board AS VARCHAR), ''), 2), coalesce({entry.format(c='l.entry')}, 0), coalesce(l.boards, 0), coalesce(l.draws, 0),
+    coalesce(l.ids, ''), coalesce(l.dev, ''), coalesce(l.simp, 0), coalesce(l.qp, 0), coalesce(l.marks, 0), coalesce(l.bulk, ''), coalesce(l.p1, ''), l.p2, l.p3,
+    NULL, NULL, NULL, NULL, NULL, NULL, NULL, {money}, CAST({ret} AS {m2}), CAST(CASE WHEN t.ty = 3 THEN a.win ELSE 0 END AS {m2}), {mode}, t.cart, CAST(0 AS {m2})
+    FROM tr t CROSS JOIN iv CROSS JOIN win w JOIN bt b ON b.tk = t.tk AND b.code IS NOT NULL LEFT JOIN ld l ON l.tk = t.tk AND l.li = b.li
+    LEFT JOIN se x ON x.tk = t.tk AND x.li = l.li LEFT JOIN am a ON a.tk = t.tk AND a.li = l.li
+    WHERE t.prod IN (2, 3, 4) AND t.rej = false AND t.at BETWEEN iv.lo AND iv.hi
+  UNION ALL SELECT t.uuid, t.hd, t.ty, {code}, b.code, x.txt, {biz('hor')}, date_trunc('second', t.at), t.ter, t.usr, t.loc, t.uuid,
+    coalesce({entry.format(c='t.entry')}, 0), 0, 0, '', '', 0, 0, 0, '', '', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, {money}, CAST({ret} AS {m2}),
+    CAST(CASE WHEN t.ty = 3 THEN a.win ELSE 0 END AS {m2}), {mode}, t.cart, CAST(coalesce(CASE WHEN t.ty = 3 THEN a.rc ELSE d.reb END, 0) AS {m2})
+    FROM tr t CROSS JOIN iv CROSS JOIN win w LEFT JOIN bt b ON b.tk = t.tk LEFT JOIN hd d ON d.tk = t.tk LEFT JOIN se x ON x.tk = t.tk LEFT JOIN am a ON a.tk = t.tk
+    WHERE t.prod = 1 AND t.rej = false AND t.at BETWEEN iv.lo AND iv.hi
+  UNION ALL SELECT t.uuid, t.hd, t.ty, {code}, s.code, s.selectionname, {biz('spo')}, date_trunc('second', t.at), t.ter, t.usr, t.loc, t.uuid,
+    coalesce({entry.format(c='s.entry')}, 0), 0, 0, '', '', 0, 0, 0, '', '', NULL, NULL, s.eventid, s.leaguecode, s.live, s.eventname, s.bettypename, s.selectionodds, s.ko,
+    CAST(a.w1 AS {m2}), CAST(a.w2 AS {m2}), CAST(p.salesfactoramount AS DECIMAL(22,11)), CAST(a.s2 AS DECIMAL(22,11)), CAST(coalesce(a.c1, 0) AS DECIMAL(22,11)),
+    CAST(coalesce(a.c2, 0) AS DECIMAL(22,11)), CAST(coalesce(a.g1, 0) AS DECIMAL(22,11)), CAST(coalesce(a.g2, 0) AS DECIMAL(22,11)),
+    CAST(CASE t.ty WHEN 3 THEN a.ret WHEN 61 THEN a.rf ELSE 0 END AS {m2}), CAST(CASE WHEN t.ty = 3 THEN a.win ELSE 0 END AS {m2}), {mode}, t.cart, CAST(0 AS {m2})
+    FROM tr t CROSS JOIN iv CROSS JOIN win w JOIN sports_line p ON p.tranheaderid = t.hd JOIN tk k ON k.hd = t.hd AND k.tot IN (1, 3, 4, 5, 6)
+    LEFT JOIN sd s ON s.tk = t.tk AND s.li = p.tranlineitemid LEFT JOIN am a ON a.tk = t.tk
+    WHERE t.prod IN (5, 6) AND t.rej = false AND t.at BETWEEN iv.lo AND iv.hi)
+SELECT * REPLACE (CAST(transactiontimestamp AS VARCHAR) AS transactiontimestamp, CAST(entrymethod AS INT) AS entrymethod, CAST(numboards AS INT) AS numboards,
+  CAST(numdraws AS INT) AS numdraws, CAST(nummarks AS INT) AS nummarks) FROM fin""",
+        *INTERVAL_TABLES,
+    )
