@@ -10,9 +10,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+PARALLEL_WRITES = 8
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only where none is set (tests)."""
@@ -37,13 +42,30 @@ class StageArea:
             self._root = f"{shared_folder(self.spark)}/run-{uuid.uuid4().hex}"
         return self._root
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return the stored table."""
+    def _path(self, name: str) -> str:
         label, n = name, 1
         while label in self._taken:
             n += 1
             label = f"{name}-{n}"
         self._taken.add(label)
-        path = f"{self.root}/{label}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return f"{self.root}/{label}"
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` and return the stored table."""
+        return self.put_all({name: df})[name]
+
+    def put_all(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write independent results as concurrent Spark jobs; one job's short last tasks
+        no longer leave the cluster idle for the next."""
+        paths = {name: self._path(name) for name in frames}
+
+        def write(name: str) -> None:
+            frames[name].write.mode("overwrite").parquet(paths[name])
+
+        if len(frames) == 1:
+            write(next(iter(frames)))
+        else:
+            run = inheritable_thread_target(self.spark)(write)
+            with ThreadPoolExecutor(min(PARALLEL_WRITES, len(frames))) as pool:
+                list(pool.map(run, frames))
+        return {name: self.spark.read.schema(df.schema).parquet(paths[name]) for name, df in frames.items()}
