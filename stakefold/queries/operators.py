@@ -573,7 +573,8 @@ _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "price"]
 
 @query("row_number_board", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, price) AS INT) AS board FROM lines")
 def _(t):
-    return t.lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", O.number_within(["l_orderkey"], _LINE_ORDER).alias("board"))
+    bucket = F.struct("l_linenumber", F.floor(F.col("l_partkey") / 100_000))
+    return O.number_within(t.lines.select("l_orderkey", *_LINE_ORDER), ["l_orderkey"], _LINE_ORDER, bucket, "board").drop("price")
 
 
 @query("first_leg", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, price FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, price) AS r FROM lines) WHERE r = 1")
