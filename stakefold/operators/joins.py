@@ -36,12 +36,12 @@ def interval_join(
     ``on`` pairs (event column, calendar column) that must also be equal.  With
     closed ends an event on a shared edge matches both periods, as specified.
     """
-    cal = day_bucketed(calendar, lo, hi, "_cal_day")
+    cal = day_bucketed(calendar, lo, hi, "_bucket_day")
     names = {c: f"_cal_{c}" for c in {lo, hi, *keep, *[c for _, c in on]}}
-    cal = cal.select("_cal_day", *[F.col(c).alias(n) for c, n in names.items()])
+    cal = cal.select("_bucket_day", *[F.col(c).alias(n) for c, n in names.items()])
     t, a, b = F.col(ts), F.col(names[lo]), F.col(names[hi])
     inside = (t >= a) & ((t <= b) if ends == "both" else (t < b))
-    cond = (F.to_date(t) == F.col("_cal_day")) & inside
+    cond = (F.to_date(t) == F.col("_bucket_day")) & inside
     for ev, ca in on:
         cond = cond & (F.col(ev) == F.col(names[ca]))
     joined = events.join(cal, cond, how)

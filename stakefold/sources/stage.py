@@ -19,12 +19,15 @@ from pyspark.sql import DataFrame, SparkSession
 PARALLEL_WRITES = 8
 
 
+_fallback: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="stakefold-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        folder = _fallback.get(app) or _fallback.setdefault(app, tempfile.mkdtemp(prefix="stakefold-"))
     return folder.rstrip("/")
 
 
