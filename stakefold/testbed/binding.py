@@ -94,7 +94,7 @@ def tables(d: Dialect) -> dict[str, str]:
                 AS validationtypeid,
             {order_time('o_orderkey', '1800')} + INTERVAL 8 HOURS AS validationdate,
             {order_time('o_orderkey', '1800')} AS createdvalidationdate,
-            CASE WHEN o_orderkey % 13 = 5 THEN NULL WHEN o_orderkey % 5 = 0 THEN CAST(0 AS DECIMAL(22,2))
+            CASE WHEN o_orderkey % 13 = 5 THEN NULL WHEN o_orderkey % 9 = 0 THEN CAST(0 AS DECIMAL(22,2))
                 ELSE {total} END AS winningamount,
             CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_custkey AS DECIMAL(22,2)) END AS rebateamount,
             CASE WHEN o_orderkey % 7 = 0 THEN CAST(o_orderkey % 1000 AS DECIMAL(22,2)) END AS refundamount,
