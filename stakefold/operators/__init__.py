@@ -7,6 +7,7 @@ from .aggregates import (  # noqa: F401
 )
 from .edits import replace_slice, unpivot_nonzero, update_from  # noqa: F401
 from .joins import (  # noqa: F401
+    code_table,
     exists_flag,
     host_window_filter,
     interval_join,

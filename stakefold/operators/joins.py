@@ -7,6 +7,8 @@ measured to be small and a sort-merge join, with AQE skew splitting, when not.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -49,6 +51,13 @@ def interval_join(
     return joined.select(*[events[c] for c in events.columns], *out)
 
 
+LAST_DAY = dt.date(9999, 12, 31)
+
+
+def _decade(day: Column) -> Column:
+    return F.floor(F.year(day) / 10).cast("int")
+
+
 def validity_join(
     facts: DataFrame,
     history: DataFrame,
@@ -63,7 +72,8 @@ def validity_join(
 
     With an entity key the range test rides on the equality join.  Without one,
     the validity is resolved once per distinct day (never more rows than the
-    calendar has days) and the facts then join on plain day equality.
+    calendar has days), with the decade as the equality key of that small join,
+    and the facts then join on plain day equality.
     """
     fields = list(dict.fromkeys([start, end, *keep, *[c for _, c in on]]))
     h = history.select(*[F.col(c).alias(f"_h_{c}") for c in fields])
@@ -77,12 +87,10 @@ def validity_join(
         for f, c in on:
             cond = cond & (F.col(f) == F.col(f"_h_{c}"))
         return facts.join(h, cond, how).select(*[facts[c] for c in facts.columns], *out)
-    per_day = (
-        facts.select(F.col(day).alias("_on_day"))
-        .distinct()
-        .join(h, valid(F.col("_on_day")), "inner")
-        .select("_on_day", *out)
-    )
+    first, last = F.col(f"_h_{start}"), F.coalesce(F.col(f"_h_{end}"), F.lit(LAST_DAY))
+    spread = h.where(first <= last).withColumn("_decade", F.explode(F.sequence(_decade(first), _decade(last))))
+    days = facts.select(F.col(day).alias("_on_day")).distinct().withColumn("_decade", _decade(F.col("_on_day")))
+    per_day = days.join(spread, "_decade").where(valid(F.col("_on_day"))).select("_on_day", *out)
     joined = facts.join(per_day, facts[day] == per_day["_on_day"], how)
     return joined.select(*[facts[c] for c in facts.columns], *keep)
 
@@ -96,6 +104,13 @@ def spine_of(dimension: DataFrame, values: Sequence, name: str) -> DataFrame:
     return dimension.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
 
 
+def code_table(rows: Sequence[tuple], ddl: str) -> Column:
+    """A short literal table as one array column (to be inlined); its text is one constant of the plan."""
+    names = [part.split()[0] for part in ddl.split(", ")]
+    text = json.dumps([dict(zip(names, r)) for r in rows], default=str)
+    return F.from_json(F.lit(text), f"array<struct<{', '.join(':'.join(p.split()) for p in ddl.split(', '))}>>")
+
+
 def spine_join(spine: DataFrame, measures: DataFrame, on: Sequence[str]) -> DataFrame:
     """Every spine row kept; measures attached where they exist."""
     return spine.join(measures, list(on), "left")

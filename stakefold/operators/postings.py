@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import code_table
+
 AMOUNT = "decimal(22,2)"
 
 
@@ -38,9 +40,10 @@ class Rule:
     base: str | None = None
     cost_centre: str = ""
     product: str = ""
-    when: str | None = None  # post only if this total is not zero (default: the measure itself)
 
 
+_RULE_DDL = {f: "int" if f == "group" else "string" for f in Rule.__dataclass_fields__}
+
 LINE_COLUMNS = [
     "grp", "local_no", "linecode", "sapdoctype", "sappostingkey", "sapcontrolacctcode", "linetext", "glnumber",
     "saptaxcode", "taxbase", "cccode", "amount", "product", "customer",
@@ -67,21 +70,21 @@ def totals(cells: DataFrame, conditions: Mapping[str, Column], amount: str) -> D
 
 def posting_rules(total_row: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Spread the totals over the rules; lines whose total is zero are not posted."""
-    items = []
-    for r in rules:
-        x = F.col(r.measure)
-        if r.key_neg is None:
-            key, amount = F.lit(r.key), x
-        else:
-            key, amount = F.when(x > 0, r.key).otherwise(r.key_neg), F.abs(x)
-        base = F.lit(None) if r.base is None else F.col(r.base)
-        cols = line(
-            F.lit(r.group), F.lit(1), F.lit(r.code), F.lit(r.doc_type), key, F.lit(r.account), F.lit(r.text),
-            F.lit(r.gl), F.lit(r.tax_code), base, F.lit(r.cost_centre), amount, F.lit(r.product), F.lit(""),
+    names = sorted({n for r in rules for n in (r.measure, r.base) if n})
+    values = F.create_map(*[x for n in names for x in (F.lit(n), F.col(n).cast(AMOUNT))])
+    table = code_table([tuple(getattr(r, f) for f in _RULE_DDL) for r in rules], ", ".join(f"{f} {k}" for f, k in _RULE_DDL.items()))
+    rows = total_row.select(values.alias("_totals"), F.inline(table))
+    x = F.col("_totals")[F.col("measure")]
+    two_sided = F.col("key_neg").isNotNull()
+    key = F.when(two_sided & (x < 0), F.col("key_neg")).otherwise(F.col("key"))
+    lines = rows.select(
+        *line(
+            F.col("group"), F.lit(1), F.col("code"), F.col("doc_type"), key, F.col("account"), F.col("text"), F.col("gl"),
+            F.col("tax_code"), F.try_element_at("_totals", F.col("base")), F.col("cost_centre"),
+            F.when(two_sided, F.abs(x)).otherwise(x), F.col("product"), F.lit(""),
         )
-        gate = x if r.when is None else F.col(r.when)
-        items.append(F.when(gate != 0, F.struct(*cols)))
-    return total_row.select(F.inline(F.array_compact(F.array(*items)))).where(F.col("amount") != 0)
+    )
+    return lines.where(F.col("amount") != 0)
 
 
 def number_documents(lines: DataFrame, first: int = 1) -> DataFrame:
