@@ -72,3 +72,13 @@ class StageArea:
             with ThreadPoolExecutor(min(PARALLEL_WRITES, len(frames))) as pool:
                 list(pool.map(run, frames))
         return {name: self.spark.read.schema(df.schema).parquet(paths[name]) for name, df in frames.items()}
+
+    def clear(self) -> None:
+        """Drop this run's stored tables, once its result is written elsewhere."""
+        if self._root is None:
+            return
+        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(self._root)
+        path.getFileSystem(conf).delete(path, True)
+        self._root = None
+        self._taken.clear()

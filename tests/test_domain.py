@@ -1,6 +1,7 @@
 """Rules of the jobs on hand-made rows, above all where sources of the specification disagree."""
 
 import datetime as dt
+import os
 from decimal import Decimal as Dec
 
 import pytest
@@ -14,7 +15,7 @@ from stakefold.plans.business_dates import RunWindows, Span, business_dates, fun
 from stakefold.plans.hq_prizes import hq_prizes
 from stakefold.plans.sweep_sales import sweep_sales
 from stakefold.plans.ticket_amounts import ticket_amounts
-from stakefold.sources import Tables, conform, read_run_table, write_run_partition
+from stakefold.sources import StageArea, Tables, conform, read_run_table, write_run_partition
 from stakefold.sources.schemas import TABLES, output_schema, table_schema
 
 DAY = dt.date(2024, 1, 5)
@@ -268,6 +269,15 @@ def test_prizes_run_end_to_end_twice(spark, tmp_path):
     assert [(r.prizeamount, r.refundamount, r.txndate, r.X_ETL_NAME) for r in got] == [(Dec("12.50"), Dec("0.00"), DAY, "hq_prizes")]
 
 
+def test_stored_intermediates_come_back_and_go(spark):
+    stage = StageArea(spark)
+    got = stage.put_all({"a": spark.range(3).toDF("x"), "b": spark.range(5).toDF("y")})
+    assert (got["a"].count(), got["b"].count(), stage.put(spark.range(1), "a").count()) == (3, 5, 1)
+    root = stage.root
+    stage.clear()
+    assert stage.root != root and not os.path.exists(root)
+
+
 def test_run_date_falls_back_to_yesterday():
     assert run.run_date_of("20240105") == DAY
     assert run.run_date_of("x", dt.date(2024, 1, 6)) == DAY
