@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakefold.llm import common, packing
+from stakefold.llm import common, packing, sentencepieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +30,9 @@ def tokenizer_path(name: str) -> str:
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     common.small_batches(spark)
     return packing.pack_documents(common.documents(spark, folder), tokenizer_path("byte_bpe_50k.tiktoken"))
+
+
+@query("op8_sentencepiece")
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    common.small_batches(spark)
+    return sentencepieces.encode_documents(common.documents(spark, folder), tokenizer_path("piece_bpe_32k.model"))
