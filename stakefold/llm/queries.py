@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stakefold.llm import common, packing, sentencepieces
+from stakefold.llm import common, languages, packing, sentencepieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +37,12 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     common.small_batches(spark)
     return sentencepieces.encode_documents(common.documents(spark, folder), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query("op4_language")
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    common.small_batches(spark)
+    docs = common.documents(spark, folder)
+    model = languages.train(docs.where(common.crc32_of_id() % 3 != 1))
+    found = languages.predict(docs, model)
+    return found.withColumn("held_out", common.crc32_of_id() % 3 == 1)
