@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakefold.llm import common, languages, packing, sentencepieces
+from stakefold.llm import common, fingerprints, languages, packing, sentencepieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +46,9 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     model = languages.train(docs.where(common.crc32_of_id() % 3 != 1))
     found = languages.predict(docs, model)
     return found.withColumn("held_out", common.crc32_of_id() % 3 == 1)
+
+
+@query("op9_fingerprints")
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    common.small_batches(spark)
+    return fingerprints.fingerprint_documents(common.documents(spark, folder))
