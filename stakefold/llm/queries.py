@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakefold.llm import common, fingerprints, languages, packing, sentencepieces
+from stakefold.llm import common, fingerprints, languages, packing, personal_data, sentencepieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,10 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
 def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     common.small_batches(spark)
     return fingerprints.fingerprint_documents(common.documents(spark, folder))
+
+
+@query("op7_personal_data")
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    common.small_batches(spark)
+    docs = common.documents(spark, folder)
+    return personal_data.find(docs, personal_data.train(docs))
