@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakefold.llm import common, fingerprints, languages, packing, personal_data, sentencepieces
+from stakefold.llm import common, fingerprints, languages, packing, personal_data, sentencepieces, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +59,22 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     common.small_batches(spark)
     docs = common.documents(spark, folder)
     return personal_data.find(docs, personal_data.train(docs))
+
+
+@query("op5_warc")
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    common.small_batches(spark)
+    manifest = warc.write_archives(common.table(spark, folder, "pages"), common.new_folder(spark, "warc"))
+    parts = max(1, manifest.count())
+    read = warc.read_archives(manifest.repartition(parts, "archive"))
+    return read.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op5_warc"] = """
+with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
+     d as (select page_id, octet_length(payload) as n, sha256(payload) as digest from p),
+     f as (select digest, min(page_id) as first from d where n >= 100 group by digest)
+select d.page_id, d.n::bigint as payload_bytes, d.digest as payload_digest,
+       case when d.page_id > f.first then 'revisit' else 'response' end as record_type,
+       case when d.page_id > f.first then f.first end as refers_to
+from d left join f on f.digest = d.digest and d.n >= 100"""
