@@ -63,7 +63,7 @@ class Packer:
     def __init__(self, limits: Limits, first_sequence: int, cut: bool = True) -> None:
         self.limits, self.sequence, self.cut = limits, first_sequence, cut
         self.caps = np.array([limits.tokens, limits.segments, limits.loss], dtype=float)
-        self.items: list[tuple] = []  # key, ids, mask, start, tokens of the whole document
+        self.items: list[tuple] = []  # key, ids, mask, start, tokens of the whole document, loss-bearing tokens left
 
     def _next(self) -> int:
         self.sequence += 1
@@ -71,19 +71,22 @@ class Packer:
 
     @staticmethod
     def _piece(item: tuple, size: int, sequence: int, offset: int) -> tuple[tuple, tuple | None]:
-        key, ids, mask, start, total = item
-        row = (key, start, size, zlib.crc32(ids[:size].tobytes()), total, sequence, offset, int(mask[:size].sum()))
-        return row, (key, ids[size:], mask[size:], start + size, total) if size < len(ids) else None
+        key, ids, mask, start, total, loss = item
+        used = loss if size == len(ids) else int(mask[:size].sum())
+        row = (key, start, size, zlib.crc32(ids[:size].tobytes()), total, sequence, offset, used)
+        return row, (key, ids[size:], mask[size:], start + size, total, loss - used) if size < len(ids) else None
 
     def _most(self, item: tuple, tokens: int, loss: int) -> int:
         """The longest prefix of the item with at most so many tokens and loss-bearing tokens."""
+        if item[5] <= loss or tokens <= loss:
+            return min(tokens, len(item[1]))
         return int(min(tokens, len(item[1]), np.searchsorted(np.cumsum(item[2][:tokens]), loss, side="right")))
 
     def add(self, key: int, ids: np.ndarray, mask: np.ndarray) -> Iterator[tuple]:
-        item = (key, ids, mask, 0, len(ids))
-        if not self.cut and (len(ids) > self.limits.tokens or mask.sum() > self.limits.loss):
+        item = (key, ids, mask, 0, len(ids), int(mask.sum()))
+        if not self.cut and (len(ids) > self.limits.tokens or item[5] > self.limits.loss):
             raise ValueError(f"example {key} exceeds a limit and must not be cut")
-        while item is not None and self.cut and (len(item[1]) >= self.limits.tokens or item[2].sum() > self.limits.loss):
+        while item is not None and self.cut and (len(item[1]) >= self.limits.tokens or item[5] > self.limits.loss):
             row, item = self._piece(item, max(1, self._most(item, self.limits.tokens, self.limits.loss)), self._next(), 0)
             yield row
         if item is not None:
@@ -92,7 +95,7 @@ class Packer:
             yield from self._sequence()
 
     def _demand(self) -> np.ndarray:
-        return np.array([(len(i[1]), 1, i[2].sum()) for i in self.items], dtype=float)
+        return np.array([(len(i[1]), 1, i[5]) for i in self.items], dtype=float)
 
     def _sequence(self) -> Iterator[tuple]:
         sequence, offset, left = self._next(), 0, self.caps.copy()

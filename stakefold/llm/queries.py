@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakefold.llm import common, fingerprints, languages, packing, personal_data, sentencepieces, warc
+from stakefold.llm import common, fingerprints, languages, packing, personal_data, sentencepieces, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,12 @@ select d.page_id, d.n::bigint as payload_bytes, d.digest as payload_digest,
        case when d.page_id > f.first then 'revisit' else 'response' end as record_type,
        case when d.page_id > f.first then f.first end as refers_to
 from d left join f on f.digest = d.digest and d.n >= 100"""
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    common.small_batches(spark)
+    docs, labels = common.documents(spark, folder), common.table(spark, folder, "labels")
+    learned = common.crc32_of_id() % 5 != 0
+    machine = toxicity.train(docs.where(learned), labels.where(learned))
+    return toxicity.score_documents(docs, machine).withColumn("held_out", ~learned)
