@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,3 +85,38 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         if jumped.where("component <> before").isEmpty():
             return labels
     raise RuntimeError("links have not settled")
+
+
+def in_blocks(rows: DataFrame, sizes: DataFrame, group: str, node: str, block: int) -> DataFrame:
+    """Deal the rows of each group to pairs of blocks, so that any two rows of a group meet in some pair and no pair
+    holds much more than two blocks of rows, however large the group is.  sizes is (group, n); groups it lacks go.
+
+    Adds lo and hi, the numbers of the two blocks.  Rows come dealt by (group, lo, hi) and sorted by them and the node."""
+    found = rows.join(sizes, group).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    found = found.withColumn("own", F.pmod(F.xxhash64(node), F.col("blocks").cast("long")).cast("int"))
+    found = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    found = found.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = found.drop("n", "blocks", "own", "other").repartition(parts, group, "lo", "hi")
+    return found.sortWithinPartitions(group, "lo", "hi", node)
+
+
+def segments(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Tables of the consecutive rows that agree in the first so many columns (integers without nulls)."""
+    parts: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        if parts and any(c[0] != parts[-1].column(i)[parts[-1].num_rows - 1].as_py() for i, c in enumerate(columns)):
+            yield pa.Table.from_batches(parts)
+            parts = []
+        changes = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
+        edges = [0, *changes.tolist(), batch.num_rows]
+        for start, stop in zip(edges, edges[1:], strict=False):
+            if start:
+                yield pa.Table.from_batches(parts)
+                parts = []
+            parts.append(batch.slice(start, stop - start))
+    if parts:
+        yield pa.Table.from_batches(parts)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakefold.llm import common, fingerprints, languages, packing, personal_data, sentencepieces, toxicity, warc
+from stakefold.llm import common, fingerprints, languages, minhash, packing, personal_data, sentencepieces, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +87,9 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     learned = common.crc32_of_id() % 5 != 0
     machine = toxicity.train(docs.where(learned), labels.where(learned))
     return toxicity.score_documents(docs, machine).withColumn("held_out", ~learned)
+
+
+@query("op2_minhash")
+def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    common.small_batches(spark)
+    return minhash.groups(common.documents(spark, folder), minhash.Settings(words=2))
