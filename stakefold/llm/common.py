@@ -87,17 +87,22 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError("links have not settled")
 
 
-def in_blocks(rows: DataFrame, sizes: DataFrame, group: str, node: str, block: int) -> DataFrame:
+def in_blocks(rows: DataFrame, sizes: DataFrame, group: str, node: str, block: int, wide: DataFrame | None = None,
+              wide_on: list[str] | None = None) -> DataFrame:
     """Deal the rows of each group to pairs of blocks, so that any two rows of a group meet in some pair and no pair
     holds much more than two blocks of rows, however large the group is.  sizes is (group, n); groups it lacks go.
 
-    Adds lo and hi, the numbers of the two blocks.  Rows come dealt by (group, lo, hi) and sorted by them and the node."""
+    Adds lo and hi, the numbers of the two blocks, and own, the row's.  Rows come dealt by (group, lo, hi) and sorted by them and the node.
+    wide, joined on wide_on after the groups of one row have gone, adds columns too large to deal with every row."""
     found = rows.join(sizes, group).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     found = found.withColumn("own", F.pmod(F.xxhash64(node), F.col("blocks").cast("long")).cast("int"))
     found = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     found = found.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = found.drop("n", "blocks", "own", "other").repartition(parts, group, "lo", "hi")
+    found = found.drop("n", "blocks", "other")
+    if wide is not None:
+        found = found.join(wide, wide_on)
+    found = found.repartition(parts, group, "lo", "hi")
     return found.sortWithinPartitions(group, "lo", "hi", node)
 
 

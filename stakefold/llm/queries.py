@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakefold.llm import common, fingerprints, languages, minhash, packing, personal_data, sentencepieces, toxicity, warc
+from stakefold.llm import common, fingerprints, languages, minhash, packing, personal_data, sentencepieces, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +93,8 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
     common.small_batches(spark)
     return minhash.groups(common.documents(spark, folder), minhash.Settings(words=2))
+
+
+@query("op6_embeddings")
+def op6_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.groups(common.table(spark, folder, "embeddings"))
