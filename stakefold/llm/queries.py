@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakefold.llm import common, fingerprints, languages, minhash, packing, personal_data, sentencepieces, toxicity, vectors, warc
+from stakefold.llm import common, fingerprints, languages, lines, minhash, packing, personal_data, sentencepieces, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +98,8 @@ def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_embeddings")
 def op6_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.groups(common.table(spark, folder, "embeddings"))
+
+
+@query("op10_line_dedup")
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.counted(common.documents(spark, folder))
