@@ -58,6 +58,14 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have yet, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def crc32_of_id(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
