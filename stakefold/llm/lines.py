@@ -147,10 +147,11 @@ def counted(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def deduplicate(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents without the removed lines, n_chars set anew if there is such a column, other columns as they are.
     Documents all of whose lines with words went are dropped: every line of theirs stands in an earlier document."""
-    gone = removed_lines(docs, settings).select(F.col("doc_id").alias("gone_id"), "removed")
-    rows = docs.join(gone, docs["doc_id"].cast("long") == F.col("gone_id"), "left")
-    rest = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("removed", i))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
+    gone_id, removed = common.unused_name(docs, "gone_id"), common.unused_name(docs, "removed")
+    gone = removed_lines(docs, settings).select(F.col("doc_id").alias(gone_id), F.col("removed").alias(removed))
+    rows = docs.join(gone, docs["doc_id"].cast("long") == F.col(gone_id), "left")
+    rest = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(removed, i))
+    text = F.when(F.col(removed).isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     columns = [text.alias(c) if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else docs[c] for c in docs.columns]
-    emptied = F.col("removed").isNotNull() & F.trim(F.regexp_replace(text, ANY_SPACE, " ")).eqNullSafe("")
+    emptied = F.col(removed).isNotNull() & F.trim(F.regexp_replace(text, ANY_SPACE, " ")).eqNullSafe("")
     return rows.where(~emptied).select(*columns)

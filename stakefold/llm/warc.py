@@ -83,6 +83,8 @@ def checked(head: bytes, block: bytes) -> Record:
     lines = head.split(b"\r\n")
     if not re.fullmatch(rb"WARC/1\.[01]", lines[0]):
         raise Bad("version line")
+    if re.search(rb"WARC/1\.[01](\r\n|$)", head[len(lines[0]):]):
+        raise Bad("another record starts in the header")
     fields: dict[str, str] = {}
     for line in lines[1:]:
         name, sign, value = line.decode("utf-8", "replace").partition(":")
