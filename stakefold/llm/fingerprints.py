@@ -98,8 +98,9 @@ class Printer:
         found = terms(text)
         if len(self.hashes) > 300_000:
             self.hashes.clear()
-        for term in found - self.hashes.keys():
-            self.hashes[term] = xxhash.xxh64_intdigest(term)
+        for term in found:
+            if term not in self.hashes:
+                self.hashes[term] = xxhash.xxh64_intdigest(term)
         own = np.fromiter(map(self.hashes.__getitem__, found), np.uint64, len(found))
         own.sort()
         keys = self.lexicon.keys

@@ -103,3 +103,28 @@ def op6_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_line_dedup")
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.counted(common.documents(spark, folder))
+
+
+ORACLES["op10_line_dedup"] = """
+with d as (select doc_id, string_split(text, chr(10)) as l from documents where doc_id is not null and text is not null),
+     p as (select doc_id, unnest(l) as line, unnest(range(len(l))) as no from d),
+     w as (select doc_id, no, list_sort(list_distinct(list_filter(
+                string_split_regex(lower(line), '[ \\t\\x0B\\f\\r]+'), lambda x: x <> ''))) as k from p),
+     s as (select doc_id, no, k, len(k) as n from w where len(k) > 0),
+     c as (select k, n, min({'doc_id': doc_id, 'no': no}) as first, row_number() over () as id from s group by k, n),
+     t as (select id, n, unnest(k) as word from c),
+     f as (select word, count(*) as df from t group by word),
+     r as (select id, n, t.word, row_number() over (partition by id order by df, t.word) as place from t join f on t.word = f.word),
+     q as (select id, n, word from r where place <= n - (80 * n + 99) // 100 + 1),
+     m as (select distinct a.id as x, b.id as y from q a join q b on a.word = b.word
+           where a.id < b.id and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+     v as (select case when a.first > b.first then a.id else b.id end as id from m join c a on a.id = x join c b on b.id = y
+           where 100 * len(list_intersect(a.k, b.k)) >= 80 * (a.n + b.n - len(list_intersect(a.k, b.k)))),
+     g as (select s.doc_id, s.no from s join c on s.k = c.k
+           where c.id in (select id from v) or {'doc_id': s.doc_id, 'no': s.no} > c.first),
+     e as (select doc_id, count(distinct no) as n_removed,
+                  array_to_string(list_transform(list_sort(list_distinct(list(no))), lambda x: x::varchar), ',') as removed
+           from g group by doc_id)
+select o.doc_id, coalesce(len(string_split(o.text, chr(10))), 0)::bigint as n_lines, coalesce(n_removed, 0)::bigint as n_removed,
+       coalesce(removed, '') as removed
+from documents o left join e on o.doc_id = e.doc_id"""

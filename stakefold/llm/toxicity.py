@@ -138,7 +138,7 @@ class Machine:
         if self.seen is None or len(self.seen) > 400_000:
             self.seen = {}
         found = [units(t) for t in texts]
-        fresh = list(set().union(*found) - self.seen.keys()) if found else []
+        fresh = [token for token in set().union(*found) if token not in self.seen]
         for start in range(0, len(fresh), 50_000):
             some = fresh[start:start + 50_000]
             self.seen.update(zip(some, self.tokens(some).tolist(), strict=True))
