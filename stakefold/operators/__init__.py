@@ -14,6 +14,7 @@ from .joins import (  # noqa: F401
     net_debit_credit,
     spine_join,
     spine_of,
+    spine_table,
     validity_join,
 )
-from .numbering import document_numbers, first_per_group, number_within  # noqa: F401
+from .numbering import document_numbers, first_per_group, number_within, quantile_bucket  # noqa: F401

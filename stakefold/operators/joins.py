@@ -8,7 +8,6 @@ measured to be small and a sort-merge join, with AQE skew splitting, when not.
 from __future__ import annotations
 
 import datetime as dt
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -104,11 +103,28 @@ def spine_of(dimension: DataFrame, values: Sequence, name: str) -> DataFrame:
     return dimension.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
 
 
+def spine_table(dimension: DataFrame, codes: DataFrame) -> DataFrame:
+    """Every dimension row once per row of a code table.
+
+    The code rows are gathered into one array (a scalar subquery) that every
+    dimension row unfolds, so neither side is dealt out anew and there is no join.
+    """
+    listed = codes.agg(F.collect_list(F.struct(*codes.columns))).scalar()
+    return dimension.withColumn("_codes", listed).select(*dimension.columns, F.inline("_codes"))
+
+
 def code_table(rows: Sequence[tuple], ddl: str) -> Column:
-    """A short literal table as one array column (to be inlined); its text is one constant of the plan."""
-    names = [part.split()[0] for part in ddl.split(", ")]
-    text = json.dumps([dict(zip(names, r)) for r in rows], default=str)
-    return F.from_json(F.lit(text), f"array<struct<{', '.join(':'.join(p.split()) for p in ddl.split(', '))}>>")
+    """A short literal table as one array column (to be inlined); a value that does not fit its type fails."""
+
+    def sql(value, kind: str) -> str:
+        if value is None:
+            return f"CAST(NULL AS {kind})"
+        text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        return f"CAST('{text}' AS {kind})"
+
+    fields = [part.split() for part in ddl.split(", ")]
+    one = ["named_struct(" + ", ".join(f"'{n}', {sql(v, k)}" for (n, k), v in zip(fields, r, strict=True)) + ")" for r in rows]
+    return F.expr(f"array({', '.join(one)})")
 
 
 def spine_join(spine: DataFrame, measures: DataFrame, on: Sequence[str]) -> DataFrame:

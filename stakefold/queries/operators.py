@@ -86,6 +86,9 @@ def query(name: str, sql: str | None):
     return register
 
 
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
 # --- scans, sinks -------------------------------------------------------------
 
 
@@ -120,7 +123,7 @@ _DAILY = "SELECT o_custkey, count(*) AS n, CAST(sum(total) AS DECIMAL(28,2)) AS
     _DAILY.format(d="20240105", w="WHERE o_orderstatus <> 'P'") + " UNION ALL " + _DAILY.format(d="20240106", w="WHERE o_orderstatus = 'P'"),
 )
 def _(t):
-    path = f"{StageArea(t.spark).root}/daily"
+    path = f"{StageArea.scratch(t.spark).root}/daily"
 
     def run(rows, day):
         out = rows.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum("total").cast("decimal(28,2)").alias("total"))
@@ -137,14 +140,14 @@ def _(t):
 
 @query("csv_round_trip", "SELECT c_custkey AS C_CUSTKEY, c_name AS C_NAME, c_mktsegment AS C_MKTSEGMENT FROM customer")
 def _(t):
-    path = f"{StageArea(t.spark).root}/customers-csv"
+    path = f"{StageArea.scratch(t.spark).root}/customers-csv"
     t.customer.select("c_custkey", "c_name", "c_mktsegment").write.option("header", True).csv(path)
     return read_csv_clean(t.spark, path, StructType.fromDDL("c_custkey bigint, c_name string, c_mktsegment string"))
 
 
 @query("parquet_round_trip", "SELECT s_nationkey, count(*) AS n, CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS bal FROM supplier GROUP BY 1")
 def _(t):
-    stored = StageArea(t.spark).put(t.supplier.withColumn("s_acctbal", F.col("s_acctbal").cast("decimal(18,2)")), "supplier")
+    stored = StageArea.scratch(t.spark).write(t.supplier.withColumn("s_acctbal", F.col("s_acctbal").cast("decimal(18,2)")), "supplier")
     return stored.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"), F.sum("s_acctbal").cast("decimal(28,2)").alias("bal"))
 
 
@@ -275,10 +278,10 @@ def _(t):
 @query(
     "left_spine_terminals",
     """SELECT c.c_custkey, coalesce(q.n, 0) AS n, CAST(coalesce(q.x, 0) AS DECIMAL(28,2)) AS total FROM customer c LEFT JOIN
-    (SELECT o_custkey, count(*) AS n, sum(total) AS x FROM sales WHERE prodid = 1 AND o_orderstatus = 'P' GROUP BY 1) q ON q.o_custkey = c.c_custkey""",
+    (SELECT o_custkey, count(*) AS n, sum(total) AS x FROM sales GROUP BY 1) q ON q.o_custkey = c.c_custkey""",
 )
 def _(t):
-    measured = t.sales.where((F.col("prodid") == 1) & (F.col("o_orderstatus") == "P")).groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+    measured = t.sales.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("total").alias("x")
     )
     return O.spine_join(t.customer.select("c_custkey"), measured, ["c_custkey"]).select(
@@ -289,14 +292,12 @@ def _(t):
 @query(
     "full_net_due",
     """SELECT coalesce(d.o_custkey, c.o_custkey) AS o_custkey, CAST(coalesce(d.x, 0) - coalesce(c.x, 0) AS DECIMAL(28,2)) AS net FROM
-    (SELECT o_custkey, sum(total) AS x FROM sales WHERE o_orderstatus = 'F' AND prodid = 1 GROUP BY 1) d FULL JOIN
-    (SELECT o_custkey, sum(total) AS x FROM sales WHERE o_orderstatus = 'P' AND prodid = 2 GROUP BY 1) c ON c.o_custkey = d.o_custkey""",
+    (SELECT o_custkey, sum(total) AS x FROM sales WHERE o_orderstatus <> 'P' GROUP BY 1) d FULL JOIN
+    (SELECT o_custkey, sum(total) AS x FROM sales WHERE o_orderstatus = 'P' GROUP BY 1) c ON c.o_custkey = d.o_custkey""",
 )
 def _(t):
-    status, prod = F.col("o_orderstatus"), F.col("prodid")
-    return O.net_debit_credit(
-        t.sales, ["o_custkey"], (status == "F") & (prod == 1), (status == "P") & (prod == 2), "total", "net"
-    ).withColumn("net", F.col("net").cast("decimal(28,2)"))
+    status = F.col("o_orderstatus")
+    return O.net_debit_credit(t.sales, ["o_custkey"], status != "P", status == "P", "total", "net").withColumn("net", F.col("net").cast("decimal(28,2)"))
 
 
 @query(
@@ -470,12 +471,11 @@ def _(t):
 
 @query(
     "pivot_max",
-    "SELECT user_id, " + ", ".join(f"max(CASE WHEN event_type = '{e}' THEN CAST(value AS DECIMAL(18,2)) END) AS \"{e}\"" for e in ("click", "error", "purchase")) + " FROM events GROUP BY 1",
+    "SELECT user_id, " + ", ".join(f"max(CASE WHEN event_type = '{e}' THEN CAST(value AS DECIMAL(18,2)) END) AS \"{e}\"" for e in EVENT_TYPES) + " FROM events GROUP BY 1",
 )
 def _(t):
-    kinds = ["click", "error", "purchase"]
     v = t.events.select("user_id", "event_type", F.col("value").cast("decimal(18,2)").alias("v"))
-    return v.groupBy("user_id").pivot("event_type", kinds).agg(F.max("v"))
+    return v.groupBy("user_id").pivot("event_type", EVENT_TYPES).agg(F.max("v"))
 
 
 @query(
@@ -530,7 +530,7 @@ def _(t):
 )
 def _(t):
     per = t.lines.groupBy("l_suppkey", "l_returnflag", "qty").agg(F.count(F.lit(1)).alias("n"), F.sum("qty").alias("s"))
-    x = F.when(F.col("l_returnflag") == "N", F.col("qty") * F.col("n").cast("decimal(10,0)")).otherwise(F.col("s"))
+    x = F.when(F.col("l_returnflag") == "N", F.col("qty") * F.col("n").cast(M.COUNT)).otherwise(F.col("s"))
     return per.groupBy("l_suppkey").agg(F.sum(x).cast("decimal(28,2)").alias("amount"))
 
 
@@ -541,7 +541,7 @@ def _(t):
 )
 def _(t):
     per = t.lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum("price").cast("decimal(22,2)").alias("x"))
-    return per.select("l_orderkey", "n", M.safe_ratio(F.col("x"), F.col("n").cast("decimal(8,0)"), "decimal(18,2)").alias("share"))
+    return per.select("l_orderkey", "n", M.safe_ratio(F.col("x"), F.col("n").cast(M.COUNT), "decimal(18,2)").alias("share"))
 
 
 @query(
@@ -558,11 +558,11 @@ def _(t):
 @query(
     "lifecycle_total",
     """SELECT total, count(*) AS tickets FROM (SELECT user_id, d, CAST(sum(c) AS BIGINT) AS total FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d,
-    CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 3 ELSE 5 END AS c FROM events WHERE event_type IN ('click', 'purchase', 'error')) GROUP BY 1, 2) GROUP BY 1""",
+    CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 3 WHEN 'error' THEN 5 WHEN 'signup' THEN 10 ELSE 20 END AS c FROM events) GROUP BY 1, 2) GROUP BY 1""",
 )
 def _(t):
-    code = C.lookup(F.col("event_type"), {"click": 1, "purchase": 3, "error": 5})
-    rows = t.events.select("user_id", F.col("ts").cast("date").alias("d"), code.alias("c")).where(F.col("c").isNotNull()).distinct()
+    code = C.lookup(F.col("event_type"), {"click": 1, "purchase": 3, "error": 5, "signup": 10, "view": 20})
+    rows = t.events.select("user_id", F.col("ts").cast("date").alias("d"), code.alias("c")).distinct()
     return O.lifecycle_total(rows, ["user_id", "d"], "c", "total").groupBy("total").agg(F.count(F.lit(1)).alias("tickets"))
 
 
@@ -571,7 +571,7 @@ def _(t):
 _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "price"]
 
 
-@query("row_number_board", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, price) AS INT) AS board FROM lines")
+@query("row_number_board", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, price) AS board FROM lines")
 def _(t):
     bucket = F.struct("l_linenumber", F.floor(F.col("l_partkey") / 100_000))
     return O.number_within(t.lines.select("l_orderkey", *_LINE_ORDER), ["l_orderkey"], _LINE_ORDER, bucket, "board").drop("price")
@@ -582,10 +582,9 @@ def _(t):
     return O.first_per_group(t.lines.select("l_orderkey", *_LINE_ORDER), ["l_orderkey"], _LINE_ORDER)
 
 
-@query("document_number", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) + 100 AS docno FROM sales WHERE o_orderstatus = 'P'")
+@query("document_number", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) + 100 AS docno FROM sales")
 def _(t):
-    rows = t.sales.where(F.col("o_orderstatus") == "P").select("o_orderkey")
-    return O.document_numbers(rows, ["o_orderkey"], F.floor(F.col("o_orderkey") / 1000), "docno", offset=100)
+    return O.document_numbers(t.sales.select("o_orderkey"), ["o_orderkey"], "docno", offset=100)
 
 
 @query("latest_period", "SELECT o_orderkey, day, total FROM sales ORDER BY made DESC, o_orderkey DESC LIMIT 1")
@@ -612,9 +611,9 @@ def _(t):
     return t.sales.select(flag.alias("flag"), "o_custkey", M.signed(flag, ["PAY", "CAN"], F.col("total")).cast("decimal(18,2)").alias("total"))
 
 
-@query("union_distinct", "SELECT o_custkey, prodid FROM sales WHERE o_orderstatus = 'O' UNION SELECT o_custkey, prodid FROM sales WHERE o_orderstatus = 'P' UNION SELECT user_id, 0 FROM events")
+@query("union_distinct", "SELECT o_custkey, prodid FROM sales WHERE o_orderstatus = 'O' UNION SELECT o_custkey, prodid FROM sales WHERE o_orderstatus <> 'O' UNION SELECT user_id, 0 FROM events")
 def _(t):
-    a = t.sales.where(F.col("o_orderstatus").isin("O", "P")).select("o_custkey", "prodid")
+    a = t.sales.select("o_custkey", "prodid")  # both branches are one scan
     b = t.events.select(F.col("user_id").alias("o_custkey"), F.lit(0).alias("prodid"))
     return a.unionByName(b).distinct()
 

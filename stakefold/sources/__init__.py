@@ -7,6 +7,7 @@ from .sinks import (  # noqa: F401
     fixed_width,
     read_run_table,
     write_fixed_width,
+    write_run_catalog,
     write_run_partition,
 )
 from .stage import StageArea  # noqa: F401

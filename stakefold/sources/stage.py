@@ -1,14 +1,17 @@
 """Written intermediates.
 
-A result that several branches read is written once, as Parquet, under the
-shared folder named by ``spark.checkpoint.dir`` and read back.  That cuts
-lineage, survives lost executors, and gives Catalyst true sizes, so that its
-size-checked broadcast choice works on intermediates as well.
+A result that several branches read is written once, as Parquet, in a folder
+all executors share and read back.  That cuts lineage, survives lost executors,
+and gives Catalyst true sizes, so that its size-checked broadcast choice works
+on intermediates as well.  The folder is the one given, or the one that
+``spark.checkpoint.dir`` names.  Without either nothing is written: the result
+is persisted, and Spark computes blocks anew that were lost with an executor.
 """
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -19,30 +22,67 @@ from pyspark.sql import DataFrame, SparkSession
 PARALLEL_WRITES = 8
 
 
-_fallback: dict[str, str] = {}
+def _file_system(spark: SparkSession, path: str):
+    """A path and its file system, whichever that is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set (tests)."""
+def drop_folder(spark: SparkSession, path: str) -> None:
+    target, system = _file_system(spark, path)
+    system.delete(target, True)
+
+
+def swap_folder(spark: SparkSession, new: str, place: str) -> None:
+    """Put a written folder in the place of another; if that fails the old one is put back."""
+    source, system = _file_system(spark, new)
+    target, _ = _file_system(spark, place)
+    aside, _ = _file_system(spark, f"{new}_old")
+    held = system.exists(target)
+    if held and not system.rename(target, aside):
+        raise RuntimeError(f"{place}: the old rows could not be put aside")
+    if not system.rename(source, target):
+        if held:
+            system.rename(aside, target)
+        raise RuntimeError(f"{place}: the new rows could not be put in place")
+    if held:
+        system.delete(aside, True)
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The cluster's checkpoint folder, if one is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        app = spark.sparkContext.applicationId
-        folder = _fallback.get(app) or _fallback.setdefault(app, tempfile.mkdtemp(prefix="stakefold-"))
-    return folder.rstrip("/")
+    return folder.rstrip("/") if folder else None
 
 
 class StageArea:
     """One private sub-folder per run."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
+        self.folder = folder or shared_folder(spark)
         self._root: str | None = None
         self._taken: set[str] = set()
+        self._held: list[DataFrame] = []
+
+    @classmethod
+    def scratch(cls, spark: SparkSession) -> StageArea:
+        """An area for files that a lazy result still reads: dropped when the program ends."""
+        area = cls(spark)
+
+        def end() -> None:
+            with contextlib.suppress(Exception):  # the session may be gone already
+                area.clear()
+
+        atexit.register(end)
+        return area
 
     @property
     def root(self) -> str:
+        """Where files of this run go; without a shared folder that is beside the warehouse's tables, which executors share."""
         if self._root is None:
-            self._root = f"{shared_folder(self.spark)}/run-{uuid.uuid4().hex}"
+            folder = self.folder or f"{self.spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stage"
+            self._root = f"{folder}/run-{uuid.uuid4().hex}"
         return self._root
 
     def _path(self, name: str) -> str:
@@ -60,6 +100,17 @@ class StageArea:
     def put_all(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         """Write independent results as concurrent Spark jobs; one job's short last tasks
         no longer leave the cluster idle for the next."""
+        if not self.folder:
+            held = {name: df.persist() for name, df in frames.items()}
+            self._held += held.values()
+            return held
+        return self._write_all(frames)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` in any case and return the stored table."""
+        return self._write_all({name: df})[name]
+
+    def _write_all(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         paths = {name: self._path(name) for name in frames}
 
         def write(name: str) -> None:
@@ -75,10 +126,10 @@ class StageArea:
 
     def clear(self) -> None:
         """Drop this run's stored tables, once its result is written elsewhere."""
-        if self._root is None:
-            return
-        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self._root)
-        path.getFileSystem(conf).delete(path, True)
+        for df in self._held:
+            df.unpersist()
+        self._held.clear()
+        if self._root is not None:
+            drop_folder(self.spark, self._root)
         self._root = None
         self._taken.clear()

@@ -789,6 +789,24 @@ INTERVAL_TABLES = [
 ]
 
 
+def ledger_file(day: str, day_text: str, next_day: str, period: str, rate: int) -> str:
+    """The 238 characters of every ledger line."""
+
+    def text(column: str, width: int) -> str:
+        return f"rpad(coalesce({column}, ''), {width}, ' ')"
+
+    cents = "CAST(round(amount, 0) AS DECIMAL(20,0))"
+    parts = [
+        "lpad(idmmbusinessday, 12, '0')", "strftime(businessdate, '%d%m%Y')", "lpad(itemid, 12, '0')",
+        "lpad(transactionid, 12, '0')", "strftime(documentdate, '%d%m%Y')", text("linecode", 12), text("sapdoctype", 2),
+        text("sappostingkey", 2), text("sapcontrolacctcode", 15), text("linetext", 50), text("glnumber", 10),
+        "repeat(' ', 31)", text("currencycode", 3),
+        f"CASE WHEN {cents} < 0 THEN '-' || lpad(CAST(-{cents} AS VARCHAR), 14, '0') ELSE lpad(CAST({cents} AS VARCHAR), 15, '0') END",
+        text("product", 18), text("drawnumber", 18), text("customer", 10),
+    ]
+    return f"SELECT {' || '.join(parts)} AS value FROM ({shop_ledger(day, day_text, next_day, period, rate)})"
+
+
 def interval_transactions(start: str, end: str) -> str:
     day = start[:10]
     inside = "CASE WHEN k.tot IN (1, 4, 6) THEN {c} BETWEEN iv.ulo AND iv.uhi ELSE k.tot IN (3, 5) END"

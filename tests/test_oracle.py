@@ -6,11 +6,11 @@ from collections import Counter
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from stakefold.queries import jobs, operators
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = {**operators.QUERIES, **jobs.QUERIES}, {**operators.ORACLES, **jobs.ORACLES}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
