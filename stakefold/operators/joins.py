@@ -70,9 +70,9 @@ def validity_join(
     """Join facts to the history rows valid on their day (a null end is open).
 
     With an entity key the range test rides on the equality join.  Without one,
-    the validity is resolved once per distinct day (never more rows than the
-    calendar has days), with the decade as the equality key of that small join,
-    and the facts then join on plain day equality.
+    the history is spread over the decades it touches, the decade is the equality
+    key and the range a residual.  The history is its own small table, so Catalyst
+    sees its size, and the facts are read once and stay where they are.
     """
     fields = list(dict.fromkeys([start, end, *keep, *[c for _, c in on]]))
     h = history.select(*[F.col(c).alias(f"_h_{c}") for c in fields])
@@ -88,10 +88,8 @@ def validity_join(
         return facts.join(h, cond, how).select(*[facts[c] for c in facts.columns], *out)
     first, last = F.col(f"_h_{start}"), F.coalesce(F.col(f"_h_{end}"), F.lit(LAST_DAY))
     spread = h.where(first <= last).withColumn("_decade", F.explode(F.sequence(_decade(first), _decade(last))))
-    days = facts.select(F.col(day).alias("_on_day")).distinct().withColumn("_decade", _decade(F.col("_on_day")))
-    per_day = days.join(spread, "_decade").where(valid(F.col("_on_day"))).select("_on_day", *out)
-    joined = facts.join(per_day, facts[day] == per_day["_on_day"], how)
-    return joined.select(*[facts[c] for c in facts.columns], *keep)
+    joined = facts.join(spread, (_decade(facts[day]) == F.col("_decade")) & valid(facts[day]), how)
+    return joined.select(*[facts[c] for c in facts.columns], *out)
 
 
 def spine_of(dimension: DataFrame, values: Sequence, name: str) -> DataFrame:

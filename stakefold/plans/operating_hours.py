@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..sources.tables import Tables
 from .business_dates import Span
+from .common import lines_of
 
 HOUR = 1
 
@@ -48,22 +49,31 @@ def _events(t: Tables, span: Span) -> DataFrame:
     utc = span.utc
     one = F.lit(1)
     accepted = F.col("isbetrejectedbytrader") == F.lit(False)
-    header = t["header"].where(accepted & D.window(F.col("createddate"), utc.lo, utc.hi, "both")).select(
-        "tranheaderid", "terdisplayid", "createddate", "isexchangeticket"
+    header = t.stage.put(
+        t["header"].where(accepted & D.window(F.col("createddate"), utc.lo, utc.hi, "both")).select(
+            "tranheaderid", "terdisplayid", "createddate", "isexchangeticket"
+        ),
+        "hours-tickets",
     )
+    keys = header.select("tranheaderid").distinct()
     state = t["header_state"].select("tranheaderid", "betstatetypeid")
     pool_ok = F.col("groupunitsequence").isNull() | (F.col("groupunitsequence") == 1)
     sold = F.col("issoldout").isNull() | (F.col("issoldout") == F.lit(False))
-    sweep = t["sweep_number"].select(
-        "tranheaderid", "tranlineitemid", F.coalesce("issoldout", F.lit(False)).alias("issoldout")
+    # the window's tickets reduce the line history before it meets anything else
+    sweep = t.stage.put(
+        lines_of(t, "sweep_number", keys).select(
+            "tranheaderid", "tranlineitemid", F.coalesce("issoldout", F.lit(False)).alias("issoldout")
+        ),
+        "hours-numbers",
     )
-    printed_lines = t["sweep_line"].select("tranlineitemid", "isprinted")
+    boards = sweep.select("tranlineitemid").distinct()
+    printed_lines = lines_of(t, "sweep_line", boards, "tranlineitemid").select("tranlineitemid", "isprinted")
     at_header = D.to_local(F.col("createddate"))
     ident = ["tranheaderid", "terdisplayid", "createddate"]
     placed = (
         header.where(F.col("isexchangeticket") == F.lit(False))
         .join(state.where(F.col("betstatetypeid") == "PB06").select("tranheaderid"), "tranheaderid")
-        .join(t["pool_line"].select("tranheaderid", "groupunitsequence"), "tranheaderid", "left")
+        .join(lines_of(t, "pool_line", keys).select("tranheaderid", "groupunitsequence"), "tranheaderid", "left")
         .where(pool_ok)
         .join(sweep, "tranheaderid", "left")
         .where(sold)
@@ -71,24 +81,29 @@ def _events(t: Tables, span: Span) -> DataFrame:
         .groupBy(*ident)
         .agg(F.max(F.col("isprinted").isNotNull()).alias("printed"))
     )
+    unprinted_lines = t.stage.put(
+        lines_of(t, "sweep_line", keys).where(F.col("isprinted").isNull()).select("tranheaderid", "tranlineitemid"),
+        "hours-unprinted",
+    )
+    their_numbers = lines_of(t, "sweep_number", unprinted_lines.select("tranlineitemid").distinct(), "tranlineitemid")
     unprinted = (
         header.join(state.where(F.col("betstatetypeid") == "PB03").select("tranheaderid"), "tranheaderid")
-        .join(
-            t["sweep_line"].where(F.col("isprinted").isNull()).select("tranheaderid", "tranlineitemid"), "tranheaderid"
-        )
-        .join(
-            t["sweep_number"].where(F.col("issoldout") == F.lit(False)).select("tranlineitemid"),
-            "tranlineitemid", "left_semi",
-        )
+        .join(unprinted_lines, "tranheaderid")
+        .join(their_numbers.where(F.col("issoldout") == F.lit(False)).select("tranlineitemid"), "tranlineitemid", "left_semi")
         .select(*ident).distinct()
     )
     kept_group = F.col("groupunitsequence").isNull() | (F.col("cancelledamout") != 0)
-    cancelled = (
+    gone = t.stage.put(
         t["cancelled"].where(D.window(F.col("cancelleddate"), span.lo, span.hi, "both"))
-        .select("tranheaderid", "terdisplayid", "cancelleddate", "cancelledamout")
+        .select("tranheaderid", "terdisplayid", "cancelleddate", "cancelledamout"),
+        "hours-cancelled",
+    )
+    gone_keys = gone.select("tranheaderid").distinct()
+    cancelled = (
+        gone
         .join(t["cancelled_state"].where(F.col("betstatetypeid") == "CB06").select("tranheaderid"), "tranheaderid")
         .join(t["header"].where(accepted).select("tranheaderid"), "tranheaderid")
-        .join(t["pool_line"].select("tranheaderid", "groupunitsequence"), "tranheaderid", "left")
+        .join(lines_of(t, "pool_line", gone_keys).select("tranheaderid", "groupunitsequence"), "tranheaderid", "left")
         .where(kept_group)
         .select("tranheaderid", "terdisplayid", "cancelleddate").distinct()
     )

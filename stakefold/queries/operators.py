@@ -339,6 +339,7 @@ def _(t):
     cal = events.select(F.col("ts").cast("date").alias("actualdate")).distinct().select(
         "actualdate", (start + D.hours(1.5)).alias("lo"), (start + D.hours(25.5)).alias("hi")
     )
+    cal = StageArea.scratch(t.spark).put(cal, "calendar")  # stored, its true size is seen
     return O.interval_join(events, cal, "ts", "lo", "hi", ["actualdate"]).groupBy("actualdate").agg(
         F.count(F.lit(1)).alias("n"), F.sum("value").cast("decimal(28,2)").alias("total")
     )
