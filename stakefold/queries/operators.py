@@ -355,10 +355,8 @@ _RATES = "rates AS (SELECT * FROM (VALUES (7.00::DECIMAL(9,2), DATE '1995-01-01'
 )
 def _(t):
     d = dt.date
-    rates = t.spark.createDataFrame(
-        [(Decimal(7), d(1995, 1, 1), d(1997, 3, 31)), (Decimal(8), d(1997, 4, 1), d(1999, 12, 31)), (Decimal(9), d(2000, 1, 1), None)],
-        "rate decimal(9,2), s date, e date",
-    )
+    listed = [(Decimal(7), d(1995, 1, 1), d(1997, 3, 31)), (Decimal(8), d(1997, 4, 1), d(1999, 12, 31)), (Decimal(9), d(2000, 1, 1), None)]
+    rates = t.spark.range(1).select(F.inline(O.code_table(listed, "rate decimal(9,2), s date, e date")))
     per_day = t.sales.select("day", "total")
     return O.validity_join(per_day, rates, "day", "s", "e", ["rate"]).groupBy("rate").agg(
         F.count(F.lit(1)).alias("n"), F.sum(M.tax_add(F.col("total"), F.col("rate"))).cast("decimal(28,2)").alias("tax")
@@ -575,7 +573,8 @@ _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "price"]
 @query("row_number_board", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, price) AS board FROM lines")
 def _(t):
     bucket = F.struct("l_linenumber", F.floor(F.col("l_partkey") / 100_000))
-    return O.number_within(t.lines.select("l_orderkey", *_LINE_ORDER), ["l_orderkey"], _LINE_ORDER, bucket, "board").drop("price")
+    rows = StageArea.scratch(t.spark).put(t.lines.select("l_orderkey", *_LINE_ORDER), "lines")  # numbering reads its rows twice
+    return O.number_within(rows, ["l_orderkey"], _LINE_ORDER, bucket, "board").drop("price")
 
 
 @query("first_leg", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, price FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, price) AS r FROM lines) WHERE r = 1")
