@@ -49,13 +49,23 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     path = new_folder(spark, name)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder made by new_folder, on whatever file system it is."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def drop_used_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete a step's shuffle files when the step ends, not when the driver's garbage is collected: of
+    several stored steps only one then has its shuffles on the disks."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Remove tables that stored() wrote, on whatever file system they are, once nothing reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def unused_name(df: DataFrame, name: str) -> str:

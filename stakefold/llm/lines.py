@@ -2,17 +2,23 @@
 
 A line is its set of distinct words (lower case, between white space).  The words of a line are ordered by rarity:
 word counts over all texts are kept in a table of fixed size by word hash, so what every task needs to know of the
-corpus has a fixed size too; any total order keeps the join exact, a good one keeps it cheap.  Lines of equal sets are
-one class from the start.  Two classes whose Jaccard similarity reaches the threshold share a word in short prefixes
-of both; that join also checks lengths and the positions of the shared word, and what passes is verified on the words
-themselves.  A line goes if an earlier line (by doc_id, then place in the document) matches it.
+corpus has a fixed size too; any total order keeps the join exact, a good one keeps it cheap.  Lines of equal sets (by
+a digest of 64 bits) are one class from the start.
+
+Single rare words are shared by many lines that have nothing else in common, so the prefix filter is applied to pairs
+of words that are neighbours in the order.  A word that only one of two lines has takes away two neighbour pairs of
+its own line and one of the other, so lines of sizes n and m <= n that match have all but 2(n - k) + (m - k) of the
+pairs of the longer in common, k being their intersection: at most 2(1 - t)n of n - 1.  The first 2(1 - t)n + 2 pairs
+of both, in the order of rarity, therefore share two (or the one that very short lines need).  Lengths, the places
+of the pairs and a small sketch of either set are checked too, and what passes is verified on the words themselves: first against the earliest class of each pair, then, where that fails,
+against all earlier ones.  A line goes if an earlier line (by doc_id, then place in the document) matches it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stakefold.llm import common
@@ -27,6 +33,7 @@ class Settings:
     """Lines with 100 * intersection >= percent * union match; slots is the size of the table of word counts."""
 
     percent: int = 80
+    pairs_shared: int = 2
     slots: int = 1 << 18
     id_slots: int = 1 << 20
 
@@ -36,15 +43,22 @@ def ceil_ratio(a: Column, over: int, under: int) -> Column:
     return F.floor((a * over + (under - 1)) / F.lit(under)).cast("int") if under != 1 else a * over
 
 
-def ranks(docs: DataFrame, settings: Settings) -> bytes:
-    """A byte for every slot: the rarity of its words, rising with the logarithm of their count."""
-    words = docs.select(F.explode(F.split(F.lower("text"), ANY_SPACE)).alias("word"))
-    counts = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(settings.slots)).alias("slot")).agg(F.count("*").alias("n"))
+def slot_of(h: Column, slots: int) -> Column:
+    """The slot of a word hash: its leading bits."""
+    return F.shiftrightunsigned(h, 64 - (slots.bit_length() - 1)).cast("int")
+
+
+def ranks(docs: DataFrame, settings: Settings) -> Column:
+    """A constant array with a number for every slot: the rarity of its words, rising with the logarithm of their count.
+    Words are counted between single spaces here; what other white space holds together only shifts the order a little."""
+    lines = split_lines(docs).select(F.lower("line").alias("line"))
+    words = lines.select(F.explode(F.split("line", " ")).alias("word"))
+    counts = words.groupBy(slot_of(F.xxhash64("word"), settings.slots).alias("slot")).agg(F.count("*").alias("n"))
     rank = F.least(F.lit(126), 1 + F.floor(F.log2(F.col("n") + 1) * 4)).cast("int")
     every = docs.sparkSession.range(settings.slots).withColumnRenamed("id", "slot").join(counts, "slot", "left")
-    shown = every.select("slot", F.char(F.coalesce(rank, F.lit(1))).alias("c"))
-    in_order = F.sort_array(F.collect_list(F.struct("slot", "c")))
-    return shown.agg(F.concat_ws("", F.transform(in_order, lambda s: s["c"])).alias("r")).first()["r"].encode("ascii")
+    in_order = F.sort_array(F.collect_list(F.struct("slot", F.coalesce(rank, F.lit(0)).alias("rank"))))
+    shown = every.agg(F.concat_ws(",", F.transform(in_order, lambda s: s["rank"].cast("string"))).alias("r")).first()["r"]
+    return F.split(F.lit(shown), ",").cast("array<bigint>")  # of fixed size
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -52,81 +66,150 @@ def split_lines(docs: DataFrame) -> DataFrame:
 
 
 def words_of(line: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(F.lower(line), SPACE), lambda w: w != ""))
+    return F.array_remove(F.array_distinct(F.split(F.lower(line), SPACE)), "")
+
+
+def sketch_half(hashes: str, odd: int) -> Column:
+    """64 bits of the sketch, for the words whose hash is even or odd."""
+    none = F.lit(0).cast("long")
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 1).bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(hashes, none, lambda seen, h: seen.bitwiseOR(F.when(h.bitwiseAND(F.lit(1)) == odd, bit(h)).otherwise(none)))
 
 
 def line_table(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(doc_id, line_no, h1, h2, n, prefix) of the lines with words: digests of the set, its size, the rarest words."""
-    table = F.lit(ranks(docs, settings))  # of fixed size
-    mask = F.lit((1 << RANK_SHIFT) - 1)
-    lines = split_lines(docs).select("doc_id", "line_no", F.split(F.lower("line"), SPACE).alias("words"))
-    hashes = F.transform(F.filter("words", lambda w: w != ""), lambda w: F.xxhash64(w))
-    lines = lines.select("doc_id", "line_no", F.array_distinct(hashes).alias("hashes")).where(F.size("hashes") > 0)
+    """(doc_id, line_no, h1, n, prefix, s0, s1) of the lines with words: a digest of the set, its size, its rarest
+    words, and a sketch of 128 bits, each set if a word has that place."""
+    table = ranks(docs, settings)
+    # this filter, not one on the set's size, or the set would be made once more below it
+    lines = split_lines(docs).where(F.col("line").rlike("[^ \\t\\x0B\\f\\r]"))
+    lines = lines.select("doc_id", "line_no", F.split(F.trim(F.lower("line")), SPACE).alias("words"))
+    hashes = F.transform("words", lambda w: F.xxhash64(w))
 
     def key(h: Column) -> Column:
-        rank = F.ascii(F.substring(table, F.pmod(h, F.lit(settings.slots)).cast("int") + 1, F.lit(1)).cast("string"))
-        return F.shiftleft(rank.cast("long"), RANK_SHIFT).bitwiseOR(h.bitwiseAND(mask))
+        rank = F.get(table, slot_of(h, settings.slots))
+        return F.shiftleft(rank, RANK_SHIFT).bitwiseOR(F.shiftrightunsigned(h, 64 - RANK_SHIFT))
 
-    lines = lines.select("doc_id", "line_no", F.sort_array(F.transform("hashes", key)).alias("keys"))
+    empty = F.xxhash64(F.lit(""))  # what a line's first or last white space leaves
+    lines = lines.select("doc_id", "line_no", F.array_remove(F.array_distinct(hashes), empty).alias("hashes"))
+    lines = lines.select("doc_id", "line_no", F.sort_array(F.transform("hashes", key)).alias("keys"),
+                         *[sketch_half("hashes", odd).alias(f"s{odd}") for odd in (0, 1)])
     n = F.size("keys")
-    return lines.select("doc_id", "line_no", F.xxhash64("keys").alias("h1"), F.xxhash64(F.lit(1), "keys").alias("h2"),
-                        n.alias("n"), F.slice("keys", F.lit(1), n - ceil_ratio(n, settings.percent, 100) + 1).alias("prefix"))
-
-
-def candidate_pairs(lines: DataFrame, settings: Settings) -> DataFrame:
-    """(x, y), digests of classes that may match: x is the longer or, of equal length, has the larger digest."""
-    p = settings.percent
-    rows = lines.select("h1", "n", F.posexplode("prefix").alias("at", "word")).distinct()
-    x, y = rows.alias("x"), rows.alias("y")
-    nx, ny, ax, ay = F.col("x.n"), F.col("y.n"), F.col("x.at"), F.col("y.at")
-    longer = (nx > ny) | ((nx == ny) & (F.col("x.h1") > F.col("y.h1")))
-    needed = ceil_ratio(nx + ny, p, 100 + p)
-    fits = (ny * 100 >= nx * p) & (ay <= ny - ceil_ratio(ny, 2 * p, 100 + p)) & (F.least(nx - ax, ny - ay) >= needed)
-    pairs = x.join(y, (F.col("x.word") == F.col("y.word")) & F.when(longer, fits))
-    return pairs.select(F.col("x.h1").alias("x"), F.col("y.h1").alias("y")).distinct()
-
-
-def may_be_in(ids: DataFrame, name: str, slots: int) -> Column:
-    """Whether a value's slot holds one of the ids; a table of bits of fixed size, without false negatives."""
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(slots))
-    bits = ids.select(slot(F.col(name)).alias("s")).groupBy(F.floor(F.col("s") / 64).alias("w")).agg(
+    return lines.select("doc_id", "line_no", F.xxhash64("keys").alias("h1"), n.alias("n"), "s0", "s1",
+                        F.slice("keys", F.lit(1), pairs_lost(n, settings.percent) + settings.pairs_shared + 1).alias("prefix"))
+
+
+def pairs_lost(n: Column, percent: int) -> Column:
+    """How many neighbour pairs a set of this size may have that a matching set has not."""
+    return F.floor(n * (2 * (100 - percent)) / 100).cast("int")
+
+
+def overlap_needed(na: Column, nb: Column, percent: int) -> Column:
+    """The least intersection with which sets of these sizes reach the threshold."""
+    return ceil_ratio(na + nb, percent, 100 + percent)
+
+
+def may_match(a: str, b: str, percent: int) -> Column:
+    """Whether two sets (n, at, s0, s1) that share words at these places, from 0, can reach the threshold: the sizes
+    allow it, there are enough words before and after, and so many places of one sketch are not empty in the other
+    that too few words are left to share."""
+    na, nb, at_a, at_b = (F.col(f"{side}.{c}") for c in ("n", "at") for side in (a, b))
+    most = F.least(at_a, at_b) + F.least(na - at_a, nb - at_b)
+    alone = [sum((F.bit_count(F.col(f"{x}.{c}").bitwiseAND(F.bitwise_not(F.col(f"{y}.{c}")))) for c in ("s0", "s1")), F.lit(0))
+             for x, y in ((a, b), (b, a))]
+    least = overlap_needed(na, nb, percent)
+    return ((F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (most >= least)
+            & (F.least(na - alone[0], nb - alone[1]) >= least))
+
+
+def classes(lines: DataFrame) -> DataFrame:
+    """(h1, n, s0, s1, d, l, copies): the sets of words, size and sketch, first line and number of lines."""
+    place = F.struct(F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
+    found = lines.groupBy("h1").agg(*[F.min(c).alias(c) for c in ("n", "s0", "s1")], F.min(place).alias("first"), F.count("*").alias("copies"))
+    return found.select("h1", "n", "s0", "s1", "first.d", "first.l", "copies")
+
+
+def shared_pairs(lines: DataFrame) -> DataFrame:
+    """(pair, h1, at): digests of neighbouring words that the prefixes of several classes have, with these classes and
+    the place of the first word."""
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = F.arrays_zip(F.slice("prefix", F.lit(1), F.size("prefix") - 1).alias("a"), F.slice("prefix", F.lit(2), F.size("prefix")).alias("b"))
+    rows = lines.where(F.size("prefix") > 1).select("h1", F.posexplode(both).alias("at", "both"))
+    rows = rows.select(F.xxhash64("both.a", "both.b").alias("pair"), "h1", "at").repartition(parts, "pair")
+    pair = Window.partitionBy("pair")
+    several = rows.withColumns({"low": F.min("h1").over(pair), "high": F.max("h1").over(pair)}).where("low <> high")
+    return several.select("pair", "h1", "at").distinct()
+
+
+def sharing_enough(pairs: DataFrame, settings: Settings) -> DataFrame:
+    """(d, l, ed, el) of the candidates, given once for each pair of words they share, that share as many as they must."""
+    counted = pairs.groupBy("d", "l", "ed", "el", "n", "en").agg(F.count("*").alias("pairs"))
+    long = F.greatest("n", "en")
+    needed = F.least(F.lit(settings.pairs_shared), long - 1 - pairs_lost(long, settings.percent))
+    return counted.where(F.col("pairs") >= needed).select("d", "l", "ed", "el")
+
+
+def earliest_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
+    """(d, l, ed, el): classes and a class that is the earliest of enough of their pairs."""
+    first = F.min(F.struct("d", "l", "n", "at", "h1", "s0", "s1")).over(Window.partitionBy("pair"))
+    both = rows.select(F.struct("d", "l", "n", "at", "h1", "s0", "s1").alias("x"), first.alias("e"))
+    both = both.where((F.col("e.h1") != F.col("x.h1")) & may_match("x", "e", settings.percent))
+    return sharing_enough(both.select("x.d", "x.l", F.col("e.d").alias("ed"), F.col("e.l").alias("el"), "x.n", F.col("e.n").alias("en")), settings)
+
+
+def other_pairs(rows: DataFrame, settled: DataFrame, settings: Settings) -> DataFrame:
+    """(d, l, ed, el): classes not settled yet and all earlier classes that share enough of their pairs."""
+    x, y = rows.join(settled, ["d", "l"], "left_anti").drop("h1").alias("x"), rows.drop("h1").alias("y")
+    earlier = (F.col("y.d") < F.col("x.d")) | ((F.col("y.d") == F.col("x.d")) & (F.col("y.l") < F.col("x.l")))
+    pairs = x.join(y, (F.col("x.pair") == F.col("y.pair")) & earlier & may_match("x", "y", settings.percent))
+    return sharing_enough(pairs.select("x.d", "x.l", F.col("y.d").alias("ed"), F.col("y.l").alias("el"), "x.n",
+                                       F.col("y.n").alias("en")), settings)
+
+
+def may_be_in(ids: DataFrame, names: list[str], slots: int) -> Column:
+    """Whether the slot of a key holds one of the ids; a table of bits of fixed size, without false negatives."""
+    slot = F.pmod(F.xxhash64(*names), F.lit(slots))
+    bits = ids.select(slot.alias("s")).groupBy(F.floor(F.col("s") / 64).alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b"))
     every = ids.sparkSession.range(slots // 64).withColumnRenamed("id", "w").join(bits, "w", "left")
-    table = every.groupBy().agg(F.transform(F.sort_array(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("long")).alias("b")))),
-                                            lambda s: s["b"]).alias("t")).scalar()
-    word = F.get(table, F.floor(slot(F.col(name)) / 64).cast("int"))
-    return F.call_function("getbit", word, (slot(F.col(name)) % 64).cast("int")) == 1
-
-
-def later_classes(docs: DataFrame, classes: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
-    """(h1) of the classes whose first line comes after the first line of another class that matches them."""
-    ids = pairs.select(F.col("x").alias("h1")).unionAll(pairs.select(F.col("y").alias("h1"))).distinct()
-    places = classes.join(ids, "h1").select("h1", "first").checkpoint()
-    wanted = places.select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), "h1", "first")
-    texts = docs.select("doc_id", "text").where(may_be_in(wanted.select("doc_id"), "doc_id", settings.id_slots))
-    found = texts.join(wanted, "doc_id").select(
-        "h1", "first", words_of(F.get(F.split("text", "\n"), F.col("line_no"))).alias("words"))
-    x, y = found.alias("fx"), found.alias("fy")
-    both = pairs.join(x, F.col("x") == F.col("fx.h1")).select("y", "x", F.col("first").alias("first_x"), F.col("words").alias("words_x"))
-    both = both.join(y, F.col("y") == F.col("fy.h1"))
-    shared = F.size(F.array_intersect("words_x", "fy.words"))
-    union = F.size("words_x") + F.size("fy.words") - shared
-    both = both.where(100 * shared >= settings.percent * union)
-    return both.select(F.when(F.col("first_x") > F.col("fy.first"), F.col("x")).otherwise(F.col("y")).alias("h1")).distinct()
+    filled = F.sort_array(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("long")).alias("b"))))
+    table = every.groupBy().agg(F.transform(filled, lambda s: s["b"]).alias("t")).scalar()
+    return F.call_function("getbit", F.get(table, F.floor(slot / 64).cast("int")), (slot % 64).cast("int")) == 1
+
+
+def matching(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
+    """(d, l) of the pairs whose lines, compared word by word, reach the threshold."""
+    wanted = pairs.select("d", "l").unionAll(pairs.select(F.col("ed").alias("d"), F.col("el").alias("l"))).distinct()
+    lines = split_lines(docs).withColumnsRenamed({"doc_id": "d", "line_no": "l"})
+    found = lines.where(may_be_in(wanted, ["d", "l"], settings.id_slots)).join(wanted, ["d", "l"])
+    first = found.select("d", "l", F.col("line").alias("own"))
+    other = found.select(F.col("d").alias("ed"), F.col("l").alias("el"), F.col("line").alias("earlier"))
+    both = pairs.join(first, ["d", "l"]).join(other, ["ed", "el"])
+    both = both.select("d", "l", words_of(F.col("own")).alias("own"), words_of(F.col("earlier")).alias("earlier"))
+    shared = F.size(F.array_intersect("own", "earlier"))
+    return both.where(100 * shared >= settings.percent * (F.size("own") + F.size("earlier") - shared)).select("d", "l").distinct()
 
 
 def removed_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, removed): the sorted numbers, from 0, of the lines that an earlier line matches."""
+    common.drop_used_shuffles(docs.sparkSession)
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = known.where("doc_id is not null and text is not null")
     lines = common.stored(line_table(known, settings), "lines")
-    classes = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("copies"))
-    pairs = candidate_pairs(lines, settings).checkpoint()
-    later = later_classes(known, classes, pairs, settings).withColumn("later", F.lit(True))
-    marked = classes.join(later, "h1", "left").where("later or copies > 1")
-    gone = lines.select("doc_id", "line_no", "h1", "h2").join(marked, ["h1", "h2"])
-    gone = gone.where(F.col("later") | (F.struct("doc_id", "line_no") > F.col("first")))
-    return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
+    shared = common.stored(shared_pairs(lines), "shared-pairs")
+    rows = common.stored(shared.join(classes(lines).drop("copies"), "h1"), "candidates")
+    # A class that matches a class which is the earliest of some of its pairs is settled; only the others meet all earlier ones, so
+    # a large family of near copies is not compared one by one.
+    near_first = matching(known, earliest_pairs(rows, settings).checkpoint(), settings).checkpoint()
+    others = other_pairs(rows, near_first, settings).checkpoint()
+    later = near_first.unionAll(matching(known, others, settings)).checkpoint()
+    common.drop_stored(shared, rows)
+    marked = classes(lines).join(later.withColumn("later", F.lit(True)), ["d", "l"], "left").where("later or copies > 1")
+    gone = lines.select("doc_id", "line_no", "h1").join(marked.select("h1", "d", "l", "later"), "h1")
+    place = F.struct(F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
+    gone = gone.where(F.col("later") | (place > F.struct("d", "l")))
+    gone = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed")).checkpoint()
+    common.drop_stored(lines)
+    return gone
 
 
 def counted(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
