@@ -235,6 +235,7 @@ def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     are null or have no word have no shingle and link with nothing.  Rows with a null doc_id are their own group: their
     component_id is null and they are kept.  Rows that share a doc_id are taken for one document by its id.  Only doc_id
     and text are read; an empty table gives no rows."""
+    common.drop_used_shuffles(docs.sparkSession)
     signed = common.stored(signatures(docs, settings), "signatures")
     sets = signed.where("n > 0 and doc_id is not null")
     first = sets.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).where("copies > 1")
@@ -257,5 +258,7 @@ def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     out = signed.select("doc_id", F.col("n").alias("n_shingles")).join(
         linked.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id",
-                      F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
+    out = out.select("doc_id", "n_shingles", "component_id",
+                     F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept")).checkpoint()
+    common.drop_stored(signed)
+    return out
