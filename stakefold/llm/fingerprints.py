@@ -55,7 +55,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 counts.update(terms(text))
-            if len(counts) > 600_000:
+            if len(counts) > 250_000:
                 yield flush()
         yield flush()
 
@@ -96,7 +96,7 @@ class Printer:
     def __call__(self, text: str) -> list[str]:
         """The subset hashes.  A text without a lexicon term in any subset gets one hash of its terms, or of itself."""
         found = terms(text)
-        if len(self.hashes) > 300_000:
+        if len(self.hashes) > 120_000:
             self.hashes.clear()
         for term in found:
             if term not in self.hashes:
@@ -110,11 +110,9 @@ class Printer:
             kept = own[keys[at] == own]
             members = self.lexicon.members[at[keys[at] == own]]
             if len(kept):
-                used = int(np.bitwise_or.reduce(members))
-                for k in range(self.size):
-                    if used >> k & 1:
-                        chosen = kept[members >> np.uint64(k) & np.uint64(1) == 1]
-                        prints[k] = hashlib.blake2b(chosen.tobytes(), digest_size=4).hexdigest()
+                inside = (members >> np.arange(self.size, dtype=np.uint64)[:, None] & np.uint64(1)).astype(bool)
+                for k in np.flatnonzero(inside.any(axis=1)).tolist():
+                    prints[k] = hashlib.blake2b(kept[inside[k]].tobytes(), digest_size=4).hexdigest()
         if all(p == EMPTY for p in prints):
             whole = own.tobytes() if len(own) else text.encode()
             return ["=" + hashlib.blake2b(whole, digest_size=16).hexdigest()]
@@ -143,8 +141,8 @@ def with_successors(docs: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
                        F.col("doc_id").isNull().alias("no_id"), F.coalesce("text", F.lit("")).alias("text"))
-    shares = [i / (2 * parts) for i in range(1, 2 * parts)]
-    bounds = np.unique(np.array(rows.approxQuantile("doc_id", shares, 1 / (8 * parts)) or [0.0]).astype(np.int64))
+    shares = [i / (8 * parts) for i in range(1, 8 * parts)]  # several ranges a partition, which evens them out
+    bounds = np.unique(np.array(rows.approxQuantile("doc_id", shares, 1 / (32 * parts)) or [0.0]).astype(np.int64))
 
     def place(ids: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(bounds, ids.to_numpy(np.int64), side="right"))
