@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +34,10 @@ FLOOR = -3.0
 
 @dataclass(frozen=True)
 class Settings:
-    """documents_per_class bounds the labelled documents learned from, words_per_class and landmarks the machine."""
+    """toxic_documents and clean_documents bound what is learned from, words_per_class and landmarks the machine."""
 
-    documents_per_class: int = 3_000
+    toxic_documents: int = 1_500
+    clean_documents: int = 2_500
     words_per_class: int = 1_500
     landmarks: int = 160
     decay: float = 0.7
@@ -243,8 +245,9 @@ def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Machine
     toxic, clean, sentences, seen = Counter(), Counter(), [0, 0], set()
     for text, label in rows:
         for sentence in SENTENCE.split(text):
-            if (sentence, label) not in seen:  # copies of a document say no more than one of them
-                seen.add((sentence, label))
+            mark = xxhash.xxh64_intdigest(sentence) ^ label
+            if mark not in seen:  # copies of a document say no more than one of them
+                seen.add(mark)
                 found = {letters(u) for u in units(sentence)}
                 (toxic if label else clean).update(w for w in found if 1 < len(w) <= LONGEST)
                 sentences[label] += 1
@@ -270,8 +273,8 @@ def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Machine
         if set(hard) <= set(negative):
             break
         negative = sorted(set(negative) | set(hard))
-    y = np.array([float(label) for _, label in rows])
-    machine.logistic = logistic(machine.evidence([t for t, _ in rows]), y)
+    evidence = [machine.evidence([t for t, _ in rows[i:i + 200]]) for i in range(0, len(rows), 200)]
+    machine.logistic = logistic(np.vstack(evidence), np.array([float(label) for _, label in rows]))
     machine.seen = None
     return machine
 
@@ -282,9 +285,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.join(docs.where("text is not null").select("doc_id").distinct(), "doc_id", "left_semi")
     chosen: dict[int, int] = {}
-    for label in (0, 1):
+    for label, most in ((0, settings.clean_documents), (1, settings.toxic_documents)):
         first = known.where((F.col("toxic") > 0) == F.lit(bool(label))).select("doc_id")
-        first = first.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.documents_per_class)
+        first = first.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         chosen |= {r["doc_id"]: label for r in first.collect()}
     found = docs.where("text is not null").where(F.col("doc_id").isin(list(chosen))).select("doc_id", "text").collect()
     return fit([(r["text"], chosen[r["doc_id"]]) for r in sorted(found, key=lambda r: (r["doc_id"], r["text"]))], settings)
