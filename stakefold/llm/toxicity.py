@@ -37,7 +37,7 @@ class Settings:
     """toxic_documents and clean_documents bound what is learned from, words_per_class and landmarks the machine."""
 
     toxic_documents: int = 1_500
-    clean_documents: int = 2_500
+    clean_documents: int = 3_000
     words_per_class: int = 1_500
     landmarks: int = 160
     decay: float = 0.7
