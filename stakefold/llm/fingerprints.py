@@ -1,8 +1,9 @@
 """I-Match document fingerprints over several randomised lexicons.
 
-Document frequencies of all terms come from the whole corpus.  The lexicon keeps the terms whose inverse document
-frequency ln(N / df) lies in a band, so it can hold no more than e^upper times the mean number of distinct terms of a
-document: that bounds what is broadcast, whatever the size of the corpus.  Each of the subsets takes a random share of
+Document frequencies of all terms come from the whole corpus, counted over distinct texts, so a text weighs once however
+many copies it has.  The lexicon keeps the terms whose inverse document frequency ln(N / df) lies in a band, so it can
+hold no more than e^upper times the mean number of distinct terms of a text: that bounds what is broadcast, whatever
+the size of the corpus.  Each of the subsets takes a random share of
 the lexicon, fixed by a hash of the term.  For every subset, the distinct terms of a document in it are sorted and
 hashed; the fingerprint is the list of these hashes.  Sparse subsets survive edits, dense ones tell documents apart.
 """
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 TERM = re.compile(r"\w+")
 EMPTY = "-"
+BUCKET_BITS = 24
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
 
@@ -41,8 +43,36 @@ def terms(text: str) -> set[str]:
     return set(TERM.findall(text.lower()))
 
 
-def document_frequencies(docs: DataFrame) -> DataFrame:
-    """(term, df): term hashes with the number of documents that hold them; counted first in every task."""
+@dataclass(frozen=True)
+class Copies:
+    """How many distinct texts there are, and a bit map of the buckets of digests that hold a text with copies.  Its
+    size is fixed; more texts only mean that more single ones share a bucket with copies."""
+
+    texts: int
+    bits: np.ndarray
+
+    def suspected(self, digests: np.ndarray) -> np.ndarray:
+        buckets = digests.view(np.uint64) >> np.uint64(64 - BUCKET_BITS)
+        return (self.bits[buckets >> np.uint64(3)] >> (buckets & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def find_copies(texts: DataFrame) -> Copies:
+    """From (text, digest)."""
+    groups = texts.groupBy("digest").agg((F.count("*") > 1).alias("copied"))
+    bucket = F.when(F.col("copied"), F.shiftrightunsigned("digest", 64 - BUCKET_BITS))
+    found = groups.groupBy(bucket.cast("int").alias("bucket")).agg(F.count("*").alias("n")).toPandas()
+    buckets = found["bucket"].dropna().to_numpy(np.int64)
+    bits = np.zeros(1 << BUCKET_BITS - 3, np.uint8)
+    np.bitwise_or.at(bits, buckets >> 3, np.uint8(1) << (buckets & 7).astype(np.uint8))
+    return Copies(int(found["n"].sum()), bits)
+
+
+def document_frequencies(texts: DataFrame, copies: Copies) -> DataFrame:
+    """(term, df): term hashes with the number of distinct texts that hold them; counted first in every task.
+
+    Of (text, digest), rows outside the suspected buckets have no copies and are counted where they lie.  Only the
+    others are shuffled by their text and come to one row each, at most one a task from every text."""
+    shared = texts.sparkSession.sparkContext.broadcast(copies)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
@@ -53,13 +83,23 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
 
         counts: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            column = batch.column(0)
+            if batch.num_columns > 1:
+                column = column.filter(pa.array(~shared.value.suspected(batch.column(1).to_numpy())))
+            for text in column.to_pylist():
                 counts.update(terms(text))
             if len(counts) > 250_000:
                 yield flush()
         yield flush()
 
-    found = docs.where("text is not null").select("text").mapInArrow(run, "term long, n long")
+    @F.pandas_udf("boolean")
+    def suspected(digests: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.suspected(digests.to_numpy(np.int64)))
+
+    found = texts.mapInArrow(run, "term long, n long")
+    if copies.bits.any():
+        once = texts.where(suspected("digest")).select("text").distinct()
+        found = found.union(once.mapInArrow(run, "term long, n long"))
     return found.groupBy("term").agg(F.sum("n").alias("df"))
 
 
@@ -81,9 +121,10 @@ class Lexicon:
 
 
 def learn_lexicon(docs: DataFrame, band: Band) -> Lexicon:
-    total = docs.count()
-    least, most = max(2, math.ceil(total / math.exp(band.upper))), math.floor(total / math.exp(band.lower))
-    kept = document_frequencies(docs).where(F.col("df").between(least, most)).select("term").toPandas()
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("digest", F.xxhash64("text"))
+    copies = find_copies(texts)
+    least, most = max(2, math.ceil(copies.texts / math.exp(band.upper))), math.floor(copies.texts / math.exp(band.lower))
+    kept = document_frequencies(texts, copies).where(F.col("df").between(least, most)).select("term").toPandas()
     return Lexicon.of(kept["term"].to_numpy(np.int64), band)
 
 

@@ -82,3 +82,34 @@ def test_messy_and_empty_tables(messy, nothing, spark):
     r = fingerprints.fingerprint_documents(one).first()
     assert r["edited_sha256"] == hashlib.sha256(b"only document only").hexdigest()
     assert r["near_next"] == 1.0
+
+
+def crowded_rows():
+    """900 texts of common words, a third of them copies of one text, under ids of their own."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{w}" for w in rng.integers(0, 400, 60))) for i in range(600)]
+    return rows + [(1000 + i, rows[0][1]) for i in range(299)]
+
+
+def test_document_frequencies_count_distinct_texts(spark):
+    rows = crowded_rows()
+    docs = spark.createDataFrame(rows + [(5000, None), (5001, "")], "doc_id long, text string")
+    texts = docs.selectExpr("coalesce(text, '') as text", "xxhash64(coalesce(text, '')) as digest").repartition(5)
+    copies = fingerprints.find_copies(texts)
+    assert copies.texts == len({t for _, t in rows}) + 1
+    got = {r["term"]: r["df"] for r in fingerprints.document_frequencies(texts, copies).collect()}
+    df = Counter(t for text in {t for _, t in rows} for t in fingerprints.terms(text))
+    assert got == {int(np.uint64(xxhash.xxh64_intdigest(t)).view(np.int64)): n for t, n in df.items()}
+
+
+def test_a_text_that_fills_a_third_of_the_rows_has_its_subsets(spark):
+    rows = crowded_rows()
+    crowd = rows[0][1]
+    docs = spark.createDataFrame([*rows, (2000, crowd + " rareword")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fingerprints.fingerprint_documents(docs).collect()}
+    assert len(got) == len(rows) + 1
+    members = [got[i] for i in range(1000, 1299)]
+    assert not any(r["fingerprint"].startswith("=") for r in members)
+    assert all(0.4 < r["near_edited"] < 1 for r in members)
+    assert all(r["near_next"] == 1.0 for r in members[:-1])
+    assert members[-1]["near_next"] > 0.8  # the next one has a rare word more
