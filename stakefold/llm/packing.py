@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -37,8 +39,8 @@ class Limits:
 
 @functools.cache
 def encoder(path: str) -> Callable[[str], list[int]]:
-    """The byte-level vocabulary's encoder.  The file of ranks holds the vocabulary of byte_bpe_50k.json; the ids are
-    those of the tokenizers library (a test compares them), four times as fast."""
+    """The byte-level vocabulary's encoder of ordinary text.  The file of ranks holds the vocabulary of
+    byte_bpe_50k.json; the ids are those of the tokenizers library (a test compares them), four times as fast."""
     import public_tokenizers
     import tiktoken
 
@@ -48,6 +50,35 @@ def encoder(path: str) -> Callable[[str], list[int]]:
                              special_tokens={}).encode_ordinary
 
 
+@functools.cache
+def document_encoder(path: str) -> Callable[[str], list[int]]:
+    """The ids that the tokenizers library gives for the json beside the file of ranks, without special tokens put
+    around the text: added tokens that stand in the text have their own ids, what lies between them is ordinary."""
+    ordinary = encoder(path)
+    with open(path.removesuffix(".tiktoken") + ".json", encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(token[flag] for token in added for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"added tokens of {path} that take in or look at their neighbours are not supported")
+    ids = {token["content"]: token["id"] for token in added}
+    if not ids:
+        return ordinary
+    split = re.compile("(" + "|".join(map(re.escape, sorted(ids, key=len, reverse=True))) + ")").split
+
+    def encode(text: str) -> list[int]:
+        parts = split(text)
+        if len(parts) == 1:
+            return ordinary(text)
+        found = []
+        for i, part in enumerate(parts):
+            if i % 2:
+                found.append(ids[part])
+            else:
+                found += ordinary(part)
+        return found
+
+    return encode
+
+
 def choose(demand: np.ndarray, left: np.ndarray, caps: np.ndarray) -> int:
     """Index of the item that fits and has the largest dot product with what is left; -1 if none fits."""
     fits = (demand <= left).all(axis=1)
@@ -155,7 +186,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, limits: Limits = Limits(),
     one batch of rows and the pool are all that a task holds."""
 
     def rows(packer: Packer, batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-        encode = encoder(vocabulary)
+        encode = document_encoder(vocabulary)
         for batch in batches:
             out: list[tuple] = []
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

@@ -103,3 +103,18 @@ def test_a_loss_limit_below_the_tokens_still_cuts_documents():
 def test_an_example_beyond_a_limit_is_refused():
     with pytest.raises(ValueError, match="exceeds"):
         packing.pack_examples([(1, np.arange(200), np.ones(200))], packing.Limits(tokens=100))
+
+
+def test_added_tokens_in_the_text_have_the_ids_of_the_plain_library_call(spark, documents):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"  x \n{end}\n\ny  {end}", f"don't{end}'ll", "<|endoftext", f"<|{end}|>",
+             f"naïve {end}①", documents[0][1] + end + documents[1][1], "", "plain text"]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    encode = packing.document_encoder(RANKS)
+    assert [encode(t) for t in texts] == expected
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.pack_documents(docs, RANKS).collect()
+    by_doc = dict(enumerate(expected))
+    assert check(rows, by_doc, lambda ids: ids) == 0
+    assert {r["doc_id"]: r["doc_tokens"] for r in rows} == {d: len(ids) + 1 for d, ids in by_doc.items()}
