@@ -108,3 +108,19 @@ def test_messy_and_empty_tables(messy, nothing):
     assert [r["kept"] for r in rows if r["doc_id"] is None] == [True]
     assert [r["kept"] for r in rows if r["doc_id"] == 7] == [True, True]
     assert minhash.groups(nothing).collect() == []
+
+
+def test_the_estimate_loses_no_more_pairs_than_the_bands():
+    settings = minhash.Settings()
+    similarity, n = settings.percent / 100, settings.hashes
+
+    def passes(equal):
+        signature = np.zeros((2, -(-n // minhash.LANES)), np.uint64)
+        for lane in range(n - equal):
+            signature[1, lane // minhash.LANES] |= np.uint64(1 << lane % minhash.LANES * minhash.LANE_BITS)
+        groups = minhash.estimated_groups(signature, np.array([100, 100]), settings)
+        return groups[0] == groups[1]
+
+    agree = similarity + (1 - similarity) * 2.0 ** -minhash.LANE_BITS
+    lost = sum(math.comb(n, k) * agree ** k * (1 - agree) ** (n - k) for k in range(n + 1) if not passes(k))
+    assert lost <= (1 - similarity ** settings.rows) ** settings.bands
