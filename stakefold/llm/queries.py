@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakefold.llm import common, fingerprints, languages, lines, minhash, packing, personal_data, sentencepieces, toxicity, vectors, warc
+from stakefold.llm import common, fingerprints, languages, lines, minhash, packing, personal_data, sentencepieces, token_files, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,11 @@ with d as (select doc_id, string_split(text, chr(10)) as l from documents where
 select o.doc_id, coalesce(len(string_split(o.text, chr(10))), 0)::bigint as n_lines, coalesce(n_removed, 0)::bigint as n_removed,
        coalesce(removed, '') as removed
 from documents o left join e on o.doc_id = e.doc_id"""
+
+
+@query("op13_token_files")
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    common.small_batches(spark)
+    manifest = token_files.write_files(
+        common.documents(spark, folder), tokenizer_path("word_bpe_49k.json"), common.new_folder(spark, "token-ids"))
+    return token_files.read_files(manifest)
