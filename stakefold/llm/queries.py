@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakefold.llm import common, fingerprints, languages, lines, minhash, packing, personal_data, sentencepieces, token_files, toxicity, vectors, warc
+from stakefold.llm import common, fingerprints, languages, lines, merkle, minhash, packing, personal_data, sentencepieces, token_files, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,3 +136,47 @@ def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
     manifest = token_files.write_files(
         common.documents(spark, folder), tokenizer_path("word_bpe_49k.json"), common.new_folder(spark, "token-ids"))
     return token_files.read_files(manifest)
+
+
+@query("op12_merkle")
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    common.small_batches(spark)
+    proofs = merkle.documents_manifest(common.documents(spark, folder), common.crc32_of_id() % 7 == 0)
+    return merkle.checked(proofs).withColumnRenamed("key", "doc_id")
+
+
+ORACLES["op12_merkle"] = """
+with recursive c as (
+    select *, 'T' as given, doc_id::varchar as a, source::varchar as b, lang::varchar as c, text::varchar as e from documents),
+w as (select *, coalesce(strlen(a) || ':' || a, '-') || coalesce(strlen(b) || ':' || b, '-') || coalesce(strlen(c) || ':' || c, '-') as head,
+             coalesce(strlen(e) || ':' || e, '-') as tail from c),
+d as (select doc_id, lang, sha256(head || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || tail) as leaf,
+             sha256(head || coalesce(strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1), '-') || tail) as other from w),
+r as (select *, row_number() over (partition by lang order by doc_id, leaf) - 1 as i, count(*) over (partition by lang) as m from d),
+t(lang, lvl, i, m, h) as (
+    select lang, 0, i, m, leaf from r
+    union all
+    select lang, lvl + 1, i // 2, (m + 1) // 2, sha256(string_agg(h, '' order by i)) from t where m > 1 group by lang, lvl, m, i // 2),
+z as (select doc_id, xor(list_reduce(list_transform(string_split(doc_id::varchar, ''), lambda s: ascii(s)::bigint),
+          lambda c, b: list_reduce(range(8), lambda v, k: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, xor(c, b)),
+          4294967295::bigint), 4294967295) % 7 = 0 as tampered from (select distinct doc_id from documents)),
+s as (select lang, h as subroot, row_number() over (order by lang nulls first) - 1 as i, count(*) over () as m from t where m = 1),
+u(lvl, i, m, h) as (
+    select 0, i, m, subroot from s
+    union all
+    select lvl + 1, i // 2, (m + 1) // 2, sha256(string_agg(h, '' order by i)) from u where m > 1 group by lvl, m, i // 2),
+f(doc_id, lang, leaf, lvl, i, m, h, proof) as (
+    select doc_id, lang, leaf, 0, i, m, case when tampered then other else leaf end, ''
+    from r left join z using (doc_id)
+    union all
+    select f.doc_id, f.lang, f.leaf, f.lvl + 1, f.i // 2, (f.m + 1) // 2,
+           sha256(case when t.h is null then f.h when f.i % 2 = 1 then t.h || f.h else f.h || t.h end), f.proof || coalesce(t.h, '')
+    from f left join t on t.lang is not distinct from f.lang and t.lvl = f.lvl and t.i = xor(f.i, 1) where f.m > 1),
+g(doc_id, leaf, subroot, lvl, i, m, h, proof) as (
+    select f.doc_id, f.leaf, s.subroot, 0, s.i, s.m, f.h, f.proof from f join s on f.lang is not distinct from s.lang where f.m = 1
+    union all
+    select g.doc_id, g.leaf, g.subroot, g.lvl + 1, g.i // 2, (g.m + 1) // 2,
+           sha256(case when u.h is null then g.h when g.i % 2 = 1 then u.h || g.h else g.h || u.h end), g.proof || coalesce(u.h, '')
+    from g left join u on u.lvl = g.lvl and u.i = xor(g.i, 1) where g.m > 1)
+select doc_id, leaf, subroot, x.h as root, sha256(proof) as proof_sha256, g.h as folded_root, g.h = x.h as verified
+from g, (select h from u where m = 1) x where g.m = 1"""
