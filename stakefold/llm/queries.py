@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakefold.llm import common, fingerprints, languages, lines, merkle, minhash, packing, personal_data, sentencepieces, token_files, toxicity, vectors, warc
+from stakefold.llm import common, fingerprints, languages, lines, merkle, minhash, packing, personal_data, sentencepieces, token_files, toxicity, vectors, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -180,3 +180,9 @@ g(doc_id, leaf, subroot, lvl, i, m, h, proof) as (
     from g left join u on u.lvl = g.lvl and u.i = xor(g.i, 1) where g.m > 1)
 select doc_id, leaf, subroot, x.h as root, sha256(proof) as proof_sha256, g.h as folded_root, g.h = x.h as verified
 from g, (select h from u where m = 1) x where g.m = 1"""
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    common.small_batches(spark)
+    return whitening.whiten(spark, common.table(spark, folder, "embeddings"))
