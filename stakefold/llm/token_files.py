@@ -17,10 +17,12 @@ places, u32 differences.
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,7 +42,7 @@ BLOCKS_AT_ONCE = 256
 PERCENTILE = 90
 FILE_IDS = 1 << 26
 END_ID = 1
-CHUNK_CHARS, CHUNKS_KEPT = 64, 1 << 18
+KEPT_CHARS, MOST_KEPT = 64, 1 << 19
 MANIFEST = "shard long, file string, ids long, documents long, bytes long"
 SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -198,33 +200,89 @@ class Reader:
             at += length
 
 
-class Chunks(dict):
-    """Ids of a chunk between blanks, as bytes, from the tokenizers library.  Blanks end every token of a vocabulary that
-    drops white space, so a text's ids are those of its chunks in a row.  Bounded; long chunks are never kept."""
+# The normalizer and the pattern of words of the vocabulary files that chunks are known to be right for.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The same pattern for lower-case text of ASCII and the letters of Latin-1, whose classes are the same in any version of Unicode.
+PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \n\ta-zß-öø-ÿ0-9]+")
+PLAIN = re.compile(r"[ \n\t!-~À-ÖØ-öø-ÿ]*")
 
-    def __init__(self, vocabulary: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
 
-        super().__init__()
-        self.library = Tokenizer.from_file(vocabulary)
+class Kept(dict):
+    """Results of a function, in two generations that bound the memory: when the newer one is full it becomes the older,
+    and what is used again moves up.  Long arguments are never kept."""
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.library.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(chunk) <= CHUNK_CHARS:
-            if len(self) >= CHUNKS_KEPT:
+    def __init__(self, of: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.of, self.older = of, {}
+
+    def __missing__(self, text: str) -> bytes:
+        found = self.older.get(text)
+        if found is None:
+            found = self.of(text)
+        if len(text) <= KEPT_CHARS:
+            if len(self) >= MOST_KEPT:
+                self.older = dict(self)
                 self.clear()
-            self[chunk] = ids
-        return ids
+            self[text] = found
+        return found
+
 
-    def of_text(self, text: str) -> np.ndarray:
-        chunks = text.replace("\n", " ").replace("\t", " ").split(" ")
-        return np.frombuffer(b"".join(map(self.__getitem__, chunks)), "<u4")
+class Encoder:
+    """Ids of whole texts by the tokenizers library.  In a vocabulary that drops white space, blanks end every token, so
+    a text's ids are those of its chunks between blanks in a row.  Where characters are plain, the words of the pattern
+    go to the library's model one by one; other chunks go to the whole library; so do whole texts if the vocabulary
+    file works in another way."""
+
+    def __init__(self, vocabulary: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.library = Tokenizer.from_file(vocabulary)
+        self.model = self.library.model
+        self.bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.known, self.added = self._known(json.loads(self.library.to_str()))
+        self.words, self.chunks = Kept(self._word), Kept(self._library)
+
+    @staticmethod
+    def _known(file: dict) -> tuple[bool, re.Pattern]:
+        steps = (file["normalizer"] or {}).get("normalizers", [])
+        before = (file["pre_tokenizer"] or {}).get("pretokenizers", [])
+        added = file["added_tokens"]
+        known = [s["type"] for s in steps] == NORMALIZERS and [s["type"] for s in before] == ["Split", "ByteLevel"]
+        known = known and steps[1]["pattern"] == {"Regex": r"\s+"} and steps[1]["content"] == " " and before[0]["pattern"] == {"Regex": WORDS}
+        known = known and before[0]["behavior"] == "Removed" and before[0]["invert"] and not before[1]["add_prefix_space"]
+        known = known and not any(t[flag] for t in added for flag in ("lstrip", "rstrip", "single_word", "normalized"))
+        known = known and not any(set(t["content"]) & set(" \n\t") for t in added) and file["model"]["dropout"] is None
+        return known, re.compile("|".join(re.escape(t["content"]) for t in added) or "(?!)")
+
+    def _library(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        ids = [token.id for token in self.model.tokenize(word if word.isascii() else self.bytes_of(word)[0][0])]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _plain(self, text: str) -> bytes | None:
+        if not PLAIN.fullmatch(text) or self.added.search(text):
+            return None
+        return b"".join(map(self.words.__getitem__, PLAIN_WORDS.findall(text.lower())))
+
+    def _chunk(self, chunk: str) -> bytes:
+        found = self._plain(chunk)
+        return self.chunks[chunk] if found is None else found
+
+    def encode(self, text: str) -> np.ndarray:
+        if not self.known:
+            found = self._library(text)
+        elif (found := self._plain(text)) is None:
+            found = b"".join(map(self._chunk, text.replace("\n", " ").replace("\t", " ").split(" ")))
+        return np.frombuffer(found, "<u4")
 
 
 @functools.cache
-def chunks_of(vocabulary: str) -> Chunks:
-    return Chunks(vocabulary)
+def encoder_of(vocabulary: str) -> Encoder:
+    return Encoder(vocabulary)
 
 
 def write_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int = END_ID, block: int = BLOCK_IDS,
@@ -232,19 +290,19 @@ def write_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int = END
     """Encode all documents, an end id after each, write them in ascending order of the key and return the stored
     manifest (shard, file, ids, documents, bytes), shards rising with the key.
 
-    The vocabulary must be one that drops white space.  A null text counts as empty: its end id alone.  A null key comes
+    A null text counts as empty: its end id alone.  A null key comes
     first.  Rows of one key, repeated rows too, are all written, in the order of a hash of their texts (equal texts have
     equal ids); so no key, however common, has to stay in one task.  A very long text is one document like any other; a
     file is closed after the document that fills it.  An empty table gives an empty manifest.  Other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, out, done, number = TaskContext.get(), None, [], 0
-        chunks, end = chunks_of(vocabulary), np.array([end_id], "<u4")
+        encode, end = encoder_of(vocabulary).encode, np.array([end_id], "<u4")
         for batch in batches:
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if out is None:
                     out = Writer(f"{folder}/part-{task.partitionId():06d}-{number:05d}-{task.taskAttemptId()}.ids", block, percentile)
-                out.add(doc, np.concatenate([chunks.of_text(value or ""), end]))
+                out.add(doc, np.concatenate([encode(value or ""), end]))
                 if out.ids >= file_ids:
                     done.append(((task.partitionId() << 32) + number, *out.close()))
                     out, number = None, number + 1

@@ -51,14 +51,31 @@ def test_any_range_is_read_from_its_blocks(tmp_path):
         token_files.Reader(f"file://{tmp_path}/b.ids")
 
 
-def test_chunks_give_the_ids_of_the_library(library):
+def test_encoder_gives_the_ids_of_the_library(library):
     letters = list("abcXYZÉé ÅİΣσς'-_.,!?0123456789\t\n\r\x1c\x85  　́̈한글漢字") + [
         "'s", "'LL", "<|endoftext|>", "<|startoftext|>", "don't ", "  ", "\n\n", "Å", "ﬁ", "👍🏽", "\x00"]
     chance = random.Random(11)
     texts = ["".join(chance.choices(letters, k=chance.randrange(60))) for _ in range(3_000)]
-    chunks = token_files.Chunks(VOCABULARY)
+    encoder = token_files.Encoder(VOCABULARY)
     for text in [*texts, "", " ", "x" * 5_000]:
-        assert chunks.of_text(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+        assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    plain = [chr(c) for c in range(33, 256)] + ["'ll", "<|", "|>", " "]
+    for text in ("".join(chance.choices(plain, k=12)) for _ in range(5_000)):
+        assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_every_character_and_other_vocabularies(library):
+    from tokenizers import Tokenizer
+
+    encoder = token_files.Encoder(VOCABULARY)
+    assert encoder.known
+    for code in range(0x3000):
+        text = f"aB{chr(code)}Cd {chr(code)} '{chr(code)}s"
+        assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, hex(code)
+    other = queries.tokenizer_path("byte_bpe_50k.json")
+    encoder, whole = token_files.Encoder(other), Tokenizer.from_file(other)
+    assert not encoder.known
+    assert encoder.encode("Two  words\n<|endoftext|> é").tolist() == whole.encode("Two  words\n<|endoftext|> é").ids
 
 
 def expected(library, rows):
