@@ -10,8 +10,9 @@ from stakefold.llm import fingerprints, queries
 
 def test_edits_and_fingerprints_by_brute_force(spark, folder, documents):
     band = fingerprints.Band()
-    df = Counter(t for _, text, _ in documents for t in fingerprints.terms(text))
-    least, most = max(2, math.ceil(len(documents) / math.exp(band.upper))), math.floor(len(documents) / math.exp(band.lower))
+    texts = {text for _, text, _ in documents}
+    df = Counter(t for text in texts for t in fingerprints.terms(text))
+    least, most = max(2, math.ceil(len(texts) / math.exp(band.upper))), math.floor(len(texts) / math.exp(band.lower))
     kept = [t for t, n in df.items() if least <= n <= most]
     lexicon = fingerprints.Lexicon.of(np.array([xxhash.xxh64_intdigest(t) for t in kept], np.uint64).view(np.int64), band)
     rates = [r for r in band.rates for _ in range(band.subsets_per_rate)]
