@@ -10,7 +10,7 @@ def messy_rows():
     texts = [(1, "Alpha beta gamma.\nSecond line of words here."), (2, None), (3, ""), (4, " \t\n \n"), (5, LONG),
              (6, "Alpha beta gamma.\nSecond line of words here."), (7, "x"), (None, "No id but some words."),
              (7, "x"), (9, "ünïcode ① 你好 \x00 end"), (10, "é" * 3000),
-             (11, "1." + "0" * 5000 + ".2.3 and " + "7" * 9000 + " +" + "1" * 5000)]
+             (11, "1." + "0" * 5000 + "300.2.3 and " + "7" * 9000 + " +" + "1" * 5000)]
     return [(i, t, None if i == 3 else "en", "src0", None if t is None else len(t), 0.5, "k", "r", 3, 4, "t", 5, 6) for i, t in texts]
 
 
