@@ -17,4 +17,5 @@ from .joins import (  # noqa: F401
     spine_table,
     validity_join,
 )
+from .membership import key_filter, reduced, sifted  # noqa: F401
 from .numbering import document_numbers, first_per_group, number_within, quantile_bucket  # noqa: F401

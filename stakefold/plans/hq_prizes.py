@@ -11,6 +11,7 @@ from ..functions import codes as C
 from ..functions import dates as D
 from ..functions import money as M
 from ..sources.tables import Tables
+from .common import lines_of
 
 HQ_LOCATION = "008888"
 
@@ -37,18 +38,22 @@ def hq_prizes(t: Tables, run_date: dt.date, hq_location: str = HQ_LOCATION) -> D
         .join(hq, "terdisplayid")
         .select("cartid", local.cast("date").alias("txndate"))
     )
-    placed = (
-        t["header"].where(F.col("prodid").isin(C.SPORTS, C.SPORTS_LIVE))
-        .select("tranheaderid", "ticketserialnumber", "prodid")
-        .join(t["product"].select("prodid"), "prodid")
-        .join(t["validated_state"].where(F.col("betstatetypeid") == "VB06").select("tranheaderid"), "tranheaderid")
-    )
+    carts = t.stage.put(carts, "hq-carts")
     paid = (
-        t["validated"].select("cartid", "ticketserialnumber", "validationtypeid", "winningamount", "refundamount")
+        lines_of(t, "validated", carts, "cartid")
+        .select("cartid", "ticketserialnumber", "validationtypeid", "winningamount", "refundamount")
         .join(t["validation_type"].select("validationtypeid"), "validationtypeid")
         .join(carts, "cartid")
-        .join(placed, "ticketserialnumber")
     )
+    paid = t.stage.put(paid, "hq-validations")
+    headers = (
+        lines_of(t, "header", paid, "ticketserialnumber").where(F.col("prodid").isin(C.SPORTS, C.SPORTS_LIVE))
+        .select("tranheaderid", "ticketserialnumber", "prodid")
+        .join(t["product"].select("prodid"), "prodid")
+    )
+    headers = t.stage.put(headers, "hq-headers")
+    states = lines_of(t, "validated_state", headers).where(F.col("betstatetypeid") == "VB06").select("tranheaderid")
+    paid = paid.join(headers.join(states, "tranheaderid"), "ticketserialnumber")
     return paid.groupBy("txndate").agg(
         F.sum(M.nz("winningamount")).cast("decimal(18,2)").alias("prizeamount"),
         F.sum(M.nz("refundamount")).cast("decimal(18,2)").alias("refundamount"),

@@ -56,7 +56,7 @@ def _events(t: Tables, span: Span) -> DataFrame:
         "hours-tickets",
     )
     keys = header.select("tranheaderid").distinct()
-    state = t["header_state"].select("tranheaderid", "betstatetypeid")
+    state = lines_of(t, "header_state", keys).select("tranheaderid", "betstatetypeid")
     pool_ok = F.col("groupunitsequence").isNull() | (F.col("groupunitsequence") == 1)
     sold = F.col("issoldout").isNull() | (F.col("issoldout") == F.lit(False))
     # the window's tickets reduce the line history before it meets anything else
@@ -101,8 +101,8 @@ def _events(t: Tables, span: Span) -> DataFrame:
     gone_keys = gone.select("tranheaderid").distinct()
     cancelled = (
         gone
-        .join(t["cancelled_state"].where(F.col("betstatetypeid") == "CB06").select("tranheaderid"), "tranheaderid")
-        .join(t["header"].where(accepted).select("tranheaderid"), "tranheaderid")
+        .join(lines_of(t, "cancelled_state", gone_keys).where(F.col("betstatetypeid") == "CB06").select("tranheaderid"), "tranheaderid")
+        .join(lines_of(t, "header", gone_keys).where(accepted).select("tranheaderid"), "tranheaderid")
         .join(lines_of(t, "pool_line", gone_keys).select("tranheaderid", "groupunitsequence"), "tranheaderid", "left")
         .where(kept_group)
         .select("tranheaderid", "terdisplayid", "cancelleddate").distinct()
@@ -120,7 +120,7 @@ def _events(t: Tables, span: Span) -> DataFrame:
         t["horse_line"]
         .where((F.col("boardrebateamount") > 0) & D.window(F.col("createddate"), utc.lo, utc.hi, "both"))
         .select(*ident)
-        .join(state.where(F.col("betstatetypeid") == "PB06").select("tranheaderid"), "tranheaderid", "left_semi")
+        .join(t["header_state"].where(F.col("betstatetypeid") == "PB06").select("tranheaderid"), "tranheaderid", "left_semi")
         .distinct()
     )
     vouchers = (
