@@ -22,22 +22,22 @@ from pyspark.sql import DataFrame, SparkSession
 PARALLEL_WRITES = 8
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """A path and its file system, whichever that is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
-    target, system = _file_system(spark, path)
+    target, system = file_system(spark, path)
     system.delete(target, True)
 
 
 def swap_folder(spark: SparkSession, new: str, place: str) -> None:
     """Put a written folder in the place of another; if that fails the old one is put back."""
-    source, system = _file_system(spark, new)
-    target, _ = _file_system(spark, place)
-    aside, _ = _file_system(spark, f"{new}_old")
+    source, system = file_system(spark, new)
+    target, _ = file_system(spark, place)
+    aside, _ = file_system(spark, f"{new}_old")
     held = system.exists(target)
     if held and not system.rename(target, aside):
         raise RuntimeError(f"{place}: the old rows could not be put aside")
