@@ -19,6 +19,7 @@ class Tables:
         self.spark = spark
         self.stage = stage or StageArea(spark)
         self._load = load
+        self.states = None  # an index of the state tables, where one is kept (plans.state_index)
         self._open: dict[str, DataFrame] = {}
 
     @classmethod

@@ -159,6 +159,22 @@ WHERE l.locdisplayid = '{location}' AND p.prodid IN (5, 6) GROUP BY 5""",
     )
 
 
+def state_index(first: str, last: str) -> str:
+    parts = [
+        f"""SELECT '{table}' AS state_table, strftime(e.day, '%Y%m%d') AS PROCDATE, s.betstatetypeid,
+  count(DISTINCT s.tranheaderid) AS headers, count(*)::BIGINT AS states, CAST(max({captured}) AS VARCHAR) AS last
+FROM (SELECT DISTINCT tranheaderid, CAST({at} AS DATE) AS day FROM {parent}) e JOIN {table} s ON s.tranheaderid = e.tranheaderid
+WHERE e.day BETWEEN DATE '{first}' AND DATE '{last}' GROUP BY 2, 3"""
+        for table, parent, at, captured in (
+            ("header_state", "header", "createddate", "s.captureddate"),
+            ("validated_state", "validated", "createdvalidationdate", "s.captureddate"),
+            ("cancelled_state", "cancelled", "cancelleddate", "CAST(NULL AS TIMESTAMP)"),
+        )
+    ]
+    return oracle("dummy AS (SELECT 1) " + "\nUNION ALL ".join(parts), "header", "header_state", "validated", "validated_state", "cancelled",
+                  "cancelled_state")
+
+
 def business_dates(start: str = START, end: str = END) -> str:
     sides = []
     for label, short in (("igt", "lot"), ("bmcs", "hor"), ("ob", "spo"), ("nonhost", "non")):
