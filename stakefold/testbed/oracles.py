@@ -175,6 +175,18 @@ WHERE e.day BETWEEN DATE '{first}' AND DATE '{last}' GROUP BY 2, 3"""
                   "cancelled_state")
 
 
+def clustered_join(lo: str, hi: str) -> str:
+    return oracle(
+        f"""
+per AS (SELECT h.tranheaderid, h.createddate, count(*) AS n, sum(l.betpriceamount) AS x FROM header h
+  JOIN header_state s ON s.tranheaderid = h.tranheaderid AND s.betstatetypeid = 'PB06' JOIN horse_line l ON l.tranheaderid = h.tranheaderid
+  WHERE h.createddate >= TIMESTAMP '{lo}' AND h.createddate < TIMESTAMP '{hi}' GROUP BY 1, 2)
+SELECT CAST(createddate AS DATE) AS day, count(*) AS tickets, CAST(sum(n) AS BIGINT) AS lines, CAST(sum(x) AS DECIMAL(28,2)) AS stake
+FROM per GROUP BY 1""",
+        "header", "header_state", "horse_line",
+    )
+
+
 def business_dates(start: str = START, end: str = END) -> str:
     sides = []
     for label, short in (("igt", "lot"), ("bmcs", "hor"), ("ob", "spo"), ("nonhost", "non")):
