@@ -3,11 +3,14 @@ from .aggregates import (  # noqa: F401
     lifecycle_total,
     max_then_sum,
     ordered_concat,
+    ordered_texts,
     signed_union,
 )
 from .edits import replace_slice, unpivot_nonzero, update_from  # noqa: F401
 from .joins import (  # noqa: F401
+    block_product,
     code_table,
+    dyadic_blocks,
     exists_flag,
     host_window_filter,
     interval_join,

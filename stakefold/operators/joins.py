@@ -14,11 +14,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def day_bucketed(calendar: DataFrame, lo: str, hi: str, bucket: str = "_day") -> DataFrame:
-    """One row per calendar row and day it touches; rows without bounds match nothing."""
-    return calendar.where(F.col(lo).isNotNull() & (F.col(lo) <= F.col(hi))).withColumn(
-        bucket, F.explode(F.sequence(F.to_date(F.col(lo)), F.to_date(F.col(hi))))
-    )
+def _day_number(day: Column) -> Column:
+    return F.date_diff(F.to_date(day), F.lit(dt.date(1970, 1, 1)))
+
+
+def dyadic_blocks(calendar: DataFrame, lo: str, hi: str, level: str = "_level", block: str = "_block") -> DataFrame:
+    """Every period with the one or two aligned blocks of 2^level days that hold it, whatever its length.
+
+    The level is the least whose blocks are longer than the period reaches, so a day and
+    a period that is open to the year 9999 both give two rows at most.  Rows without bounds match nothing."""
+    first, last = _day_number(F.col(lo)), _day_number(F.col(hi))
+    reach = last - first
+    known = calendar.where(F.col(lo).isNotNull() & (F.col(lo) <= F.col(hi)))
+    known = known.withColumn(level, F.when(reach == 0, 0).otherwise(F.floor(F.log2(reach)).cast("int") + 1))
+    ends = [F.call_function("shiftright", n, F.col(level)) for n in (first, last)]
+    return known.withColumn(block, F.explode(F.array_distinct(F.array(*ends))))
 
 
 def interval_join(
@@ -36,18 +46,41 @@ def interval_join(
 
     ``on`` pairs (event column, calendar column) that must also be equal.  With
     closed ends an event on a shared edge matches both periods, as specified.
+
+    An event looks up one block per level that the calendar has.  Periods of like length
+    are of one level, and the lookup is a join.  With more levels, the periods of a block
+    become one value and the event unfolds those that hold it, so it stays one row until all
+    levels are looked up.  Only the list of levels, 23 at most, reaches the driver.
     """
-    cal = day_bucketed(calendar, lo, hi, "_bucket_day")
     names = {c: f"_cal_{c}" for c in {lo, hi, *keep, *[c for _, c in on]}}
-    cal = cal.select("_bucket_day", *[F.col(c).alias(n) for c, n in names.items()])
-    t, a, b = F.col(ts), F.col(names[lo]), F.col(names[hi])
-    inside = (t >= a) & ((t <= b) if ends == "both" else (t < b))
-    cond = (F.to_date(t) == F.col("_bucket_day")) & inside
-    for ev, ca in on:
-        cond = cond & (F.col(ev) == F.col(names[ca]))
-    joined = events.join(cal, cond, how)
+    cal = dyadic_blocks(calendar, lo, hi).select("_level", "_block", *[F.col(c).alias(n) for c, n in names.items()])
+    levels = sorted(r["_level"] for r in cal.select("_level").distinct().collect()) or [0]
+    t, day = F.col(ts), _day_number(F.col(ts))
     out = [F.col(names[c]).alias(c) for c in keep]
-    return joined.select(*[events[c] for c in events.columns], *out)
+
+    def inside(a: Column, b: Column) -> Column:
+        return (t >= a) & ((t <= b) if ends == "both" else (t < b))
+
+    def same_block(level: int, block: str) -> Column:
+        cond = F.shiftright(day, level) == F.col(block)
+        for ev, ca in on:
+            cond = cond & (F.col(ev) == F.col(names[ca]))
+        return cond
+
+    if len(levels) == 1:
+        cond = same_block(levels[0], "_block") & inside(F.col(names[lo]), F.col(names[hi]))
+        return events.join(cal.drop("_level"), cond, how).select(*[events[c] for c in events.columns], *out)
+    joined, found = events, []
+    fields = dict.fromkeys([lo, hi, *keep])
+    for level in levels:
+        by = [F.col("_block").alias(f"_block_{level}"), *[F.col(names[c]) for _, c in on]]
+        one = cal.where(F.col("_level") == level).groupBy(*by).agg(
+            F.collect_list(F.struct(*[F.col(names[c]) for c in fields])).alias(f"_periods_{level}"))
+        joined = joined.join(one, same_block(level, f"_block_{level}"), "left").drop(f"_block_{level}", *[names[c] for _, c in on])
+        found.append(F.filter(F.col(f"_periods_{level}"), lambda p: inside(p[names[lo]], p[names[hi]])))
+    every = F.flatten(F.filter(F.array(*found), lambda p: p.isNotNull()))
+    unfold = F.inline_outer if how == "left" else F.inline
+    return joined.select(*events.columns, unfold(every)).select(*events.columns, *out)
 
 
 LAST_DAY = dt.date(9999, 12, 31)
@@ -101,16 +134,43 @@ def spine_of(dimension: DataFrame, values: Sequence, name: str) -> DataFrame:
     return dimension.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
 
 
+UNFOLDED = 4096  # code rows that one value may hold
+CELL_ROWS = 1 << 16
+
+
 def spine_table(dimension: DataFrame, codes: DataFrame) -> DataFrame:
     """Every dimension row once per row of a code table.
 
-    The code rows are gathered into one array (a scalar subquery) that every
-    dimension row unfolds, so neither side is dealt out anew and there is no join.
+    A short code table is gathered into one array (a scalar subquery) that every
+    dimension row unfolds, so neither side is dealt out anew and there is no join.  The rows are
+    counted as they are gathered, one more than allowed at most; a longer table meets the dimension in
+    blocks, both sides distributed (``block_product``).
     """
+    if codes.limit(UNFOLDED + 1).count() > UNFOLDED:
+        return block_product(dimension, codes)
     listed = codes.agg(F.collect_list(F.struct(*codes.columns))).scalar()
     return dimension.withColumn("_codes", listed).select(*dimension.columns, F.inline("_codes"))
 
 
+def block_product(left: DataFrame, right: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Every row of one side with every row of the other, as an equality join of blocks.
+
+    Each side is dealt by a hash of its rows to as many blocks as it has rows for, and each
+    block meets all blocks of the other side in a cell of its own.  So a row is copied once per
+    block of the other side, a cell holds about the rows of one block of each (equal rows
+    share a block), and nothing passes the driver but the two counts.
+    """
+    sides = {"_left": left, "_right": right}
+    blocks = {name: max(1, -(-df.count() // cell_rows)) for name, df in sides.items()}
+    dealt = []
+    for own, other in (("_left", "_right"), ("_right", "_left")):
+        df = sides[own]
+        block = F.pmod(F.xxhash64(*df.columns), F.lit(blocks[own])).cast("int")  # the same again if a task is
+        every = F.explode(F.sequence(F.lit(0), F.lit(blocks[other] - 1)))
+        dealt.append(df.select("*", block.alias(own)).select("*", every.alias(other)))
+    return dealt[0].join(dealt[1], ["_left", "_right"]).select(*[dealt[0][c] for c in left.columns], *[dealt[1][c] for c in right.columns])
+
+
 def code_table(rows: Sequence[tuple], ddl: str) -> Column:
     """A short literal table as one array column (to be inlined); a value that does not fit its type fails."""
 

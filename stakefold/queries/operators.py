@@ -345,6 +345,29 @@ def _(t):
     )
 
 
+@query(
+    "interval_join_mixed",
+    f""", {_CAL}, every AS (SELECT strftime(actualdate, '%Y-%m-%d') AS label, lo, hi FROM cal
+    UNION ALL SELECT 'month-' || strftime(m, '%m'), CAST(m AS TIMESTAMP), CAST(m AS TIMESTAMP) + INTERVAL 31 DAYS
+      FROM (SELECT DISTINCT date_trunc('month', actualdate) AS m FROM cal)
+    UNION ALL SELECT 'open', CAST(min(actualdate) AS TIMESTAMP) + INTERVAL 36 HOURS, TIMESTAMP '9999-12-31 00:00:00' FROM cal)
+    SELECT c.label, count(*) AS n, CAST(sum(CAST(e.value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total
+    FROM events e LEFT JOIN every c ON e.ts BETWEEN c.lo AND c.hi GROUP BY 1""",
+)
+def _(t):
+    events = t.events.select(F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("value").cast("decimal(18,2)").alias("value"))
+    days = events.select(F.col("ts").cast("date").alias("d")).distinct()
+    start = F.col("d").cast("timestamp_ntz")
+    daily = days.select(F.date_format("d", "yyyy-MM-dd").alias("label"), (start + D.hours(1.5)).alias("lo"), (start + D.hours(25.5)).alias("hi"))
+    monthly = days.select(F.trunc("d", "month").alias("d")).distinct().select(
+        F.concat(F.lit("month-"), F.date_format("d", "MM")).alias("label"), start.alias("lo"), (start + D.hours(31 * 24)).alias("hi"))
+    last = D.ts_lit(dt.datetime(9999, 12, 31))
+    always = days.agg(F.min("d").alias("d")).select(F.lit("open").alias("label"), (start + D.hours(36)).alias("lo"), last.alias("hi"))
+    cal = StageArea.scratch(t.spark).put(reduce(DataFrame.unionByName, [daily, monthly, always]), "calendar")
+    return O.interval_join(events, cal, "ts", "lo", "hi", ["label"]).groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").cast("decimal(28,2)").alias("total"))
+
+
 _RATES = "rates AS (SELECT * FROM (VALUES (7.00::DECIMAL(9,2), DATE '1995-01-01', DATE '1997-03-31'), (8.00, DATE '1997-04-01', DATE '1999-12-31'), (9.00, DATE '2000-01-01', NULL)) v(rate, s, e))"
 
 
@@ -380,6 +403,18 @@ def _(t):
     return joined.groupBy("taxed").agg(F.count(F.lit(1)).alias("n"), F.sum("price").cast("decimal(28,2)").alias("price"))
 
 
+@query(
+    "history_by_keys",
+    """SELECT l_returnflag, count(*) AS n, CAST(sum(price) AS DECIMAL(28,2)) AS total FROM lines
+    WHERE l_orderkey IN (SELECT o_orderkey FROM sales WHERE prodid = 1 AND o_orderstatus = 'F') GROUP BY 1""",
+)
+def _(t):
+    keys = t.sales.where("prodid = 1 AND o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    possible = t.lines.where(O.key_filter(keys, "l_orderkey").test("l_orderkey"))  # tested in the scan, exact by the join
+    return possible.join(keys, "l_orderkey", "left_semi").groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("price").cast("decimal(28,2)").alias("total"))
+
+
 @query("exists_flag", "SELECT o_orderkey, EXISTS (SELECT 1 FROM lines l WHERE l.l_orderkey = s.o_orderkey AND l.l_returnflag = 'R') AS returned FROM sales s")
 def _(t):
     back = t.lines.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey"))
@@ -517,6 +552,17 @@ def _(t):
     return O.max_then_sum(rows, ["c_custkey"], ["c_nationkey"], "b", "s").select("c_nationkey", F.col("s").cast("decimal(28,2)").alias("bal"))
 
 
+@query(
+    "ordered_texts",
+    """SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS grp,
+    string_agg(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), ',' ORDER BY l_orderkey * 10 + l_linenumber DESC) AS boards FROM lines GROUP BY 1""",
+)
+def _(t):
+    order, grp = F.col("l_orderkey"), F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_orderkey"))  # a third in one group
+    rows = t.lines.select(grp.alias("grp"), (order * 10 + F.col("l_linenumber")).alias("board"))
+    return O.ordered_texts(rows, ["grp"], "board", ",", "boards", descending=True)
+
+
 @query("ordered_concat", "SELECT l_orderkey, string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber DESC) AS boards FROM lines GROUP BY 1")
 def _(t):
     return t.lines.groupBy("l_orderkey").agg(O.ordered_concat(F.col("l_linenumber"), ",", descending=True).alias("boards"))

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,74 @@ def test_max_then_sum(spark):
     assert rows(got, "s") == [(9,)]
 
 
+@pytest.mark.parametrize(("how", "ends"), [("left", "both"), ("inner", "both"), ("left", "left"), ("inner", "left")])
+def test_interval_join_of_periods_of_any_length(spark, how, ends):
+    chance, base = random.Random(5), dt.datetime(2024, 1, 1)
+    periods = [(n, n % 3, base + dt.timedelta(hours=chance.randrange(2000)), None) for n in range(80)]
+    periods = [(n, k, lo, lo + dt.timedelta(hours=chance.choice([0, 1, 5, 24, 100, 900]))) for n, k, lo, _ in periods]
+    periods += [(100, 1, base, dt.datetime(9999, 12, 31)), (101, 1, None, base), (102, 2, base, None), (103, 0, base, base - dt.timedelta(1)),
+                (104, None, base, dt.datetime(2025, 1, 1)), (105, 2, dt.datetime(1950, 1, 1), dt.datetime(1970, 1, 2))]
+    times = [(i, i % 3, base + dt.timedelta(hours=chance.randrange(-50, 2500))) for i in range(150)]
+    times += [(200, 1, None), (201, None, base), (202, 1, dt.datetime(2500, 1, 1)), (203, 2, dt.datetime(1969, 12, 31, 5)), (204, 0, periods[0][2])]
+    ev = spark.createDataFrame(times, "id int, k int, at timestamp_ntz")
+    cal = spark.createDataFrame(periods, "n int, k int, lo timestamp_ntz, hi timestamp_ntz")
+    assert cal.count() < O.dyadic_blocks(cal, "lo", "hi").count() <= 2 * cal.count()
+    got = O.interval_join(ev, cal, "at", "lo", "hi", ["n", "k"], on=[("k", "k")], how=how, ends=ends)
+    assert got.columns == ["id", "k", "at", "n", "k"]
+    got = sorted(((r[0], r[3]) for r in got.collect()), key=str)
+    want = []
+    for i, k, at in times:
+        own = [n for n, c, lo, hi in periods if at and lo and hi and lo <= hi and k is not None and k == c
+               and lo <= at and (at <= hi if ends == "both" else at < hi)]
+        want += [(i, n) for n in own or ([None] if how == "left" else [])]
+    assert got == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("cell", [1, 7, 1000])
+def test_block_product_is_every_pair_once(spark, cell):
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, "c")], "x int, s string").repartition(3)
+    right = spark.range(23).select(F.col("id").alias("y"), F.lit("k").alias("t")).repartition(2)
+    got = O.block_product(left, right, cell_rows=cell)
+    assert got.columns == ["x", "s", "y", "t"]
+    want = sorted(str((a.x, a.s, b.y, b.t)) for a in left.collect() for b in right.collect())
+    assert sorted(str(tuple(r)) for r in got.collect()) == want
+    assert O.block_product(left.where("false"), right, cell).collect() == [] == O.block_product(left, right.where("false"), cell).collect()
+
+
+def test_a_code_table_of_a_million_rows_stays_distributed(spark):
+    codes = spark.range(1_000_000).toDF("code")
+    got = O.spine_table(spark.createDataFrame([("a",), ("b",), ("c",)], "k string"), codes)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+    assert [tuple(r) for r in got.groupBy("k").agg(F.count_distinct("code").alias("n"), F.count("code").alias("m")).orderBy("k").collect()] == [
+        (k, 1_000_000, 1_000_000) for k in "abc"]
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_ordered_texts_of_a_hot_group(spark, descending):
+    chance = random.Random(2)
+    data = [("hot" if i % 3 == 0 else f"g{i % 40}", chance.randrange(500) if i % 11 else None) for i in range(3000)]
+    data += [(None, 5), (None, 7), ("nulls", None), ("nulls", None)]
+    df = spark.createDataFrame(data, "k string, v int")
+    want = {}
+    for k, v in data:
+        want.setdefault(k, []).append(v)
+    want = {k: " ".join(map(str, sorted((v for v in own if v is not None), reverse=descending))) for k, own in want.items()}
+    got = {r.k: r.t for r in O.ordered_texts(df, ["k"], "v", " ", "t", descending).collect()}
+    assert got == want
+    assert O.ordered_texts(df.where("false"), ["k"], "v", " ", "t").collect() == []
+
+
+def test_an_open_period_makes_few_rows(spark):
+    cal = spark.createDataFrame([(dt.datetime(2024, 1, 5), dt.datetime(9999, 12, 31))], "lo timestamp_ntz, hi timestamp_ntz")
+    assert O.dyadic_blocks(cal, "lo", "hi").count() <= 2
+    ev = spark.createDataFrame([(dt.datetime(2024, 1, 4),), (dt.datetime(5000, 1, 1),)], "at timestamp_ntz")
+    got = O.interval_join(ev, cal.withColumn("n", F.lit(1)), "at", "lo", "hi", ["n"]).collect()
+    assert sorted((r["at"].year, r["n"]) for r in got) == [(2024, None), (5000, 1)]
+    none = O.interval_join(ev, cal.where("false").withColumn("n", F.lit(1)), "at", "lo", "hi", ["n"])
+    assert [r["n"] for r in none.collect()] == [None, None]
+
+
 def test_ordered_concat_sorts_numbers_as_numbers(spark):
     df = spark.createDataFrame([(1, 9), (1, 10), (1, 2), (1, None)], "k int, v int")
     got = df.groupBy("k").agg(O.ordered_concat(F.col("v"), " ", descending=True).alias("t"))
