@@ -23,23 +23,30 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
+NEVER = float("-inf")
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 class Words(dict):
-    """Pieces by word; emptied when it holds too many, long words are not kept."""
+    """Pieces by word, as ids and as text, in two generations that bound the memory: when the newer one is full it becomes
+    the older, and what is used again moves up.  Long words are not kept."""
 
     def __init__(self, encode, most: int = 300_000, longest: int = 48) -> None:
         super().__init__()
         self.encode, self.most, self.longest = encode, most, longest
+        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        pieces = tuple(self.encode(word))
+    def __missing__(self, word: str) -> tuple[tuple[int, ...], str]:
+        found = self.older.get(word)
+        if found is None:
+            ids = tuple(self.encode(word))
+            found = ids, " ".join(map(str, ids))
         if len(word) <= self.longest:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
-            self[word] = pieces
-        return pieces
+            self[word] = found
+        return found
 
 
 class MergeEncoder:
@@ -56,24 +63,26 @@ class MergeEncoder:
         self.end = self.library.eos_id()
         self.automaton = ahocorasick.Automaton()
         for p, i in self.id.items():
-            self.automaton.add_word(p, (i, len(p)))
+            self.automaton.add_word(p, i)
         self.automaton.make_automaton()
         self.shorter: dict[int, int] = {}
+        self.length = list(map(len, self.piece))
         self.compatible: dict[tuple[int, int], bool] = {}
         self.words = Words(self.encode_word)
         self.cut = re.compile(f"{SPACE}+[^{SPACE}]*")
-        self.decimal = [str(i) for i in range(size)]
 
     def merged(self, text: str) -> list[str]:
         """The definition: merge the adjacent pair of the best score, the leftmost of equals, until none is a piece."""
-        parts = list(text)
-        while True:
-            best = max(((self.score[p], -i) for i in range(len(parts) - 1) if (p := parts[i] + parts[i + 1]) in self.score),
-                       default=None)
-            if best is None:
-                return parts
-            i = -best[1]
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        parts, score = list(text), self.score
+        scores = [score.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) > NEVER:
+            i = scores.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            for j in (i - 1, i):
+                if 0 <= j < len(scores):
+                    scores[j] = score.get(parts[j] + parts[j + 1], NEVER)
+        return parts
 
     def fits(self, before: int, piece: int) -> bool:
         """Whether merging gives these two pieces again; before is -1 at the start and -2 after a character without piece."""
@@ -98,10 +107,23 @@ class MergeEncoder:
         return found
 
     def encode_word(self, word: str) -> list[int]:
-        size = len(word)
+        size, length, known = len(word), self.length, self.compatible
         longest = [-1] * size
-        for last, (piece, length) in self.automaton.iter(word):
-            longest[last - length + 1] = piece  # ends ascend: the longest at a place comes last
+        for last, piece in self.automaton.iter(word):
+            longest[last - length[piece] + 1] = piece  # ends ascend: the longest at a place comes last
+        # many words are their longest pieces in a row: nothing fails, so there is nothing to go back to
+        straight: list[int] = []
+        at, before = 0, -1
+        while at < size:
+            piece = longest[at]
+            if piece < 0 or not (known.get((before, piece)) or self.fits(before, piece)):
+                return self._backtracked(word, longest)
+            straight.append(piece)
+            at, before = at + length[piece], piece
+        return straight
+
+    def _backtracked(self, word: str, longest: list[int]) -> list[int]:
+        size, length, compatible = len(word), self.length, self.compatible
         failed = bytearray(size // 8 + 1)
         found: list[tuple[int, int]] = []  # piece (or -2 for a character without one) and its start
         at, piece = 0, longest[0] if size else -1
@@ -113,10 +135,13 @@ class MergeEncoder:
                 continue
             before = found[-1][0] if found else -1
             while piece >= 0:
-                end = at + len(self.piece[piece])
-                if not failed[end >> 3] >> (end & 7) & 1 and self.fits(before, piece):
-                    break
-                piece = self.next_shorter(piece)
+                end = at + length[piece]
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    fits = compatible.get((before, piece))
+                    if self.fits(before, piece) if fits is None else fits:
+                        break
+                shorter = self.shorter.get(piece)
+                piece = self.next_shorter(piece) if shorter is None else shorter
             if piece >= 0:
                 found.append((piece, at))
                 at = end
@@ -138,8 +163,17 @@ class MergeEncoder:
         """Ids of a whole text without the end id."""
         if not text:
             return []
-        shown = SPACE + text.replace(" ", SPACE)
-        return list(chain.from_iterable(map(self.words.__getitem__, self.cut.findall(shown))))
+        return list(chain.from_iterable(ids for ids, _ in self._words(text)))
+
+    def encode_shown(self, text: str) -> tuple[list[int], str]:
+        """Ids of a whole text with the end id, and their decimals joined by spaces."""
+        words = self._words(text) if text else []
+        ids = list(chain.from_iterable([w[0] for w in words]))
+        ids.append(self.end)
+        return ids, " ".join([*(w[1] for w in words), str(self.end)])
+
+    def _words(self, text: str) -> list[tuple[tuple[int, ...], str]]:
+        return list(map(self.words.__getitem__, self.cut.findall(SPACE + text.replace(" ", SPACE))))
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
@@ -159,8 +193,7 @@ def encode_documents(docs: DataFrame, model_file: str, key: str = "doc_id", text
         for batch in batches:
             rows = []
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = [*model.encode(value or ""), model.end]
-                shown = " ".join(map(model.decimal.__getitem__, ids))
+                ids, shown = model.encode_shown(value or "")
                 rows.append((doc, len(ids), hashlib.sha256(shown.encode()).hexdigest(),
                              hashlib.sha256(model.decode(ids).encode()).hexdigest()))
             if rows:
