@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ EMPTY = "-"
 BUCKET_BITS = 24
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
+DEALT = "place int, tail boolean, doc_id long, no_id boolean, tie long, packed binary"
 
 
 @dataclass(frozen=True)
@@ -174,8 +176,9 @@ def likeness(one: list[str], other: list[str], per_rate: int) -> float:
 
 
 def with_successors(docs: DataFrame) -> DataFrame:
-    """(place, tail, doc_id, text): each row in the place of its range of ids, sorted; the first row of a range comes
-    a second time, marked as tail, at the end of the range before it (the first of all at the end of the last).
+    """(place, tail, doc_id, no_id, tie, packed): each row in the place of its range of ids, sorted; the first row of a
+    range comes a second time, marked as tail, at the end of the range before it (the first of all at the end of the
+    last).  packed is the text, compressed before it is shuffled; tie is a hash of it, which orders rows of one id.
 
     The bounds of the ranges are quantiles of doc_id; only they and the smallest id of each range reach the driver."""
     spark = docs.sparkSession
@@ -192,20 +195,28 @@ def with_successors(docs: DataFrame) -> DataFrame:
     starts = sorted((r["place"], r["first"]) for r in firsts.collect())
     before = {first: starts[i - 1][0] for i, (_, first) in enumerate(starts)}
 
-    def places(ids: pd.Series) -> pd.Series:
-        values = ids.to_numpy(np.int64)
-        return pd.Series([[own] if i not in before else [own, -1 - before[i]]
-                          for own, i in zip(np.searchsorted(bounds, values, side="right").tolist(), values.tolist())])
-
-    dealt = rows.withColumn("at", F.explode(F.pandas_udf(places, "array<int>")("doc_id")))
-    dealt = dealt.select(F.when(F.col("at") < 0, -1 - F.col("at")).otherwise(F.col("at")).alias("place"),
-                         (F.col("at") < 0).alias("tail"), "doc_id", "no_id", "text")
-    return dealt.repartition(parts, "place").sortWithinPartitions("place", "tail", "doc_id", "text")
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            ids, no_id = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+            texts = [text.encode() for text in batch.column(2).to_pylist()]
+            own = np.searchsorted(bounds, ids, side="right")
+            again = np.array([i for i, known in enumerate(ids.tolist()) if known in before], np.int64)
+            rows = np.concatenate([np.arange(len(ids)), again])
+            place = np.concatenate([own, [before[i] for i in ids[again].tolist()]])
+            ties = np.fromiter(map(xxhash.xxh64_intdigest, texts), np.uint64, len(texts)).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(place.astype(np.int32)), pa.array(np.arange(len(rows)) >= len(ids)), pa.array(ids[rows]), pa.array(no_id[rows]),
+                 pa.array(ties[rows]), pa.array(list(map(pack, texts)), pa.binary()).take(pa.array(rows))],
+                [f.split()[0] for f in DEALT.split(", ")])
+
+    return rows.select("doc_id", "no_id", "text").mapInArrow(deal, DEALT).repartition(parts, "place").sortWithinPartitions(
+        "place", "tail", "doc_id", "tie", "packed")
 
 
 def fingerprint_documents(docs: DataFrame, band: Band = Band()) -> DataFrame:
     """Fingerprints of every document and of its edited text: the last quarter of its code points replaced by as many
-    from the start of the next document (ascending doc_id, equal ids by text; after the last comes the first).
+    from the start of the next document (ascending doc_id, equal ids by a hash of their texts; after the last comes the first).
 
     Null texts count as empty, a null doc_id comes before all others.  Repeated rows each give a row.  Columns other
     than doc_id and text are not read.  An empty table gives no rows."""
@@ -213,13 +224,15 @@ def fingerprint_documents(docs: DataFrame, band: Band = Band()) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fingerprint = Printer(shared.value, band)
+        unpack = zstandard.ZstdDecompressor().decompress
         waiting: tuple | None = None  # place, doc_id, text, fingerprint
         for batch in batches:
             out = []
-            columns = [batch.column(i).to_pylist() for i in range(5)]
-            for place, tail, doc, no_id, text in zip(*columns, strict=True):
+            columns = [batch.column(i).to_pylist() for i in (0, 1, 2, 3, 5)]
+            for place, tail, doc, no_id, packed in zip(*columns, strict=True):
                 if tail and waiting is None:
                     continue
+                text = unpack(packed).decode()
                 own = fingerprint(text)
                 if waiting is not None:
                     out.append(compared(fingerprint, *waiting[1:], text, own))
