@@ -122,22 +122,23 @@ def may_match(a: str, b: str, percent: int) -> Column:
 
 
 def classes(lines: DataFrame) -> DataFrame:
-    """(h1, n, s0, s1, d, l, copies): the sets of words, size and sketch, first line and number of lines."""
+    """(h1, n, s0, s1, prefix, d, l, copies): the sets of words, size, sketch and rarest words, first line and number of lines."""
     place = F.struct(F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
-    found = lines.groupBy("h1").agg(*[F.min(c).alias(c) for c in ("n", "s0", "s1")], F.min(place).alias("first"), F.count("*").alias("copies"))
-    return found.select("h1", "n", "s0", "s1", "first.d", "first.l", "copies")
+    found = lines.groupBy("h1").agg(*[F.min(c).alias(c) for c in ("n", "s0", "s1", "prefix")], F.min(place).alias("first"),
+                                    F.count("*").alias("copies"))
+    return found.select("h1", "n", "s0", "s1", "prefix", "first.d", "first.l", "copies")
 
 
-def shared_pairs(lines: DataFrame) -> DataFrame:
+def shared_pairs(sets: DataFrame) -> DataFrame:
     """(pair, h1, at): digests of neighbouring words that the prefixes of several classes have, with these classes and
-    the place of the first word."""
-    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    the place of the first word.  A class has a pair once, as its words are distinct."""
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     both = F.arrays_zip(F.slice("prefix", F.lit(1), F.size("prefix") - 1).alias("a"), F.slice("prefix", F.lit(2), F.size("prefix")).alias("b"))
-    rows = lines.where(F.size("prefix") > 1).select("h1", F.posexplode(both).alias("at", "both"))
+    rows = sets.where(F.size("prefix") > 1).select("h1", F.posexplode(both).alias("at", "both"))
     rows = rows.select(F.xxhash64("both.a", "both.b").alias("pair"), "h1", "at").repartition(parts, "pair")
     pair = Window.partitionBy("pair")
     several = rows.withColumns({"low": F.min("h1").over(pair), "high": F.max("h1").over(pair)}).where("low <> high")
-    return several.select("pair", "h1", "at").distinct()
+    return several.select("pair", "h1", "at")
 
 
 def sharing_enough(pairs: DataFrame, settings: Settings) -> DataFrame:
@@ -195,20 +196,22 @@ def removed_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = known.where("doc_id is not null and text is not null")
     lines = common.stored(line_table(known, settings), "lines")
-    shared = common.stored(shared_pairs(lines), "shared-pairs")
-    rows = common.stored(shared.join(classes(lines).drop("copies"), "h1"), "candidates")
+    sets = common.stored(classes(lines), "line-sets")
+    shared = common.stored(shared_pairs(sets), "shared-pairs")
+    rows = common.stored(shared.join(sets.drop("copies", "prefix"), "h1"), "candidates")
+    common.drop_stored(shared)
     # A class that matches a class which is the earliest of some of its pairs is settled; only the others meet all earlier ones, so
     # a large family of near copies is not compared one by one.
     near_first = matching(known, earliest_pairs(rows, settings).checkpoint(), settings).checkpoint()
     others = other_pairs(rows, near_first, settings).checkpoint()
     later = near_first.unionAll(matching(known, others, settings)).checkpoint()
-    common.drop_stored(shared, rows)
-    marked = classes(lines).join(later.withColumn("later", F.lit(True)), ["d", "l"], "left").where("later or copies > 1")
+    common.drop_stored(rows)
+    marked = sets.drop("prefix").join(later.withColumn("later", F.lit(True)), ["d", "l"], "left").where("later or copies > 1")
     gone = lines.select("doc_id", "line_no", "h1").join(marked.select("h1", "d", "l", "later"), "h1")
     place = F.struct(F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
     gone = gone.where(F.col("later") | (place > F.struct("d", "l")))
     gone = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed")).checkpoint()
-    common.drop_stored(lines)
+    common.drop_stored(lines, sets)
     return gone
 
 
