@@ -10,8 +10,10 @@ of words that are neighbours in the order.  A word that only one of two lines ha
 its own line and one of the other, so lines of sizes n and m <= n that match have all but 2(n - k) + (m - k) of the
 pairs of the longer in common, k being their intersection: at most 2(1 - t)n of n - 1.  The first 2(1 - t)n + 2 pairs
 of both, in the order of rarity, therefore share two (or the one that very short lines need).  Lengths, the places
-of the pairs and a small sketch of either set are checked too, and what passes is verified on the words themselves: first against the earliest class of each pair, then, where that fails,
-against all earlier ones.  A line goes if an earlier line (by doc_id, then place in the document) matches it.
+of the pairs and a small sketch of either set are checked too, and what passes is verified on the words themselves: first against the
+earliest class of each pair, then, where that fails, against all earlier ones.  A pair that many classes have belongs
+to a family of lines that are nearly alike; there the join itself compares the hashes of all words, so that only
+matches become rows.  Two classes that share a crowded pair are found by it, all others share enough pairs of few classes.  A line goes if an earlier line (by doc_id, then place in the document) matches it.
 """
 
 from __future__ import annotations
@@ -30,9 +32,12 @@ RANK_SHIFT = 56  # a word's key: 7 bits of rarity above 56 bits of hash
 
 @dataclass(frozen=True)
 class Settings:
-    """Lines with 100 * intersection >= percent * union match; slots is the size of the table of word counts."""
+    """Lines with 100 * intersection >= percent * union match; slots is the size of the table of word counts.  In pairs of
+    more than crowd classes, candidates are compared by hashes of all their words before they become rows."""
 
     percent: int = 80
+    crowd: int = 64
+    mark_bits: int = 32
     pairs_shared: int = 2
     slots: int = 1 << 18
     id_slots: int = 1 << 20
@@ -129,16 +134,17 @@ def classes(lines: DataFrame) -> DataFrame:
     return found.select("h1", "n", "s0", "s1", "prefix", "first.d", "first.l", "copies")
 
 
-def shared_pairs(sets: DataFrame) -> DataFrame:
-    """(pair, h1, at): digests of neighbouring words that the prefixes of several classes have, with these classes and
-    the place of the first word.  A class has a pair once, as its words are distinct."""
+def shared_pairs(sets: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(pair, h1, at, crowded): digests of neighbouring words that the prefixes of several classes have, with these
+    classes, the place of the first word, and whether the pair has more than crowd classes.  A class has a pair once, as
+    its words are distinct."""
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     both = F.arrays_zip(F.slice("prefix", F.lit(1), F.size("prefix") - 1).alias("a"), F.slice("prefix", F.lit(2), F.size("prefix")).alias("b"))
     rows = sets.where(F.size("prefix") > 1).select("h1", F.posexplode(both).alias("at", "both"))
     rows = rows.select(F.xxhash64("both.a", "both.b").alias("pair"), "h1", "at").repartition(parts, "pair")
     pair = Window.partitionBy("pair")
     several = rows.withColumns({"low": F.min("h1").over(pair), "high": F.max("h1").over(pair)}).where("low <> high")
-    return several.select("pair", "h1", "at")
+    return several.select("pair", "h1", "at", (F.count("*").over(pair) > settings.crowd).alias("crowded"))
 
 
 def sharing_enough(pairs: DataFrame, settings: Settings) -> DataFrame:
@@ -157,15 +163,44 @@ def earliest_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
     return sharing_enough(both.select("x.d", "x.l", F.col("e.d").alias("ed"), F.col("e.l").alias("el"), "x.n", F.col("e.n").alias("en")), settings)
 
 
-def other_pairs(rows: DataFrame, settled: DataFrame, settings: Settings) -> DataFrame:
-    """(d, l, ed, el): classes not settled yet and all earlier classes that share enough of their pairs."""
-    x, y = rows.join(settled, ["d", "l"], "left_anti").drop("h1").alias("x"), rows.drop("h1").alias("y")
+def earlier_in_pair() -> Column:
+    """Whether y is an earlier class of the same pair as x."""
     earlier = (F.col("y.d") < F.col("x.d")) | ((F.col("y.d") == F.col("x.d")) & (F.col("y.l") < F.col("x.l")))
-    pairs = x.join(y, (F.col("x.pair") == F.col("y.pair")) & earlier & may_match("x", "y", settings.percent))
+    return (F.col("x.pair") == F.col("y.pair")) & earlier
+
+
+def other_pairs(rows: DataFrame, settled: DataFrame, settings: Settings) -> DataFrame:
+    """(d, l, ed, el): classes not settled yet and all earlier classes that share enough of their pairs, where none of
+    these pairs is crowded."""
+    few = rows.where(~F.col("crowded")).drop("h1", "crowded")
+    x, y = few.join(settled, ["d", "l"], "left_anti").alias("x"), few.alias("y")
+    pairs = x.join(y, earlier_in_pair() & may_match("x", "y", settings.percent))
     return sharing_enough(pairs.select("x.d", "x.l", F.col("y.d").alias("ed"), F.col("y.l").alias("el"), "x.n",
                                        F.col("y.n").alias("en")), settings)
 
 
+def crowd_table(docs: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of crowded pairs with short hashes of all words of their class (marks), and how many words the marks
+    may fall short of, by hashes that two words of the line share."""
+    crowded = rows.where("crowded").drop("h1", "crowded")
+    wanted = crowded.select("d", "l").distinct()
+    lines = split_lines(docs).withColumnsRenamed({"doc_id": "d", "line_no": "l"})
+    marks = F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w).bitwiseAND(F.lit((1 << settings.mark_bits) - 1))))
+    found = lines.where(may_be_in(wanted, ["d", "l"], settings.id_slots)).join(wanted, ["d", "l"]).select("d", "l", marks.alias("marks"))
+    return crowded.join(found, ["d", "l"]).withColumn("short", F.col("n") - F.size("marks"))
+
+
+def crowded_pairs(crowd: DataFrame, settled: DataFrame, settings: Settings) -> DataFrame:
+    """(d, l, ed, el): classes not settled yet and all earlier classes of their crowded pairs that have as many marks in
+    common as matching sets must have.  Nearly alike lines of a large family, which no shared pair tells apart, are so told
+    apart inside the join; what it gives are matches, but for words whose hashes are equal."""
+    x, y = crowd.join(settled, ["d", "l"], "left_anti").alias("x"), crowd.alias("y")
+    common_marks = F.size(F.array_intersect("x.marks", "y.marks")) + F.least("x.short", "y.short")
+    enough = common_marks >= overlap_needed(F.col("x.n"), F.col("y.n"), settings.percent)
+    pairs = x.join(y, earlier_in_pair() & may_match("x", "y", settings.percent) & enough)
+    return pairs.select("x.d", "x.l", F.col("y.d").alias("ed"), F.col("y.l").alias("el")).distinct()
+
+
 def may_be_in(ids: DataFrame, names: list[str], slots: int) -> Column:
     """Whether the slot of a key holds one of the ids; a table of bits of fixed size, without false negatives."""
     slot = F.pmod(F.xxhash64(*names), F.lit(slots))
@@ -197,15 +232,17 @@ def removed_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
     known = known.where("doc_id is not null and text is not null")
     lines = common.stored(line_table(known, settings), "lines")
     sets = common.stored(classes(lines), "line-sets")
-    shared = common.stored(shared_pairs(sets), "shared-pairs")
+    shared = common.stored(shared_pairs(sets, settings), "shared-pairs")
     rows = common.stored(shared.join(sets.drop("copies", "prefix"), "h1"), "candidates")
     common.drop_stored(shared)
-    # A class that matches a class which is the earliest of some of its pairs is settled; only the others meet all earlier ones, so
-    # a large family of near copies is not compared one by one.
+    # A class that matches a class which is the earliest of some of its pairs is settled; only the others meet all earlier ones.
     near_first = matching(known, earliest_pairs(rows, settings).checkpoint(), settings).checkpoint()
     others = other_pairs(rows, near_first, settings).checkpoint()
-    later = near_first.unionAll(matching(known, others, settings)).checkpoint()
+    crowd = common.stored(crowd_table(known, rows, settings), "crowds")
     common.drop_stored(rows)
+    others = others.unionAll(crowded_pairs(crowd, near_first, settings).checkpoint())
+    later = near_first.unionAll(matching(known, others, settings)).distinct().checkpoint()
+    common.drop_stored(crowd)
     marked = sets.drop("prefix").join(later.withColumn("later", F.lit(True)), ["d", "l"], "left").where("later or copies > 1")
     gone = lines.select("doc_id", "line_no", "h1").join(marked.select("h1", "d", "l", "later"), "h1")
     place = F.struct(F.col("doc_id").alias("d"), F.col("line_no").alias("l"))

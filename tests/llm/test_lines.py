@@ -101,3 +101,28 @@ def test_candidate_ids_have_no_false_negatives(spark):
     kept = every.where(lines.may_be_in(ids, ["doc_id"], 1 << 12))
     assert kept.join(ids, "doc_id", "left_semi").distinct().count() == 300
     assert kept.count() < 0.2 * every.count()
+
+
+@pytest.mark.parametrize("crowd", [1, 3, 64])
+def test_families_of_nearly_alike_lines_by_brute_force(spark, crowd):
+    """Variants of a few lines, most of them just too far from each other; crowded pairs and others find the same."""
+    rng = random.Random(8)
+    base = [[f"w{rng.randrange(3000)}" for _ in range(20)] for _ in range(4)]
+    texts = []
+    for doc in range(120):
+        own = []
+        for _ in range(3):
+            line = list(rng.choice(base))
+            for at in rng.sample(range(20), rng.randrange(0, 6)):
+                line[at] = f"v{rng.randrange(3000)}"
+            own.append(" ".join(line))
+        texts.append((doc, "\n".join(own)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    check(lines.counted(docs, lines.Settings(crowd=crowd)).collect(), texts)
+
+
+def test_marks_that_words_share_lose_no_match(spark):
+    """With marks of two bits nearly all words of a line share theirs; the shortfall makes up for it."""
+    texts = [(d, " ".join(f"w{(i * 7 + (d if i > 17 else 0)) % 900}" for i in range(20))) for d in range(12)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    check(lines.counted(docs, lines.Settings(crowd=1, mark_bits=2)).collect(), texts)
