@@ -173,10 +173,10 @@ def other_pairs(rows: DataFrame, settled: DataFrame, settings: Settings) -> Data
     """(d, l, ed, el): classes not settled yet and all earlier classes that share enough of their pairs, where none of
     these pairs is crowded."""
     few = rows.where(~F.col("crowded")).drop("h1", "crowded")
-    x, y = few.join(settled, ["d", "l"], "left_anti").alias("x"), few.alias("y")
-    pairs = x.join(y, earlier_in_pair() & may_match("x", "y", settings.percent))
-    return sharing_enough(pairs.select("x.d", "x.l", F.col("y.d").alias("ed"), F.col("y.l").alias("el"), "x.n",
-                                       F.col("y.n").alias("en")), settings)
+    # both sides are the same rows, dealt out once; the settled ones go from the few candidates
+    pairs = few.alias("x").join(few.alias("y"), earlier_in_pair() & may_match("x", "y", settings.percent))
+    pairs = pairs.select("x.d", "x.l", F.col("y.d").alias("ed"), F.col("y.l").alias("el"), "x.n", F.col("y.n").alias("en"))
+    return sharing_enough(pairs.join(settled, ["d", "l"], "left_anti"), settings)
 
 
 def crowd_table(docs: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
@@ -232,23 +232,29 @@ def removed_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
     known = known.where("doc_id is not null and text is not null")
     lines = common.stored(line_table(known, settings), "lines")
     sets = common.stored(classes(lines), "line-sets")
+    places = common.stored(lines.select("doc_id", "line_no", "h1"), "line-places")
+    common.drop_stored(lines)
     shared = common.stored(shared_pairs(sets, settings), "shared-pairs")
     rows = common.stored(shared.join(sets.drop("copies", "prefix"), "h1"), "candidates")
-    common.drop_stored(shared)
+    firsts = common.stored(sets.select("h1", "d", "l", "copies"), "line-firsts")
+    common.drop_stored(shared, sets)
     # A class that matches a class which is the earliest of some of its pairs is settled; only the others meet all earlier ones.
-    near_first = matching(known, earliest_pairs(rows, settings).checkpoint(), settings).checkpoint()
-    others = other_pairs(rows, near_first, settings).checkpoint()
+    # Stored, not checkpointed: the shuffles of a stored step go when it ends.
+    earliest = common.stored(earliest_pairs(rows, settings), "earliest-pairs")
+    near_first = common.stored(matching(known, earliest, settings), "settled-lines")
+    others = common.stored(other_pairs(rows, near_first, settings), "other-pairs")
     crowd = common.stored(crowd_table(known, rows, settings), "crowds")
     common.drop_stored(rows)
-    others = others.unionAll(crowded_pairs(crowd, near_first, settings).checkpoint())
-    later = near_first.unionAll(matching(known, others, settings)).distinct().checkpoint()
-    common.drop_stored(crowd)
-    marked = sets.drop("prefix").join(later.withColumn("later", F.lit(True)), ["d", "l"], "left").where("later or copies > 1")
-    gone = lines.select("doc_id", "line_no", "h1").join(marked.select("h1", "d", "l", "later"), "h1")
+    family = common.stored(crowded_pairs(crowd, near_first, settings), "crowded-pairs")
+    later = common.stored(near_first.unionAll(matching(known, others.unionAll(family), settings)).distinct(), "later-lines")
+    common.drop_stored(crowd, earliest, near_first, others, family)
+    marked = firsts.join(later.withColumn("later", F.lit(True)), ["d", "l"], "left").where("later or copies > 1")
+    gone = places.join(marked.select("h1", "d", "l", "later"), "h1")
     place = F.struct(F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
     gone = gone.where(F.col("later") | (place > F.struct("d", "l")))
-    gone = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed")).checkpoint()
-    common.drop_stored(lines, sets)
+    gone = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
+    gone = common.stored(gone, "removed-lines")
+    common.drop_stored(places, firsts, later)
     return gone
 
 
