@@ -36,7 +36,7 @@ FLOOR = -3.0
 class Settings:
     """toxic_documents and clean_documents bound what is learned from, words_per_class and landmarks the machine."""
 
-    toxic_documents: int = 1_500
+    toxic_documents: int = 3_000
     clean_documents: int = 3_000
     words_per_class: int = 1_500
     landmarks: int = 160
@@ -76,31 +76,47 @@ def places(length: int, decay: float, stretch: int) -> tuple[np.ndarray, np.ndar
 
 @dataclass
 class Alphabet:
-    codes: dict[str, int]  # 0 is any other character, 1 a word's border
+    """Numbers of all characters of the words it is made of; 0 is any other character, which no landmark has, 1 a word's border."""
+
+    codes: dict[str, int]
 
     @property
     def size(self) -> int:
         return len(self.codes) + 2
 
     @staticmethod
-    def of(words: Iterable[str], most: int = 62) -> Alphabet:
-        seen = Counter(c for w in words for c in w)
-        return Alphabet({c: i + 2 for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:most])})
+    def of(words: Iterable[str]) -> Alphabet:
+        return Alphabet({c: i + 2 for i, c in enumerate(sorted(set().union(*words)))})
+
+    @functools.cached_property
+    def look(self) -> np.ndarray:
+        table = np.zeros(0x110000, np.int64)
+        table[[ord(c) for c in self.codes]] = list(self.codes.values())
+        return table
 
     def triples(self, words: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
         """For words of one length: rows of subsequence numbers, and the weights of the columns."""
-        length = len(words[0]) + 2
-        look = np.zeros(0x110000, np.int32) if not hasattr(self, "_look") else self._look
-        if not hasattr(self, "_look"):
-            for c, n in self.codes.items():
-                look[ord(c)] = n
-            self._look = look
-        codes = np.ones((len(words), length), np.int32)
-        codes[:, 1:-1] = look[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)].reshape(len(words), -1)
-        i, j, k, weight = places(length, settings.decay, settings.stretch)
+        codes = np.ones((len(words), len(words[0]) + 2), np.int64)
+        codes[:, 1:-1] = self.look[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)].reshape(len(words), -1)
+        i, j, k, weight = places(codes.shape[1], settings.decay, settings.stretch)
         return (codes[:, i] * self.size + codes[:, j]) * self.size + codes[:, k], weight
 
 
+@dataclass
+class Table:
+    """Values by subsequence number, zero for all it does not hold: as large as the landmarks' subsequences, whatever the alphabet."""
+
+    numbers: np.ndarray  # sorted
+    values: np.ndarray  # one more than numbers, the last one zero
+
+    def places(self, numbers: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.numbers, numbers), len(self.numbers) - 1)
+        return np.where(self.numbers[at] == numbers, at, len(self.numbers))
+
+    def __getitem__(self, numbers: np.ndarray) -> np.ndarray:
+        return self.values[self.places(numbers)]
+
+
 def by_length(words: list[str], at_most: int = 4_000) -> Iterator[np.ndarray]:
     """Numbers of words of equal length, in blocks."""
     lengths = np.array([len(w) for w in words])
@@ -113,7 +129,7 @@ def by_length(words: list[str], at_most: int = 4_000) -> Iterator[np.ndarray]:
 @dataclass
 class Machine:
     alphabet: Alphabet
-    table: np.ndarray
+    table: Table
     bias: float
     settings: Settings
     logistic: tuple[float, float, float] = (0.0, 0.0, 0.0)
@@ -160,15 +176,13 @@ def features(alphabet: Alphabet, words: list[str], landmarks: list[str], setting
     """Kernel values of words and landmarks."""
     counted = [alphabet.triples([word], settings) for word in landmarks]
     used = np.unique(np.concatenate([triples[0] for triples, _ in counted]))
-    number = np.zeros(alphabet.size ** 3, np.int32)
-    number[used] = np.arange(1, len(used) + 1)
-    spread = np.zeros((len(used) + 1, len(landmarks)), np.float32)
+    spread = Table(used, np.zeros((len(used) + 1, len(landmarks)), np.float32))
     for column, (triples, weight) in enumerate(counted):
-        np.add.at(spread[:, column], number[triples[0]], weight)
+        np.add.at(spread.values[:, column], spread.places(triples[0]), weight)
     out = np.empty((len(words), len(landmarks)))
     for rows in by_length(words, 100):
         triples, weight = alphabet.triples([words[r] for r in rows], settings)
-        out[rows] = np.tensordot(spread[number[triples]], weight.astype(np.float32), ((1,), (0,)))
+        out[rows] = np.tensordot(spread[triples], weight.astype(np.float32), ((1,), (0,)))
     return out
 
 
@@ -200,10 +214,11 @@ def fit_machine(positive: list[str], negative: list[str], alphabet: Alphabet, se
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     root = vectors / np.sqrt(np.maximum(values, 1e-6))  # Nyström map: kernel values times this
     w = squared_hinge(features(alphabet, words, landmarks, settings) @ root, y, cost)
-    table = np.zeros(alphabet.size ** 3)
-    for word, beta in zip(landmarks, root @ w[:-1], strict=True):
-        triples, weight = alphabet.triples([word], settings)
-        np.add.at(table, triples[0], beta * weight)
+    counted = [alphabet.triples([word], settings) for word in landmarks]
+    used = np.unique(np.concatenate([triples[0] for triples, _ in counted]))
+    table = Table(used, np.zeros(len(used) + 1))
+    for (triples, weight), beta in zip(counted, root @ w[:-1], strict=True):
+        np.add.at(table.values, table.places(triples[0]), beta * weight)
     return Machine(alphabet, table, float(w[-1]), settings)
 
 

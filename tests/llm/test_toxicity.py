@@ -45,6 +45,21 @@ def test_table_is_the_machine():
         assert np.isclose(value, (machine.table[triples[0]] * weight).sum() + machine.bias)
 
 
+def test_an_alphabet_of_any_size():
+    settings = Settings(landmarks=8)
+    scripts = ["grumbolt", "жабандур", "κρανιδωσ", "հաբեթուկ"]
+    many = ["".join(chr(0x4E00 + 7 * i + j) for j in range(4)) for i in range(900)]
+    words = [*scripts, "window", "дорогами", "λογισμοσ", "պատուհան", *many]
+    alphabet = toxicity.Alphabet.of(words)
+    assert len(alphabet.codes) == len(set("".join(words))) > 3000
+    got = toxicity.features(alphabet, words[:12], words[:12], settings)
+    assert np.allclose(got, [[naive_kernel(a, b, settings) for b in words[:12]] for a in words[:12]], atol=1e-5)
+    machine = toxicity.fit_machine(scripts, words[4:], alphabet, settings)
+    for insult, word in zip(scripts, words[4:8], strict=True):
+        values = machine.words([insult[:3] + insult[2:], word])
+        assert values[0] > values[1] and values[0] != values[1]
+
+
 @pytest.fixture(scope="module")
 def machine():
     rng = np.random.default_rng(2)
