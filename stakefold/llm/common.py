@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -28,12 +27,12 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a temporary one only where the session names none."""
+    """The folder all executors share: spark.checkpoint.dir, or one beside the warehouse's tables where the session names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='llm-')}"
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stage/llm-{uuid.uuid4().hex}"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
