@@ -12,6 +12,7 @@ there, and reports the bytes in between as a quarantined gap.
 from __future__ import annotations
 
 import hashlib
+import io
 import re
 import zlib
 from collections.abc import Iterator
@@ -30,6 +31,8 @@ from stakefold.llm import common
 MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/1."
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
+FIELD = re.compile(rb"[ \t]|[^\s:]+[ \t]*:")  # of a header line: folded on, or a name
+HEADER_BLOCK = 1 << 12
 BLOCK = 1 << 20
 ARCHIVE_BYTES = 64 << 20
 LEAST_REVISIT = 100
@@ -80,7 +83,7 @@ class Bad(ValueError):
 
 def checked(head: bytes, block: bytes) -> Record:
     """The record of a header and its block, if version, lengths and digests agree."""
-    lines = head.split(b"\r\n")
+    lines = re.sub(rb"\r\n[ \t]+", b" ", head).split(b"\r\n")  # folded lines are one
     if not re.fullmatch(rb"WARC/1\.[01]", lines[0]):
         raise Bad("version line")
     if re.search(rb"WARC/1\.[01](\r\n|$)", head[len(lines[0]):]):
@@ -112,8 +115,8 @@ def checked(head: bytes, block: bytes) -> Record:
     return record
 
 
-def read_member(file: BinaryIO, at: int) -> tuple[Record, int]:
-    """The record in the gzip member at a place, and where the member ends."""
+def read_member(file: BinaryIO, at: int) -> tuple[bytes, int]:
+    """What the gzip member at a place holds, and where the member ends."""
     file.seek(at)
     unpacker, parts, read = zlib.decompressobj(31), [], 0
     while not unpacker.eof:
@@ -125,29 +128,42 @@ def read_member(file: BinaryIO, at: int) -> tuple[Record, int]:
             parts.append(unpacker.decompress(data))
         except zlib.error as error:
             raise Bad("member") from error
-    whole = b"".join(parts)
-    head, sign, rest = whole.partition(b"\r\n\r\n")
-    if not sign or not rest.endswith(b"\r\n\r\n"):
-        raise Bad("record ends early")
-    return checked(head, rest[:-4]), at + read - len(unpacker.unused_data)
+    return b"".join(parts), at + read - len(unpacker.unused_data)
+
+
+def header_at(file: BinaryIO, at: int) -> bytes:
+    """The version line and the fields that start at a place, up to the blank line, however long they are.  A whole line
+    that is no field ends the search, so a stray version line does not lead to the end of the file."""
+    file.seek(at)
+    head, checked_to = b"", 0
+    while True:
+        data = file.read(HEADER_BLOCK)
+        stop = (head := head + data).find(b"\r\n\r\n", max(0, len(head) - len(data) - 3))
+        whole = stop if stop >= 0 else head.rfind(b"\r\n")
+        lines = head[checked_to:max(whole, checked_to)].split(b"\r\n")
+        if not all(FIELD.match(line) for line in (lines if checked_to else lines[1:]) if line):
+            raise Bad("header")
+        if stop >= 0:
+            return head[:stop]
+        if not data:
+            raise Bad("header ends early")
+        checked_to = whole + 2 if whole >= 0 else 0
 
 
 def read_plain(file: BinaryIO, at: int, size: int) -> tuple[Record, int]:
     """The uncompressed record at a place, and where it ends."""
-    file.seek(at)
-    head = file.read(1 << 16)
-    stop = head.find(b"\r\n\r\n")
-    length = re.search(rb"(?im)^Content-Length: *([0-9]{1,18})\r?$", head[:stop]) if stop >= 0 else None
+    head = header_at(file, at)
+    length = re.search(rb"(?im)^Content-Length: *([0-9]{1,18})\r?$", head)
     if length is None:
-        raise Bad("header")
-    start, n = at + stop + 4, int(length[1])
+        raise Bad("length")
+    start, n = at + len(head) + 4, int(length[1])
     if start + n + 4 > size:
         raise Bad("record ends early")
     file.seek(start)
     block = file.read(n)
     if file.read(4) != b"\r\n\r\n":
         raise Bad("record end")
-    return checked(head[:stop], block), start + n + 4
+    return checked(head, block), start + n + 4
 
 
 def next_start(file: BinaryIO, at: int, size: int) -> int:
@@ -165,17 +181,25 @@ def next_start(file: BinaryIO, at: int, size: int) -> int:
     return size
 
 
-def salvage(file: BinaryIO, size: int) -> Iterator[tuple[int, int, Record | None]]:
-    """(start, stop, record) of all that can be read, and (start, stop, None) for every gap."""
+def salvage(file: BinaryIO, size: int, members: bool = True) -> Iterator[tuple[int, int, Record | None]]:
+    """(start, stop, record) of all that can be read, and (start, stop, None) for every gap.
+
+    A member may hold several records: the first has the member's place, the others stand at its end.  If something in
+    it is damaged, the member is a gap and the records that can be read in it stand at its end."""
     at, bad_from = 0, -1
     while at < size:
         file.seek(at)
         first = file.read(len(VERSION))
         try:
-            if first.startswith(MAGIC):
-                record, stop = read_member(file, at)
+            if members and first.startswith(MAGIC):
+                whole, stop = read_member(file, at)
+                inside = [r for *_, r in salvage(io.BytesIO(whole), len(whole), members=False)]
+                if not any(inside):
+                    raise Bad("no record in the member")
+                records = [*([None] if None in inside else []), *filter(None, inside)]
             elif first == VERSION:
                 record, stop = read_plain(file, at, size)
+                records = [record]
             else:
                 raise Bad("no record starts here")
         except Bad:
@@ -185,8 +209,9 @@ def salvage(file: BinaryIO, size: int) -> Iterator[tuple[int, int, Record | None
         if bad_from >= 0:
             yield bad_from, at, None
             bad_from = -1
-        yield at, stop, record
-        at = stop
+        for record in records:
+            yield at, stop, record
+            at = stop
     if bad_from >= 0:
         yield bad_from, size, None
 

@@ -55,6 +55,28 @@ def test_a_false_digest_is_quarantined():
     assert read(warc.member(record) + archive(1)[0]) == ([0], [(0, len(warc.member(record)))])
 
 
+def test_headers_of_any_length():
+    parts = archive(3, False)
+    head, sign, rest = parts[1].partition(b"\r\n\r\n")
+    long = head + b"".join(b"\r\nX-Note-%d: %s" % (i, b"v" * 50) for i in range(3000)) + b"\r\n folded on" + sign + rest
+    assert len(long) > 1 << 17
+    assert read(parts[0] + long + parts[2]) == ([0, 1, 2], [])
+    assert read(warc.member(parts[0] + long) + warc.member(parts[2])) == ([0, 1, 2], [])
+    stray = b"WARC/1.1\r\nX: y\r\nno field here\r\n"
+    assert read(stray * 50 + parts[0])[0] == [0]
+
+
+def test_several_records_in_a_member():
+    parts = archive(6, False)
+    data = warc.member(b"".join(parts[:3])) + warc.member(b"".join(parts[3:]))
+    assert read(data) == ([0, 1, 2, 3, 4, 5], [])
+    bad = bytearray(parts[1])
+    bad[-20] ^= 0xFF
+    first = warc.member(parts[0] + bytes(bad) + parts[2])
+    assert read(first + warc.member(parts[3])) == ([0, 2, 3], [(0, len(first))])
+    assert read(warc.member(b"") + warc.member(parts[3]))[0] == [3]
+
+
 def test_magic_across_blocks(monkeypatch):
     monkeypatch.setattr(warc, "BLOCK", 7)
     parts = archive(3, False)
