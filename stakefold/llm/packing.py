@@ -91,8 +91,8 @@ def choose(demand: np.ndarray, left: np.ndarray, caps: np.ndarray) -> int:
 class Packer:
     """Items are (key, ids, loss mask); pieces come out as tuples in the order of SCHEMA."""
 
-    def __init__(self, limits: Limits, first_sequence: int, cut: bool = True) -> None:
-        self.limits, self.sequence, self.cut = limits, first_sequence, cut
+    def __init__(self, limits: Limits, first_sequence: int, cut: bool = True, cut_longer: bool = False) -> None:
+        self.limits, self.sequence, self.cut, self.cut_longer = limits, first_sequence, cut, cut or cut_longer
         self.caps = np.array([limits.tokens, limits.segments, limits.loss], dtype=float)
         self.items: list[tuple] = []  # key, ids, mask, start, tokens of the whole document, loss-bearing tokens left
 
@@ -115,9 +115,9 @@ class Packer:
 
     def add(self, key: int, ids: np.ndarray, mask: np.ndarray) -> Iterator[tuple]:
         item = (key, ids, mask, 0, len(ids), int(mask.sum()))
-        if not self.cut and (len(ids) > self.limits.tokens or item[5] > self.limits.loss):
+        if not self.cut_longer and (len(ids) > self.limits.tokens or item[5] > self.limits.loss):
             raise ValueError(f"example {key} exceeds a limit and must not be cut")
-        while item is not None and self.cut and (len(item[1]) >= self.limits.tokens or item[5] > self.limits.loss):
+        while item is not None and self.cut_longer and (len(item[1]) >= self.limits.tokens or item[5] > self.limits.loss):
             row, item = self._piece(item, max(1, self._most(item, self.limits.tokens, self.limits.loss)), self._next(), 0)
             yield row
         if item is not None:
@@ -179,32 +179,62 @@ class Packer:
                 yield from self._sequence()
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, limits: Limits = Limits(), key: str = "doc_id",
-                   text: str = "text") -> DataFrame:
-    """Pieces of all documents, packed.  A null text counts as empty and is its end id alone; ties in the heuristic go
-    to the earlier item; repeated rows are packed as often as they come; other columns are not read.  Token arrays of
-    one batch of rows and the pool are all that a task holds."""
+def packed(rows: DataFrame, items: Callable[[pa.RecordBatch], Iterator[tuple]], limits: Limits, cut: bool) -> DataFrame:
+    """Pieces of the (key, ids, mask) that items makes of the batches, packed inside each partition."""
 
-    def rows(packer: Packer, batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-        encode = document_encoder(vocabulary)
+    def pieces(packer: Packer, batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         for batch in batches:
-            out: list[tuple] = []
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.array([*encode(value or ""), END_ID], dtype="<u4")
-                mask = np.ones(len(ids), np.int64)
-                mask[-1] = 0
-                out.extend(packer.add(doc, ids, mask))
-            yield out
+            yield [row for item in items(batch) for row in packer.add(*item)]
         yield list(packer.finish())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [field.split()[0] for field in SCHEMA.split(", ")]
-        packer = Packer(limits, TaskContext.get().partitionId() << 40)
-        for out in rows(packer, batches):
+        packer = Packer(limits, TaskContext.get().partitionId() << 40, cut, cut_longer=True)
+        for out in pieces(packer, batches):
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
 
-    return docs.select(docs[key].alias("doc_id"), docs[text].alias("text")).mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(run, SCHEMA)
+
+
+def pack_documents(docs: DataFrame, vocabulary: str, limits: Limits = Limits(), key: str = "doc_id",
+                   text: str = "text") -> DataFrame:
+    """Pieces of all documents, packed.  A null or empty text is its end id alone; texts of any length are cut; ties in
+    the heuristic go to the earlier item; repeated rows are packed as often as they come; an empty table has no pieces;
+    other columns are not read.  Token arrays of one batch of rows and the pool are all that a task holds."""
+
+    def items(batch: pa.RecordBatch) -> Iterator[tuple]:
+        encode = document_encoder(vocabulary)
+        for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            ids = np.array([*encode(value or ""), END_ID], dtype="<u4")
+            mask = np.ones(len(ids), np.int64)
+            mask[-1] = 0
+            yield doc, ids, mask
+
+    return packed(docs.select(docs[key].alias("doc_id"), docs[text].alias("text")), items, limits, cut=True)
+
+
+def pack_instructions(examples: DataFrame, limits: Limits, cut: bool = False, key: str = "doc_id", ids: str = "ids",
+                      mask: str = "loss_mask") -> DataFrame:
+    """Pieces of tokenised instruction examples: ids is an array of token ids, mask one of 0 and 1 beside it, 1 for the
+    tokens that bear loss.  Unless cut is set, every example stays whole; one that no sequence can hold is cut all the same.
+
+    Null ids are an example without tokens, which takes up a segment.  Without a mask all tokens bear loss; entries that are null or missing
+    are 0, those beyond the ids are not read.  Ties go to the earlier row, repeated rows are packed as often as they come,
+    an empty table has no pieces, other columns are not read."""
+
+    def items(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for doc, tokens, marks in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            tokens = np.array(tokens or [], "<u4")
+            bears = np.ones(len(tokens), np.int64)
+            if marks is not None:
+                given = np.array([bool(m) for m in marks[:len(tokens)]], np.int64)
+                bears = np.r_[given, np.zeros(len(tokens) - len(given), np.int64)]
+            yield doc, tokens, bears
+
+    rows = examples.select(examples[key].cast("long").alias("doc_id"), examples[ids].cast("array<long>").alias("ids"),
+                           examples[mask].cast("array<int>").alias("mask"))
+    return packed(rows, items, limits, cut)
 
 
 def pack_examples(examples: list[tuple[int, np.ndarray, np.ndarray]], limits: Limits) -> list[tuple]:

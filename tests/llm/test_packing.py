@@ -118,3 +118,42 @@ def test_added_tokens_in_the_text_have_the_ids_of_the_plain_library_call(spark,
     by_doc = dict(enumerate(expected))
     assert check(rows, by_doc, lambda ids: ids) == 0
     assert {r["doc_id"]: r["doc_tokens"] for r in rows} == {d: len(ids) + 1 for d, ids in by_doc.items()}
+
+
+def test_instructions_are_packed_whole_under_limits_that_bind(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(900):
+        n = int(rng.integers(1, 120))
+        answer = int(rng.integers(0, n + 1))
+        rows.append((i, [int(x) for x in rng.integers(1, 50_000, n)], [0] * (n - answer) + [1] * answer, "extra"))
+    rows += [(900, [7] * 1300, None, "too long"), (901, None, None, None), (902, [], [1], ""), (903, [5, 6, 7], [1, None], "")]
+    examples = spark.createDataFrame(rows, "doc_id long, ids array<int>, loss_mask array<int>, length string").repartition(3)
+    limits = packing.Limits(tokens=512, segments=6, loss=200, pool=128)
+    pieces = packing.pack_instructions(examples, limits).collect()
+    by_doc, by_sequence = {}, {}
+    for p in pieces:
+        by_doc.setdefault(p["doc_id"], []).append(p)
+        by_sequence.setdefault(p["sequence_id"], []).append(p)
+    assert sorted(by_doc) == list(range(904))
+    for doc, ids, mask, _ in rows:
+        own, ids = sorted(by_doc[doc], key=lambda p: p["start"]), ids or []
+        assert len(own) == 1 or doc == 900
+        at = 0
+        for p in own:
+            part = np.array(ids[at:at + p["length"]], "<u4")
+            bears = np.ones(len(ids)) if mask is None else np.array([*(m or 0 for m in mask), *[0] * len(ids)])
+            assert p["start"] == at and p["ids_crc32"] == zlib.crc32(part.tobytes()) and p["doc_tokens"] == len(ids)
+            assert p["loss_tokens"] == bears[at:at + p["length"]].sum()
+            at += p["length"]
+        assert at == len(ids)
+    full = {"tokens": 0, "segments": 0, "loss": 0}
+    for own in by_sequence.values():
+        sums = {"tokens": sum(p["length"] for p in own), "segments": len(own), "loss": sum(p["loss_tokens"] for p in own)}
+        assert all(sums[k] <= getattr(limits, k) for k in sums)
+        offsets = sorted((p["offset"], p["length"]) for p in own)
+        assert all(a + n == b for (a, n), (b, _) in zip(offsets, offsets[1:], strict=False))
+        for k in sums:
+            full[k] += sums[k] >= 0.97 * getattr(limits, k)
+    assert full["segments"] > 0 and full["loss"] > 0
+    assert packing.pack_instructions(examples.where("false"), limits).collect() == []
