@@ -1,4 +1,6 @@
 from .aggregates import (  # noqa: F401
+    dense_ids,
+    distinct_counts,
     distinct_sum,
     lifecycle_total,
     max_then_sum,

@@ -485,9 +485,18 @@ def _(t):
 
 @query("multi_distinct", "SELECT o_orderstatus, count(DISTINCT o_custkey) AS customers, count(DISTINCT day) AS days, count(*) AS n FROM sales GROUP BY 1")
 def _(t):
-    return t.sales.groupBy("o_orderstatus").agg(
-        F.count_distinct("o_custkey").alias("customers"), F.count_distinct("day").alias("days"), F.count(F.lit(1)).alias("n")
-    )
+    return O.distinct_counts(t.sales, ["o_orderstatus"], {"customers": "o_custkey", "days": "day"}, n=F.count(F.lit(1)))
+
+
+@query(
+    "distinct_texts",
+    """SELECT o_orderpriority, count(DISTINCT pair) AS texts, count(DISTINCT o_custkey) AS customers, CAST(sum(total) AS DECIMAL(28,2)) AS total
+    FROM (SELECT o_orderpriority, o_orderstatus || '/' || CAST(o_custkey AS VARCHAR) AS pair, o_custkey, total FROM sales) GROUP BY 1""",
+)
+def _(t):
+    rows = t.sales.withColumn("pair", F.concat_ws("/", "o_orderstatus", F.col("o_custkey").cast("string")))
+    return O.distinct_counts(O.dense_ids(rows, "pair", "pair_id"), ["o_orderpriority"], {"texts": "pair_id", "customers": "o_custkey"},
+                             total=F.sum("total").cast("decimal(28,2)"))
 
 
 @query(

@@ -198,3 +198,28 @@ def test_posting_rules_balance_and_skip_zero(spark):
     ]
     got = number_documents(posting_rules(row, rules), first=7).orderBy("linecode").collect()
     assert [(r.linecode, r.sappostingkey, int(r.amount), r.docno) for r in got] == [("A", "01", 100, 7), ("B", "50", 100, 7), ("D", "15", 140, 8)]
+
+
+def test_distinct_counts_equal_sets(spark):
+    rng = random.Random(8)
+    data = [(rng.choice(["a", "b", None]), rng.choice([None, -40_000, -1, 0, 1, 32_768, 32_769, 10**12, rng.randrange(10**6)]),
+             rng.choice([None, dt.date(1969, 12, 31), dt.date(2024, 1, rng.randrange(1, 29))]), rng.choice([None, "x", "é", str(rng.randrange(300))]))
+            for _ in range(3000)]
+    data += [("hot", i % 70_000, dt.date(2024, 2, 1), "t") for i in range(100_000)] + [("none", None, None, None)]
+    df = spark.createDataFrame(data, "k string, id long, day date, word string")
+    got = O.distinct_counts(O.dense_ids(df, "word", "word_id"), ["k"], {"ids": "id", "days": "day", "words": "word_id"}, n=F.count(F.lit(1)), top=F.max("id"))
+    want = []
+    for k in {r[0] for r in data}:
+        own = [r for r in data if r[0] == k]
+        sets = [{r[c] for r in own} - {None} for c in (1, 2, 3)]
+        want.append((k, *map(len, sets), len(own), max(sets[0], default=None)))
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want))
+    assert O.distinct_counts(df.where("false"), ["k"], {"ids": "id"}).collect() == []
+    with pytest.raises(TypeError):
+        O.distinct_counts(df, ["k"], {"words": "word"})
+
+
+def test_dense_ids_are_dense(spark):
+    df = spark.createDataFrame([(w,) for w in ["b", "a", None, "c", "a", ""] * 50], "w string")
+    got = {(r["w"], r["n"]) for r in O.dense_ids(df, "w", "n").collect()}
+    assert len(got) == 5 and (None, None) in got and sorted(n for _, n in got if n) == [1, 2, 3, 4]

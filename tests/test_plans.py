@@ -30,6 +30,12 @@ def test_no_nested_loops_and_no_python(spark, name):
     assert [x for x in FORBIDDEN if x in text] == []
 
 
+def test_distinct_counts_repeat_no_row(spark):
+    for name in ("multi_distinct", "distinct_texts"):
+        text = plan(operators.QUERIES[name](spark, FOLDER))
+        assert "Expand" not in text and "bitmap_construct_agg" in text
+
+
 def test_time_window_and_columns_reach_the_scan(spark):
     text = plan(operators.QUERIES["scan_window_halfopen"](spark, FOLDER))
     assert "o_orderpriority" not in text.split("ReadSchema")[1]
