@@ -4,7 +4,9 @@ A join with keys that fit a broadcast leaves the history where it lies.  Beyond
 out, all of the history with them.  So the keys are then condensed to a Bloom filter first: words of 64 bits, made by
 ``bit_or`` in a grouping, gathered into one array (a scalar subquery) and tested in the scan's own filter.  Only rows
 that pass are shuffled; the join that follows takes out the false positives.  The filter is sized from the number of
-keys, up to a bound; a filter that full is of no use any more and is left out, and the join does it all.
+keys, up to a bound; a filter that full is of no use any more and is left out, and the join does it all.  The bound is
+low because the driver holds the filter and puts it into the code of every stage that tests it, several times over, as
+Catalyst repeats a condition on all sides of the joins on its key.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 PROBES = 3  # bits that a key sets in its word
 BITS_PER_KEY = 16
-LEAST_WORDS, MOST_WORDS = 1 << 7, 1 << 21  # 16 MB at most
+LEAST_WORDS, MOST_WORDS = 1 << 7, 1 << 18  # 2 MB at most
 USELESS_BITS_PER_KEY = 4
 
 

@@ -40,6 +40,12 @@ def test_size_follows_the_keys_up_to_a_bound(spark):
     assert S.key_filter(keys, "k").words == S.LEAST_WORDS
 
 
+def test_filters_stay_small_for_the_driver(spark):
+    """Every stage that tests a filter carries it, many times over in a plan of many joins on its key."""
+    assert S.words_for(9_000_000) * 8 <= 2 << 20
+    assert S.key_filter(spark.range(10).toDF("k"), "k", count=9_000_000) is None
+
+
 def test_null_repeated_and_no_keys(spark, no_broadcast):
     history = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
     some = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "own string")
