@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stakefold.operators import membership as S
 from stakefold.operators import reduced, sifted
+from stakefold.sources.tables import Tables
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.1")
 
@@ -46,6 +47,15 @@ def test_filters_stay_small_for_the_driver(spark):
     assert S.key_filter(spark.range(10).toDF("k"), "k", count=9_000_000) is None
 
 
+def test_many_stored_keys_are_not_broadcast_for_their_small_file(spark, tmp_path):
+    """Two million keys take 9 MB in Parquet and 160 MB in the hash table that the driver would build."""
+    spark.range(2_000_000).select(F.concat(F.lit("H"), "id").alias("k")).write.parquet(f"{tmp_path}/keys")
+    Tables.frames(spark, {})
+    assert not S.fits_broadcast(spark.read.parquet(f"{tmp_path}/keys"))
+    spark.range(100).select(F.concat(F.lit("H"), "id").alias("k")).write.parquet(f"{tmp_path}/few")
+    assert S.fits_broadcast(spark.read.parquet(f"{tmp_path}/few"))
+
+
 def test_null_repeated_and_no_keys(spark, no_broadcast):
     history = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
     some = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "own string")
