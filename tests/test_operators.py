@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,6 +173,15 @@ def test_numbering_inside_a_hot_group(spark):
     assert got.count() == 3000 and got.select("k", "v", "n").exceptAll(want).count() == 0
 
 
+def test_numbering_gives_every_task_about_as_many_rows(spark, monkeypatch):
+    monkeypatch.setattr("stakefold.operators.numbering.ROWS_A_TASK", 100)
+    rows = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
+    got = O.number_within(rows, ["k"], ["id"], F.col("id"), "n")
+    dealt = re.findall(r", (\d+)\), REPARTITION_BY_NUM", got._jdf.queryExecution().executedPlan().toString())
+    assert dealt and set(dealt) == {"10"}
+    assert all(r.n == r.id // 7 + 1 for r in got.collect())
+
+
 def test_document_numbers_are_dense_and_ordered(spark):
     df = spark.createDataFrame([(i * 37 % 5000,) for i in range(500)], "id int").distinct()
     got = O.document_numbers(df, ["id"], "n", offset=5).orderBy("id").collect()
