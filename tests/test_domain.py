@@ -2,10 +2,12 @@
 
 import datetime as dt
 import os
+import time
 from decimal import Decimal as Dec
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from stakefold.operators.postings import LINE_COLUMNS
 from stakefold.plans import interval_transactions as IT
@@ -278,6 +280,22 @@ def test_stored_intermediates_come_back_and_go(spark):
     assert stage.root != root and not os.path.exists(root)
 
 
+def test_results_are_stored_one_at_a_time(spark, tmp_path, monkeypatch):
+    """Jobs side by side had their plans, broadcasts and threads on the driver together."""
+    parquet, running, seen = DataFrameWriter.parquet, [], []
+
+    def counted(self, *args, **kwargs):
+        running.append(1)
+        seen.append(len(running))
+        time.sleep(0.2)
+        parquet(self, *args, **kwargs)
+        running.pop()
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", counted)
+    got = StageArea(spark, str(tmp_path)).put_all({"a": spark.range(3), "b": spark.range(5), "c": spark.range(7)})
+    assert seen == [1, 1, 1] and got["c"].count() == 7
+
+
 def test_run_date_falls_back_to_yesterday():
     assert run.run_date_of("20240105") == DAY
     assert run.run_date_of("x", dt.date(2024, 1, 6)) == DAY

@@ -75,6 +75,16 @@ def test_small_keys_are_left_to_a_broadcast(spark):
     assert sifted(history, keys, "k") is history
 
 
+def test_a_filter_is_tested_only_where_its_history_is_scanned(spark, no_broadcast, tmp_path):
+    """Catalyst copied it to every side of the joins on the key; the driver then held one for each in a stage's code."""
+    history = spark.range(1000).select(F.concat(F.lit("H"), "id").alias("k"), (F.col("id") % 5).alias("v"))
+    keys = spark.range(0, 1000, 100).select(F.concat(F.lit("H"), "id").alias("k"))
+    own, other = reduced(history, keys, "k").where("v = 0"), history.groupBy("k").count()
+    out = own.join(other, "k").join(keys.withColumn("one", F.lit(1)), "k", "left")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("scalar-subquery#") == 1
+    assert out.count() == 10
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 def test_no_stranger_leaves_the_scan(spark, no_broadcast):
     """The rows that the shuffle of the history writes, by its metric, are those of the keys and few more."""
