@@ -6,8 +6,9 @@ continuation counts.  Every n-gram stays, so the model grows with the distinct n
 it is fitted in arrays, without objects for single n-grams.  For every order the model holds one sorted array of n-gram hashes with a column per language: the
 interpolated log probability and the weight of the n-gram as a context that was not continued this way.  The language
 with the lowest cross-entropy per character wins.  A text whose lowest cross-entropy is above that language's
-calibrated bound is marked as rejected.  Calibration rows are judged by a second model, that of the counts without
-them: their cross-entropies give the bounds, and how sure their languages are the scale of the confidence.
+calibrated bound is marked as rejected.  Calibration rows, all of one in ten by a hash of doc_id, are judged in Spark by
+a second model, that of the counts without them: their cross-entropies give the bounds, and how sure their languages are
+the scale of the confidence.
 """
 
 from __future__ import annotations
@@ -31,11 +32,10 @@ SCHEMA = "doc_id long, lang_pred string, score double, cross_entropy double, rej
 
 @dataclass(frozen=True)
 class Settings:
-    """calibration_rows bounds the rows, of one in calibration_of by a hash of doc_id, that bounds and confidence are set
-    on; confident_chars are the scales to choose from, the first one where there are no such rows."""
+    """Bounds and confidence are set on all rows of one in calibration_of by a hash of doc_id; confident_chars are the
+    scales to choose from, the first one where there are no such rows."""
 
     order: int = 4
-    calibration_rows: int = 2_000
     calibration_of: int = 10
     keep_share: float = 0.999
     confident_chars: tuple[int, ...] = (48, 6, 12, 24, 96, 192)
@@ -56,27 +56,30 @@ def grams_of(words: Counter, order: int) -> Counter:
 
 
 def ngram_counts(training: DataFrame, settings: Settings) -> DataFrame:
-    """(lang, gram, n) of the highest order over all rows of (lang, text); words are counted first in every task."""
+    """(lang, gram, n, rest) of the highest order: how often over all rows of (lang, text, held), and over those that are
+    not held out for calibration; words are counted first in every task."""
     order = settings.order
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
-            rows = [(lang, gram, n) for lang, counts in words.items() for gram, n in grams_of(counts, order).items()]
+            rows = [(lang, gram, n, 0 if held else n) for (lang, held), counts in words.items()
+                    for gram, n in grams_of(counts, order).items()]
             words.clear()
-            lang, gram, n = zip(*rows, strict=True) if rows else ((), (), ())
+            lang, gram, n, rest = zip(*rows, strict=True) if rows else ((), (), (), ())
             return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(gram, pa.string()),
-                                               pa.array(n, pa.int64())], ["lang", "gram", "n"])
+                                               pa.array(n, pa.int64()), pa.array(rest, pa.int64())], ["lang", "gram", "n", "rest"])
 
-        words: dict[str, Counter] = defaultdict(Counter)
+        words: dict[tuple[str, bool], Counter] = defaultdict(Counter)
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words[lang].update(WORD.findall(text.lower()))
+            for lang, text, held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words[lang, held].update(WORD.findall(text.lower()))
             if sum(map(len, words.values())) > 400_000:
                 yield flush()
         yield flush()
 
-    found = training.where("lang is not null and text is not null").select("lang", "text")
-    return found.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    found = training.where("lang is not null and text is not null").select("lang", "text", "held")
+    counted = found.mapInArrow(run, "lang string, gram string, n long, rest long")
+    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("rest").alias("rest"))
 
 
 def hashed(codes: np.ndarray, order: int) -> np.ndarray:
@@ -267,48 +270,90 @@ def without(rows: list[tuple[str, str]], languages: list[str], own: np.ndarray,
             by = np.argsort(hashes)
             at = np.searchsorted(hashes, gram_hashes(gram_codes(list(grams), codes.shape[1])), sorter=by)
             left[mine[by[at]]] -= np.fromiter(grams.values(), np.int64, len(grams))
+    return of_rest(languages, own, codes, left)
+
+
+def of_rest(languages: list[str], own: np.ndarray, codes: np.ndarray, left: np.ndarray) -> Model | None:
+    """The model of the counts that are left; None if none is."""
     kept = left > 0
     return fit_counts(languages, own[kept], codes[kept], left[kept]) if kept.any() else None
 
 
+def judged(other: Model, rows: list[tuple[str, str]], table: WordTable, settings: Settings) -> list[tuple[int, float, list[float]]]:
+    """Of rows of (lang, text) with 40 characters or more in a learned language: its number, its cross-entropy, and the
+    log likelihood of the language at every scale of the confidence."""
+    out = []
+    for lang, text in rows:
+        sums = table.sums([WORD.findall(text.lower())])[0]
+        if lang in other.languages and sums[-1] >= 40:
+            column, entropy = other.languages.index(lang), -sums[:-1] / sums[-1]
+            scaled = [-entropy * min(sums[-1], chars) for chars in settings.confident_chars]
+            out.append((column, float(entropy[column]), [float(x[column] - np.logaddexp.reduce(x)) for x in scaled]))
+    return out
+
+
+def with_bounds(model: Model, bounds: dict[int, float], worst: float, sure: list[float], settings: Settings) -> Model:
+    """Set the bounds, the highest of all cross-entropies for a language without one, and the likeliest scale."""
+    model.bounds = np.array([bounds.get(i, worst) for i in range(len(model.languages))])
+    model.confident_chars = settings.confident_chars[int(np.argmax(sure))]
+    return model
+
+
 def calibrated(model: Model, other: Model | None, rows: list[tuple[str, str]], settings: Settings) -> Model:
     """Set every language's bound so that it keeps the given share of its calibration rows of 40 characters or more, and
     the scale of the confidence at which their languages are likeliest, both as the other model judges these rows.  A
     language without such rows has the highest of all cross-entropies as its bound; without any nothing is rejected."""
+    found = judged(other, rows, WordTable(other), settings) if other else []
     own: dict[int, list[float]] = defaultdict(list)
-    sure = np.zeros(len(settings.confident_chars))
-    table = other and WordTable(other)
-    for lang, text in rows if other else ():
-        sums = table.sums([WORD.findall(text.lower())])[0]
-        if sums[-1] >= 40:
-            column, entropy = model.languages.index(lang), -sums[:-1] / sums[-1]
-            own[column].append(entropy[column])
-            for i, chars in enumerate(settings.confident_chars):
-                scaled = -entropy * min(sums[-1], chars)
-                sure[i] += scaled[column] - np.logaddexp.reduce(scaled)
-    worst = max((max(v) for v in own.values()), default=np.inf)
-    model.bounds = np.array([np.quantile(own[i], settings.keep_share) if own[i] else worst for i in range(len(model.languages))])
-    model.confident_chars = settings.confident_chars[int(sure.argmax())]
-    return model
+    for column, entropy, _ in found:
+        own[column].append(entropy)
+    sure = [sum(x[2][i] for x in found) for i in range(len(settings.confident_chars))]
+    worst = max((x[1] for x in found), default=np.inf)
+    return with_bounds(model, {i: float(np.quantile(v, settings.keep_share)) for i, v in own.items()}, worst, sure, settings)
+
+
+def calibrated_on(model: Model, other: Model | None, held: DataFrame, settings: Settings) -> Model:
+    """The same over all rows of a table, judged in their tasks.  Cross-entropies are rounded up to four digits, so that the
+    distinct ones of a language stay few however many rows there are; likelihoods are summed as decimals, in any order."""
+    if other is None:
+        return with_bounds(model, {}, np.inf, [0.0], settings)
+    shared = held.sparkSession.sparkContext.broadcast(other)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        other = shared.value
+        if other.table is None:  # kept for the worker's next tasks
+            other.table = WordTable(other)
+        for batch in batches:
+            rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+            found = judged(other, rows, other.table, settings)
+            if found:
+                column, entropy, sure = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(column, pa.int32()), pa.array(entropy, pa.float64()),
+                                                  pa.array(sure, pa.list_(pa.float64()))], ["column", "entropy", "sure"])
+
+    rows = held.select("lang", "text").mapInArrow(run, "column int, entropy double, sure array<double>")
+    sums = [F.sum(F.col("sure")[i].cast("decimal(28,9)")).alias(f"sure{i}") for i in range(len(settings.confident_chars))]
+    by = rows.withColumn("entropy", F.ceil(F.col("entropy") * 10_000) / 10_000).groupBy("column").agg(
+        F.percentile("entropy", settings.keep_share).alias("bound"), F.max("entropy").alias("worst"), *sums).collect()
+    sure = [sum(float(r[f"sure{i}"]) for r in by) for i in range(len(settings.confident_chars))]
+    worst = max((r["worst"] for r in by), default=np.inf)
+    return with_bounds(model, {r["column"]: r["bound"] for r in by}, worst, sure, settings)
 
 
 def train(training: DataFrame, settings: Settings = Settings()) -> Model | None:
     """The model from (doc_id, lang, text); None if no row has a language and a letter."""
-    counts = ngram_counts(training, settings).toArrow()
+    held = F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(settings.calibration_of)) == 0)
+    marked = training.select("lang", "text", held.alias("held"))
+    counts = ngram_counts(marked, settings).toArrow()
     if not counts.num_rows:
         return None
     languages = sorted(counts["lang"].unique().to_pylist())
     own = pc.index_in(counts["lang"], pa.array(languages, pa.string())).to_numpy().astype(np.int64)
     codes = np.vstack([gram_codes(chunk.to_pylist(), settings.order) for chunk in counts["gram"].chunks if len(chunk)])
-    n = counts["n"].to_numpy()
-    known = training.where("lang is not null and text is not null and doc_id is not null")
-    mark = F.xxhash64("doc_id")
-    chosen = known.where(F.pmod(mark, F.lit(settings.calibration_of)) == 0).select("doc_id").distinct()
-    ids = [r["doc_id"] for r in chosen.orderBy(mark, "doc_id").limit(settings.calibration_rows).collect()]
-    sample = known.where(F.col("doc_id").isin(ids)).select("lang", "text").limit(settings.calibration_rows).collect()
-    rows = [(r["lang"], r["text"]) for r in sample if r["lang"] in languages]
-    other = without(rows, languages, own, codes, n) if rows else None
-    return calibrated(fit_counts(languages, own, codes, n), other, rows, settings)
+    n, rest = counts["n"].to_numpy(), counts["rest"].to_numpy()
+    model = fit_counts(languages, own, codes, n)
+    other = of_rest(languages, own, codes, rest) if (rest < n).any() else None
+    return calibrated_on(model, other, marked.where("held and lang is not null and text is not null"), settings)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -105,6 +105,23 @@ def test_calibration_rows_are_judged_by_a_model_without_them():
     assert np.isclose(model.bounds[0], -sums[0] / sums[-1]) and model.confident_chars in languages.Settings().confident_chars
 
 
+def test_all_rows_held_out_set_the_bounds(spark):
+    """More than 2,000 of them, of which the first by their hash used to do."""
+    rng = np.random.default_rng(3)
+    words = {"aa": "the then there other that this thing than those with".split(), "bb": "der die das dieser oder und nicht ein".split()}
+    texts = [(i, lang, " ".join(rng.choice(words[lang], 12))) for i in range(26_000) for lang in [("aa", "bb")[i % 2]]]
+    docs = spark.createDataFrame(texts, "doc_id long, lang string, text string").repartition(4)
+    ids = {r["doc_id"] for r in docs.where("pmod(xxhash64(doc_id), 10) = 0").select("doc_id").collect()}
+    assert len(ids) > 2_400
+    own = [(lang, text) for i, lang, text in texts if i in ids]
+    rest = spark.createDataFrame([r for r in texts if r[0] not in ids], docs.schema)
+    counts = languages.ngram_counts(rest.selectExpr("lang", "text", "false as held"), languages.Settings()).collect()
+    other = languages.fit([(r["lang"], r["gram"], r["n"]) for r in counts], 4)
+    model = languages.train(docs)
+    want = languages.calibrated(languages.train(docs), other, own, languages.Settings())
+    assert np.all(np.abs(model.bounds - want.bounds) <= 1e-4) and model.confident_chars == want.confident_chars
+
+
 def test_every_ngram_of_a_large_alphabet_counts(spark):
     from collections import Counter
 
