@@ -2,10 +2,10 @@
 
 Strict patterns give the base spans, which are always kept.  Loose generators propose further spans: addresses with
 written-out signs, numbers with missing signs, unusual separators or no valid check digit.  Trees over the format and
-the context of a candidate decide about these.  They learn from a bounded sample of documents, drawn for each kind from
-all documents that hold a candidate of it, so a kind that is rare in the corpus is learned as well as a frequent one: base
-spans and their disguised forms in the same place are positive, other candidates are negative.  The threshold of each kind is the
-lowest at which held-out candidates reach the wanted precision; a kind that never does adds nothing.
+the context of a candidate decide about these.  They learn from all candidates of all documents, in passes over a table of
+their distinct features: base spans and their disguised forms in the same place are positive, other candidates are
+negative.  The threshold of each kind is the lowest at which all held-out candidates reach the wanted precision; a kind that
+never does adds nothing.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stakefold.llm import boosting
+from stakefold.llm import boosting, common
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]  # start, end, kind
@@ -155,12 +155,8 @@ def disguised(own: str, kind: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Settings:
-    """What the trees learn from is bounded by sample_documents and sample_candidates, a quarter of them for each kind, and
-    by candidates of one kind in one document."""
+    """The precision that a threshold must reach on held-out candidates, and the least threshold."""
 
-    sample_documents: int = 4_000
-    sample_candidates: int = 40_000
-    document_candidates: int = 50
     precision: float = 0.99
     least_threshold: float = 0.5
 
@@ -197,14 +193,15 @@ def some(spans: list[Span], text: str, most: int) -> list[Span]:
     return sorted(out)
 
 
-def training_rows(doc: int, text: str, most: int) -> Iterator[tuple]:
-    """(doc, kind, label, features) of the candidates of a text and of the disguised forms of its base spans, of so many
-    spans of a kind at the most."""
-    every = base_spans(text)
-    loose = candidates(text)
+def training_rows(doc: int, text: str, most: int | None = None) -> Iterator[tuple]:
+    """(doc, kind, label, features) of the candidates of a text and of the disguised forms of its base spans; of so many
+    spans of a kind, where that is given."""
+    base = every = base_spans(text)
     exact = set(every)
-    base = some(every, text, most)
-    for c in some([c for c in loose if c in exact or not any(c[0] < e and s < c[1] for s, e, _ in every)], text, most):
+    loose = [c for c in candidates(text) if c in exact or not any(c[0] < e and s < c[1] for s, e, _ in every)]
+    if most is not None:
+        base, loose = some(every, text, most), some(loose, text, most)
+    for c in loose:
         yield doc, c[2], int(c in exact), features(text, c)
     for start, end, kind in base:
         before, after = text[max(0, start - 60):start], text[end:end + 60]
@@ -215,69 +212,52 @@ def training_rows(doc: int, text: str, most: int) -> Iterator[tuple]:
                     yield doc, kind, 1, features(changed, c)
 
 
-def kinds_held(known: DataFrame) -> DataFrame:
-    """(doc_id, kind) of the kinds of which a document holds a base span or a candidate."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(doc, kind) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                    for kind in {k for _, _, k in base_spans(text)} | {k for _, _, k in candidates(text)}]
-            if rows:
-                doc, kind = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(kind)], ["doc_id", "kind"])
-
-    return known.mapInArrow(run, "doc_id long, kind string").distinct()
-
-
 def train(docs: DataFrame, settings: Settings = Settings()) -> Detector:
-    """A detector from a sample of the documents: for each kind the first that hold a candidate of it, by a hash of
-    doc_id.  Null ids and texts teach nothing; of rows that share a doc_id the least text does."""
+    """A detector from all documents, a quarter of them by a hash of doc_id held out for the thresholds.  Null ids and texts
+    teach nothing; every row of a repeated doc_id does."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null and doc_id is not null")
-    in_order = Window.partitionBy("kind").orderBy(F.xxhash64("doc_id"), "doc_id")
-    first = kinds_held(known).withColumn("place", F.row_number().over(in_order))
-    first = first.where(F.col("place") <= settings.sample_documents // len(KINDS)).select("doc_id").distinct()
-    ids = sorted(r["doc_id"] for r in first.collect())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [row for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                    for row in training_rows(doc, text, settings.document_candidates)]
-            if rows:
-                doc, kind, label, x = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(kind), pa.array(label, pa.int32()),
-                                                  pa.array(x, pa.list_(pa.float64()))], ["doc_id", "kind", "label", "x"])
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rows = list(training_rows(doc, text))
+                if rows:
+                    _, kind, label, x = zip(*rows, strict=True)
+                    held = (doc * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 62 == 1
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(kind), pa.array(label, pa.int32()), pa.array([held] * len(rows)), pa.array(x, pa.list_(pa.float64()))],
+                        ["kind", "label", "held", "x"])
+
+    found = known.mapInArrow(run, "kind string, label int, held boolean, x array<double>")
+    table = common.stored(found.groupBy("kind", "label", "held", "x").agg(F.count(F.lit(1)).alias("n")), "personal-data-candidates")
+    learned, held = table.where("not held"), table.where("held")
+    if learned.select("label").distinct().count() < 2 or held.isEmpty():
+        return Detector()
+    model = boosting.fit_on(learned)
+    return Detector(model, thresholds(held, model, settings))
 
-    texts = known.where(F.col("doc_id").isin(ids)).groupBy("doc_id").agg(F.min("text").alias("text"))
-    found = texts.mapInArrow(run, "doc_id long, kind string, label int, x array<double>")
-    by_hash = Window.partitionBy("kind").orderBy(F.xxhash64("doc_id", "x"), "doc_id", "x", "label")
-    found = found.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= settings.sample_candidates // len(KINDS))
-    rows = found.orderBy(F.xxhash64("doc_id"), "kind", "x", "label").collect()
-    return fit([(r["doc_id"], r["kind"], r["label"], r["x"]) for r in rows], settings)
 
+def thresholds(held: DataFrame, model: boosting.Boosted, settings: Settings) -> dict[str, float]:
+    """The lowest threshold of each kind at which all held-out candidates reach the precision.  Chances are rounded down to
+    six digits, so that few distinct ones reach the driver; equal ones stand or fall together."""
 
-def fit(rows: list[tuple], settings: Settings) -> Detector:
-    if not rows or len({label for _, _, label, _ in rows}) < 2:
-        return Detector()
-    doc, kind, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.array([float(r[2]) for r in rows])
-    x = np.array([r[3] for r in rows])
-    held = (doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(62) == 1  # a quarter, by a hash
-    if len(set(y[~held])) < 2 or not held.any():
-        return Detector()
-    model = boosting.fit(x[~held], y[~held])
-    chance = model.probability(x[held])
-    thresholds = {}
-    for k in KINDS:
-        own = kind[held] == k
-        if not own.any():
-            continue
-        order = np.argsort(-chance[own], kind="stable")
-        p, right = chance[own][order], y[held][own][order]
-        precise = np.cumsum(right) / np.arange(1, len(p) + 1)
-        last = np.r_[p[1:] < p[:-1], True]  # equal chances stand or fall together
-        good = np.flatnonzero((precise >= settings.precision) & last & (p >= settings.least_threshold))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                chance = np.floor(model.probability(boosting.rows_of(batch.column(3))) * 1e6) / 1e6
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(chance)], ["kind", "label", "n", "chance"])
+
+    judged = held.select("kind", "label", "n", "x").mapInArrow(run, "kind string, label int, n long, chance double")
+    rows = judged.where(F.col("chance") >= settings.least_threshold).groupBy("kind", "chance").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("right")).orderBy("kind", F.desc("chance")).collect()
+    out = {}
+    for kind in KINDS:
+        own = [r for r in rows if r["kind"] == kind]
+        precise = np.cumsum([r["right"] for r in own]) / np.cumsum([r["n"] for r in own])
+        good = np.flatnonzero(precise >= settings.precision)
         if len(good):
-            thresholds[k] = float(p[good[-1]])
-    return Detector(model, thresholds)
+            out[kind] = own[good[-1]]["chance"]
+    return out
 
 
 SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"

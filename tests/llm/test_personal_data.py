@@ -100,6 +100,21 @@ def test_one_document_gives_a_bounded_number_of_rows():
     assert kinds.count("phone") == 50 and 50 <= kinds.count("email") <= 200
 
 
+def test_every_candidate_of_a_document_teaches():
+    """Fifty of a kind in a document used to, the others were left out."""
+    text = " ".join(f"call 555 000 {i}" for i in range(1000, 1300))
+    assert sum(r[1] == "phone" for r in personal_data.training_rows(1, text)) == 300
+
+
+def test_trees_on_a_table_are_those_on_rows_in_hand(spark):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(400, 3)), 1)
+    y = (x[:, 0] + x[:, 1] > 0.3).astype(float)
+    rows = spark.createDataFrame([(int(b), 1, a.tolist()) for a, b in zip(x, y)], "label int, n long, x array<double>").repartition(3)
+    got, want = boosting.fit_on(rows, rounds=3), boosting.fit(x, y, rounds=3)
+    assert got.start == want.start and np.allclose(got.probability(x), want.probability(x), atol=1e-6)
+
+
 def test_redaction_merges_overlapping_spans():
     assert redacted("call +1 555 000 1111 now", [(5, 20, "phone"), (8, 20, "card")]) == "call [PHONE] now"
     assert redacted("no data", []) == "no data"
