@@ -126,3 +126,51 @@ def test_marks_that_words_share_lose_no_match(spark):
     texts = [(d, " ".join(f"w{(i * 7 + (d if i > 17 else 0)) % 900}" for i in range(20))) for d in range(12)]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     check(lines.counted(docs, lines.Settings(crowd=1, mark_bits=2)).collect(), texts)
+
+
+@pytest.mark.parametrize("percent", [60, 70, 80, 90])
+def test_matching_sets_share_a_gram_of_their_prefixes(percent):
+    """Random sets of words numbered in the order of rarity, of all small sizes; the tiers say which grams the prefixes hold."""
+    rng = random.Random(percent)
+    tiers = lines.tiers(percent)
+
+    def grams(words):
+        n, found = len(words), set()
+        for q, low, high in tiers:
+            if n * 100 // percent >= low and (high is None or n <= high):
+                found |= {(q, *words[i:i + q]) for i in range(min(n - q + 1, q * (100 - percent) * n // 100 + 1))}
+        return found
+
+    seen = 0
+    for _ in range(60000):
+        own = sorted(rng.sample(range(60), rng.randrange(1, 30)))
+        lost = rng.sample(own, rng.randrange(0, len(own) // 3 + 1))
+        other = sorted((set(own) - set(lost)) | set(rng.sample(range(60), rng.randrange(0, len(own) // 4 + 2))))
+        both = len(set(own) & set(other))
+        if own != other and 100 * both >= percent * (len(own) + len(other) - both):
+            seen += 1
+            assert grams(own) & grams(other), (own, other)
+    assert seen > 500
+
+
+def test_a_family_gives_no_more_rows_than_it_has(spark, capsys):
+    """All variants match all others and share crowded grams: the join ends with the first match of each."""
+    crowd = spark.createDataFrame([(g, d, 0, 10, -1, -1, False) for g in range(5) for d in range(40)],
+                                  "gram long, d long, l int, n int, s0 long, s1 long, settled boolean")
+    texts = spark.createDataFrame([(d, 0, [f"w{i}" for i in range(9)] + [f"v{d}"]) for d in range(40)], "d long, l int, words array<string>")
+    found = lines.crowd_matches(crowd, texts, lines.Settings())
+    assert sorted(map(tuple, found.collect())) == [(d, 0) for d in range(1, 40)]
+    found.explain()
+    assert "LeftSemi" in capsys.readouterr().out
+
+
+def test_only_fitting_sizes_share_a_gram(spark):
+    """The two long lines have three rare words in common with the short one, which fits none in size, and others with a third."""
+    rare = [f"r{i}" for i in range(6)]
+    texts = [(0, " ".join(rare))] + [(d, " ".join(rare + [f"c{i}" for i in range(30)] + [f"x{d}"])) for d in (1, 2)]
+    texts += [(d, " ".join(f"c{i}" for i in range(30))) for d in range(3, 9)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    sets = lines.classes(lines.line_table(docs, lines.Settings())).cache()
+    settings = lines.Settings(rounds=1)
+    shared = lines.shared_grams(sets, settings).join(sets.select("h1", "d"), "h1")
+    assert {r["d"] for r in shared.select("d").distinct().collect()} == {1, 2, 3}
