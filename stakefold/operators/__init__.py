@@ -18,6 +18,7 @@ from .joins import (  # noqa: F401
     interval_join,
     net_debit_credit,
     spine_join,
+    spine_measures,
     spine_of,
     spine_table,
     validity_join,
