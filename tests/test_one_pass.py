@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stakefold.operators import spine_join, spine_measures, spine_table
 from stakefold.operators import joins as J
 from stakefold.plans import placed_measures as P
+from stakefold.plans import shop_ledger as S
 from stakefold.plans import transaction_details as T
 from stakefold.plans.business_dates import run_windows
 from stakefold.plans.common import near
@@ -33,6 +34,8 @@ def test_the_ledger_measures_day_and_period_in_one_pass(spark, monkeypatch):
     jobs.QUERIES["shop_ledger"](spark, FOLDER)
     for name in ("line-keys", "placed-tickets", "placed-part4", "paid-rows", "gone-rows"):
         assert seen.count(name) == 1, name
+    # a row for every terminal and branch is added up as it unfolds, not written and read again
+    assert "cells-part0" in seen and not [name for name in seen if "details" in name]
 
 
 def test_windows_in_one_pass_are_the_windows_by_themselves(spark):
@@ -79,6 +82,19 @@ def test_a_filter_is_made_once(spark, tmp_path):
         spark.conf.set(limit, before)
 
 
+def test_instant_payments_stand_beside_their_rows(spark):
+    at = (1, "L1", "one", 2, False, True)
+    rows = [("t1", T.PAYNOW_ALL, "CAS", "CL", "5.00"), ("t1", T.PAYNOW, "CAS", "TF", "0.50"), ("t2", T.PAYNOW_ALL, "CAS", "CL", "1.00"),
+            ("t1", T.PAYNOWQR_ALL, "CAS", "CL", "0.00"), ("t1", T.NETS, "CAS", "CL", "7.00"), ("t1", T.FUNDING, "FUN", "CH", "-3.00"),
+            ("t2", T.FUNDING, "FUN", "CH", "-3.00")]
+    details = spark.createDataFrame([(*at, *r) for r in rows], [*S.PLACE, "terdisplayid", "prodname", "flag", "transtype", "x"])
+    details = details.withColumn("amount", F.col("x").cast("decimal(22,2)")).withColumn("loctypeid", F.col("loctypeid").cast("int"))
+    got = {(r.prodname, r.flag, r.transtype): int(r.amount) for r in S.location_cells(S.net_instant_payments(details)).collect()}
+    assert got == {
+        (T.PAYNOW_ALL, "CAS", "CL"): 600, (T.PAYNOW, "CAS", "TF"): 50, (T.PAYNOW, "CAS", "CL"): 550, (T.PAYNOWQR_ALL, "CAS", "CL"): 0,
+        (T.NETS, "CAS", "CL"): 700, (T.FUNDING, "FUN", "CH"): -300}
+
+
 def spine_tables(spark):
     dimension = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), ("c", 5)], "k string, v int")
     codes = spark.createDataFrame([("x", "p"), ("y", "p"), ("y", None), (None, "q")], "c string, d string")
